@@ -63,7 +63,9 @@ _TIME_PATTERNS = (
 
 def is_blank(value: Column) -> Column:
     """True for NULL, empty and white-space-only text."""
-    return value.isNull() | value.rlike(r"^[\t-\r\x{85}\p{Z}]*\z")
+    # Most values start with a visible ASCII character; only the others need the pattern.
+    starts_visible = F.ascii(value).between(33, 126)
+    return value.isNull() | (~starts_visible & value.rlike(r"^[\t-\r\x{85}\p{Z}]*\z"))
 
 
 def number_text(value: Column) -> Column:
@@ -101,10 +103,11 @@ def shift_decimal(literal: Column, power: int) -> Column:
     """
     if power == 0:
         return literal
+    has_exponent = literal.contains("e") | literal.contains("E")
     exponent = F.regexp_extract(literal, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int")
     mantissa = F.regexp_extract(literal, r"^([^eE]*)", 1)
     return F.when(
-        literal.rlike("[eE]"),
+        has_exponent,
         F.concat(mantissa, F.lit("E"), (exponent + F.lit(power)).cast("string")),
     ).otherwise(F.concat(literal, F.lit(f"E{power}")))
 

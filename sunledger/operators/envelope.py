@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sunledger.functions import uris
 from sunledger.functions.outgoing import content_id
+from sunledger.functions.plans import evaluated_once
 
 # Fixed values of the event contract: constants and patterns.
 EXPECTED_TYPE = "solar.pvdaq.dataset.available.v1"
@@ -92,27 +93,39 @@ class EventContract:
             Rule("data.file_hash", "pattern", SHA256),
         )
 
-    @property
-    def envelope_attributes(self) -> list[str]:
-        return [r.attribute for r in self.rules if "." not in r.attribute]
+
+def _field(attribute: str, part: str) -> Column:
+    return F.col("fields")[attribute.replace(".", "_")][part]
 
 
-def _kind(document: Column, attribute: str) -> Column:
+def _kind(attribute: str) -> Column:
     """Type name of one attribute: NULL when missing, VOID for JSON null."""
-    return F.schema_of_variant(F.try_variant_get(document, f"$.{attribute}", "variant"))
+    return _field(attribute, "kind")
+
 
+def _text(attribute: str) -> Column:
+    """An attribute as text; numbers as they are spelled by Spark."""
+    return _field(attribute, "text")
 
-def _text(document: Column, attribute: str) -> Column:
-    return F.try_variant_get(document, f"$.{attribute}", "string")
 
+def attribute_fields(document: Column, contract: EventContract) -> Column:
+    """Type name and text of every attribute the contract knows, read once."""
+    fields = []
+    for rule in contract.rules:
+        path = f"$.{rule.attribute}"
+        kind = F.schema_of_variant(F.try_variant_get(document, path, "variant"))
+        text = F.lit(None).cast("string") if rule.keyword == "object" else F.try_variant_get(document, path, "string")
+        fields.append(F.struct(kind.alias("kind"), text.alias("text")).alias(rule.attribute.replace(".", "_")))
+    return F.struct(*fields)
 
-def _violation(document: Column, rule: Rule) -> Column:
+
+def _violation(rule: Rule) -> Column:
     """Error text when a present attribute breaks its rule, else NULL."""
-    kind, text, name = _kind(document, rule.attribute), _text(document, rule.attribute), rule.attribute
+    kind, text, name = _kind(rule.attribute), _text(rule.attribute), rule.attribute
     if rule.keyword == "object":
         return F.when(~kind.startswith("OBJECT"), F.lit(f"type: {name} must be an object"))
     if rule.keyword == "minimum":
-        value = F.try_variant_get(document, f"$.{name}", "double")
+        value = text.try_cast("double")
         whole = (
             (kind == "BIGINT")
             | kind.rlike(r"^DECIMAL\([0-9]+,0\)$")
@@ -130,55 +143,43 @@ def _violation(document: Column, rule: Rule) -> Column:
     return F.when(kind != "STRING", F.lit(f"type: {name} must be a string")).when(broken, F.lit(message))
 
 
-def envelope_errors(raw: Column, document: Column, contract: EventContract) -> Column:
+def envelope_errors(raw: Column, contract: EventContract) -> Column:
     """All contract violations of one well-formed event, in contract order."""
-    missing = F.array_compact(
-        F.array(
-            *[
-                F.when(_kind(document, r.attribute).isNull(), F.lit(f"required: {r.attribute} is missing"))
-                for r in contract.rules
-                # Members of a missing or non-object ``data`` are not reported one by one.
-                if "." not in r.attribute
-            ],
-            *[
-                F.when(
-                    _kind(document, "data").startswith("OBJECT") & _kind(document, r.attribute).isNull(),
-                    F.lit(f"required: {r.attribute} is missing"),
-                )
-                for r in contract.rules
-                if "." in r.attribute
-            ],
-        )
-    )
+
+    def absent(rule: Rule) -> Column:
+        gone = _kind(rule.attribute).isNull()
+        if "." in rule.attribute:
+            # Members of a missing or non-object ``data`` are not reported one by one.
+            gone = gone & _kind("data").startswith("OBJECT")
+        return F.when(gone, F.lit(f"required: {rule.attribute} is missing"))
+
+    outer = [r for r in contract.rules if "." not in r.attribute]
+    inner = [r for r in contract.rules if "." in r.attribute]
+    missing = F.array_compact(F.array(*[absent(r) for r in outer + inner]))
     unknown = F.transform(
-        F.array_except(
-            F.json_object_keys(raw), F.array(*[F.lit(a) for a in contract.envelope_attributes])
-        ),
+        F.array_except(F.json_object_keys(raw), F.array(*[F.lit(r.attribute) for r in outer])),
         lambda key: F.concat(F.lit("additionalProperties: "), key, F.lit(" is not allowed")),
     )
-    broken = F.array_compact(F.array(*[_violation(document, r) for r in contract.rules]))
+    broken = F.array_compact(F.array(*[_violation(r) for r in contract.rules]))
     return F.concat(missing, unknown, broken)
 
 
 def parse_events(events: DataFrame) -> DataFrame:
     """Add ``document`` VARIANT: the event when ``raw`` is exactly one JSON object, else NULL.
 
-    Spark's JSON parser stops after the first value. Wrapping the text once as
-    an array element and once as an object member makes trailing text an error.
+    Spark's JSON parser stops after the first value; as the element of an array
+    any trailing text becomes an error. Only text that could close that array
+    by itself is also tried as the member of an object.
     """
     listed = F.try_parse_json(F.concat(F.lit("["), F.col("raw"), F.lit("]")))
     nested = F.try_parse_json(F.concat(F.lit('{"event":'), F.col("raw"), F.lit("}")))
     only = F.try_variant_get(F.col("_listed"), "$[0]", "variant")
     second = F.try_variant_get(F.col("_listed"), "$[1]", "variant")
-    return (
-        events.withColumn("_listed", listed)
-        .withColumn("_nested", nested.isNotNull())
-        .withColumn(
-            "document",
-            F.when(F.col("_nested") & second.isNull() & F.schema_of_variant(only).startswith("OBJECT"), only),
-        )
-        .drop("_listed", "_nested")
-    )
+    parsed = evaluated_once(events, "_listed", listed)
+    closes_array = F.col("raw").rlike(r"[}]\s*\]")
+    alone = second.isNull() & F.when(closes_array, nested.isNotNull()).otherwise(True)
+    document = F.when(alone & F.schema_of_variant(only).startswith("OBJECT"), only)
+    return evaluated_once(parsed, "document", document).drop("_listed")
 
 
 def check_events(events: DataFrame, contract: EventContract | None = None) -> DataFrame:
@@ -188,38 +189,42 @@ def check_events(events: DataFrame, contract: EventContract | None = None) -> Da
     typed projection, absolute storage URI. ``reason`` is NULL for a good event.
     """
     contract = contract or EventContract()
-    doc = F.col("document")
-    parsed = parse_events(events)
-    actual = F.when(_kind(doc, "type") == "STRING", _text(doc, "type"))
-    typed = parsed.withColumn("actual_type", actual).withColumn(
+    given = events.columns
+    read = evaluated_once(parse_events(events), "fields", attribute_fields(F.col("document"), contract))
+    actual = F.when(_kind("type") == "STRING", _text("type"))
+    well_formed = F.col("document").isNotNull()
+    typed = evaluated_once(
+        read.select(*given, "fields", well_formed.alias("well_formed"), actual.alias("actual_type")),
         "errors",
         F.when(
-            doc.isNotNull() & F.col("actual_type").eqNullSafe(F.lit(EXPECTED_TYPE)),
-            envelope_errors(F.col("raw"), doc, contract),
+            F.col("well_formed") & F.col("actual_type").eqNullSafe(F.lit(EXPECTED_TYPE)),
+            envelope_errors(F.col("raw"), contract),
         ),
     )
-    site = F.when(_kind(doc, "data.site_id") == "BIGINT", F.try_variant_get(doc, "$.data.site_id", "bigint"))
-    category, path = _text(doc, "data.category"), _text(doc, "data.storage_path")
-    wanted = _text(doc, "correlation_id")
+    site = F.when(_kind("data.site_id") == "BIGINT", _text("data.site_id").try_cast("bigint"))
+    category, path = _text("data.category"), _text("data.storage_path")
     projected = typed.select(
-        *[c for c in typed.columns],
-        _text(doc, "id").alias("event_id"),
-        F.try_to_timestamp(_text(doc, "time")).alias("event_time"),
-        _text(doc, "source_vendor").alias("source_vendor"),
-        _text(doc, "schema_version").alias("schema_version"),
-        _text(doc, "mapping_version").alias("mapping_version"),
-        _text(doc, "traceparent").alias("traceparent"),
-        F.coalesce(F.nullif(F.trim(wanted), F.lit("")), content_id(F.col("raw"))).alias("correlation_id"),
+        *given,
+        "well_formed",
+        "actual_type",
+        "errors",
+        _text("id").alias("event_id"),
+        F.try_to_timestamp(_text("time")).alias("event_time"),
+        _text("source_vendor").alias("source_vendor"),
+        _text("schema_version").alias("schema_version"),
+        _text("mapping_version").alias("mapping_version"),
+        _text("traceparent").alias("traceparent"),
+        F.coalesce(F.nullif(F.trim(_text("correlation_id")), F.lit("")), content_id(F.col("raw"))).alias("correlation_id"),
         site.alias("site_id"),
         category.alias("category"),
         path.alias("storage_path"),
-        F.try_variant_get(doc, "$.data.version", "bigint").alias("version"),
-        F.try_variant_get(doc, "$.data.file_size", "bigint").alias("file_size"),
+        F.coalesce(_text("data.version").try_cast("bigint"), _text("data.version").try_cast("double").try_cast("bigint")).alias("version"),
+        F.coalesce(_text("data.file_size").try_cast("bigint"), _text("data.file_size").try_cast("double").try_cast("bigint")).alias("file_size"),
         F.when(site.isNotNull(), F.concat_ws("_", site, category)).alias("dataset_id"),
     )
     error_type = lambda name: F.lit(name).alias("error_type")
     reason = (
-        F.when(doc.isNull(), "DeserializationFailed")
+        F.when(~F.col("well_formed"), "DeserializationFailed")
         .when(~F.col("actual_type").eqNullSafe(F.lit(EXPECTED_TYPE)), "UnrecognizedEventType")
         .when(F.size("errors") > 0, "EnvelopeValidationFailed")
         .when(F.col("site_id").isNull(), "DeserializationFailed")
@@ -227,7 +232,7 @@ def check_events(events: DataFrame, contract: EventContract | None = None) -> Da
     )
     keep_nulls = {"ignoreNullFields": "false"}
     payload = (
-        F.when(doc.isNull(), F.lit("The message body is not one JSON object."))
+        F.when(~F.col("well_formed"), F.lit("The message body is not one JSON object."))
         .when(
             F.col("reason") == "UnrecognizedEventType",
             F.to_json(
@@ -248,7 +253,7 @@ def check_events(events: DataFrame, contract: EventContract | None = None) -> Da
             F.concat(F.lit("storage_path is not a valid absolute URI: "), F.col("storage_path")),
         )
     )
-    return projected.withColumn("reason", reason).withColumn("payload", payload).drop("document")
+    return projected.withColumn("reason", reason).withColumn("payload", payload).drop("well_formed")
 
 
 def latest_per_dataset(events: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sunledger.functions import scalars as S
+from sunledger.functions.plans import evaluated_once
 from sunledger.operators import quality as Q
 from sunledger.operators.layout import RawLayout
 from sunledger.operators.registry import LINEAGE, Mapping
@@ -69,11 +70,13 @@ def conform(
     """Check and convert raw text rows in one pass.
 
     Output: ``carry`` columns, ``failures`` (NULL for a good row), then the
-    stored columns of :func:`output_schema`. Two narrow projections: the first
-    parses each number and the timestamp once, the second uses them.
+    stored columns of :func:`output_schema`. Numbers and the timestamp are parsed
+    once and used by the checks and the conversion; a filter on ``failures`` uses
+    the finished list. No shuffle.
     """
     parsed = rows.withColumns(Q.parsed_columns(mapping, layout))
     parsed = parsed.withColumns(Q.number_columns(mapping, layout))
+    checked = evaluated_once(parsed, "failures", Q.failure_list(mapping, layout, compat))
 
     site_rules = [c for c in mapping.columns if c.canonical_field.lower() == "site_id"]
     site = next((layout.get(c.vendor_column) for c in reversed(site_rules) if layout.has(c.vendor_column)), None)
@@ -93,9 +96,9 @@ def conform(
         if rule.canonical_field.lower() not in LINEAGE
     ]
     extra = [layout.get(name).alias(name) for name in layout.pass_through(mapping)]
-    return parsed.select(
+    return checked.select(
         *carry,
-        Q.failure_list(mapping, layout, compat).alias("failures"),
+        "failures",
         site.alias("site_id"),
         moment.alias("timestamp"),
         ingestion_time.cast("timestamp").alias("ingestion_time"),

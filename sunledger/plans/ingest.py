@@ -295,6 +295,9 @@ def _judge(readable: DataFrame, refused: DataFrame, failures: DataFrame, verdict
     written = F.when(reason.isNull(), F.col("row_count") - (F.col("bad_rows") if cfg.mode == "row" else F.lit(0)))
     date = None if cfg.partition_by == "data_date" else F.lit(cfg.ingestion_date)
     uri = silver.partition_uri(cfg.silver_uri_base, F.col("registry_key"), F.col("dataset_id"), date)
+    refused = refused.select(
+        "*", *[F.lit(0).cast("bigint").alias(f"{c}") for c in ("records_processed", "validation_pass_count", "validation_fail_count")]
+    )
     judged = joined.select(
         *EVENT_COLUMNS,
         reason.alias("reason"),

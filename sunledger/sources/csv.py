@@ -49,9 +49,7 @@ def profile_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         "file_path",
         encoding.alias("detected_encoding"),
         F.greatest(F.col("lines") - 1, F.lit(0)).alias("data_lines"),
-        F.when(encoding.isNull(), F.regexp_replace("first_line", "^\\x{feff}", "")).alias(
-            "header_line"
-        ),
+        F.when(F.is_valid_utf8("first_line"), F.regexp_replace("first_line", "^\\x{feff}", "")).alias("header_line"),
         (F.col("odd_lines") > 0).alias("needs_whole_file"),
     )
 

@@ -14,17 +14,20 @@ def _member(name: str, target: str) -> str:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """One row per mapping file in the shape of ``registry.REGISTRY_SCHEMA``.
+    """All mapping files of a folder; the key is the file name."""
+    files = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
+    name = percent_decode(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)\.json$", 1))
+    return parse_mappings(files.select(name.alias("registry_key"), F.col("value").alias("body")))
+
+
+def parse_mappings(texts: DataFrame) -> DataFrame:
+    """``registry_key`` and JSON ``body`` to rows in the shape of ``registry.REGISTRY_SCHEMA``.
 
-    The key is the file name. Property names match in any letter case. A file
-    that is not a JSON object gives a row without column mappings.
+    Property names match in any letter case. A text that is not a JSON object
+    gives a row without column mappings.
     """
-    files = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
-    keyed = files.select(
-        percent_decode(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)\.json$", 1)).alias("registry_key"),
-        F.try_parse_json("value").alias("body"),
-    )
-    return spark.sql(
+    keyed = texts.select("registry_key", F.try_parse_json("body").alias("body"))
+    return texts.sparkSession.sql(
         f"""
         WITH members AS (
             SELECT k.registry_key, lower(f.key) AS name, f.value
