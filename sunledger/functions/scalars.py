@@ -50,14 +50,15 @@ _ISO_TIME = (
     r"(?:[T ][0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2}(?:\.[0-9]+)?)?"
     r"\s*(?:Z|GMT|[+-][0-9]{1,2}(?::?[0-9]{2})?)?)?\s*\z"
 )
-# Other spellings, tried in this order after the ISO form.
-_TIME_PATTERNS = (
-    "M/d/yyyy[ H:mm[:ss]]",
-    "M/d/yyyy h:mm[:ss] a",
-    "yyyy/M/d[ H:mm[:ss]]",
-    "d MMM yyyy[ H:mm[:ss]]",
-    "MMM d, yyyy[ H:mm[:ss]]",
-    "d MMM yyyy H:mm:ss 'GMT'",
+# Other spellings: the shape of a text decides which patterns are tried, because a
+# failed attempt costs far more than the comparison.
+_OTHER_TIMES = (
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}.*[AaPp][Mm]$", "M/d/yyyy h:mm[:ss] a"),
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", "M/d/yyyy[ H:mm[:ss]]"),
+    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}", "yyyy/M/d[ H:mm[:ss]]"),
+    (r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4}.*GMT$", "d MMM yyyy H:mm:ss 'GMT'"),
+    (r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4}", "d MMM yyyy[ H:mm[:ss]]"),
+    (r"^[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}", "MMM d, yyyy[ H:mm[:ss]]"),
 )
 
 
@@ -119,8 +120,10 @@ def parse_time(value: Column) -> Column:
     padded = F.regexp_replace(trimmed, r"^(\S+[T ][0-9]{1,2}:[0-9]{1,2})(?=\s*(?:Z|GMT|[+-]))", "$1:00")
     iso = F.coalesce(F.try_to_timestamp(trimmed), F.try_to_timestamp(F.regexp_replace(padded, r"\s*GMT$", "Z")))
     undated = F.regexp_replace(trimmed, r"^[A-Za-z]{3}, ", "")
-    others = F.coalesce(*[F.try_to_timestamp(undated, F.lit(p)) for p in _TIME_PATTERNS])
-    return F.when(value.rlike(_ISO_TIME), iso).otherwise(others)
+    parsed = F.when(value.rlike(_ISO_TIME), iso)
+    for shape, pattern in _OTHER_TIMES:
+        parsed = parsed.when(undated.rlike(shape), F.try_to_timestamp(undated, F.lit(pattern)))
+    return parsed
 
 
 def to_whole(value: Column, kind: str) -> Column:

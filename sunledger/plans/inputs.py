@@ -28,7 +28,11 @@ RUN_TIME = "2026-01-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. One that is read in fewer tasks than there are cores is spread
+    over them; a table of many files or row groups is not shuffled."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def money_text(column: str) -> Column:

@@ -32,6 +32,8 @@ def build_session(app_name: str = "sunledger", master: str | None = None, **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.compression.codec": "zstd",
+        # Beyond this size the JVM would interpret a generated method instead of compiling it.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **REQUIRED_CONF,
         **conf,
     }
