@@ -110,7 +110,7 @@ class _Layout:
 
     mapping: R.Mapping
     header: list[str]
-    whole_files: bool
+    spanning: bool
     paths: list[str]
 
     @property
@@ -120,29 +120,33 @@ class _Layout:
 
 def _layouts(spark: SparkSession, files: DataFrame, mappings: dict[str, R.Mapping]) -> list[_Layout]:
     """Group the files of one wave; the wave bounds what is collected."""
-    heads = files.select("registry_key", "header_id", "needs_whole_file", "header_line").distinct().collect()
+    heads = files.select("registry_key", "header_id", "may_span_lines", "header_line").distinct().collect()
     members: dict[tuple, list[str]] = {}
-    for row in files.select("registry_key", "header_id", "needs_whole_file", "path").distinct().collect():
-        members.setdefault((row.registry_key, row.header_id, row.needs_whole_file), []).append(row.path)
+    for row in files.select("registry_key", "header_id", "may_span_lines", "path").distinct().collect():
+        members.setdefault((row.registry_key, row.header_id, row.may_span_lines), []).append(row.path)
     layouts = []
     for head in heads:
         mapping = mappings[head.registry_key]
-        paths = sorted(members[(head.registry_key, head.header_id, head.needs_whole_file)])
+        paths = sorted(members[(head.registry_key, head.header_id, head.may_span_lines)])
         if C.header_spans_lines(head.header_line):
             for path in paths:
                 names = C.read_spanning_header(spark, path, mapping.delimiter)
                 layouts.append(_Layout(mapping, names, True, [path]))
         else:
             names = C.header_names(head.header_line, mapping.delimiter)
-            layouts.append(_Layout(mapping, names, head.needs_whole_file, paths))
+            layouts.append(_Layout(mapping, names, head.may_span_lines, paths))
     return sorted(layouts, key=lambda g: (g.mapping.registry_key, g.paths[0]))
 
 
 def _stage(spark: SparkSession, group: list[_Layout], info: DataFrame, cfg: IngestConfig, path: str) -> DataFrame:
     """Scan, check and convert the files of some layouts once; written to shared storage."""
     staged = None
-    for layout in group:
-        rows = C.scan_rows(spark, layout.paths, len(layout.header), layout.mapping.delimiter, layout.whole_files)
+    for i, layout in enumerate(group):
+        width, delimiter = len(layout.header), layout.mapping.delimiter
+        if layout.spanning:
+            rows = C.scan_spanning_rows(spark, layout.paths, width, delimiter, f"{path}-lines-{i}")
+        else:
+            rows = C.scan_rows(spark, layout.paths, width, delimiter)
         # At most ``max_files_per_wave`` short rows.
         rows = rows.join(F.broadcast(info), "file_path")
         done = X.conform(

@@ -627,16 +627,20 @@ def csv_scan_row_index(spark, sf_dir):
     root = work_dir(spark, "vendor")
     listed = _vendor_files(spark, sf_dir, root)
     heads = C.profile_files(spark, [root]).join(listed, "file_path").select(
-        "header_line", "needs_whole_file", Fs.decoded_path(F.col("file_path")).alias("path")
+        "header_line", "may_span_lines", Fs.decoded_path(F.col("file_path")).alias("path")
     )
     groups: dict[tuple, list[str]] = {}
     for row in heads.collect():  # one short row per file
-        key = (row.header_line, row.needs_whole_file)
+        key = (row.header_line, row.may_span_lines)
         groups.setdefault(key, []).append(row.path)
     scans = None
-    for (line, whole), paths in sorted(groups.items()):
+    for (line, spanning), paths in sorted(groups.items()):
         layout = RawLayout(C.header_names(line, ","), C.text_column)
-        rows = C.scan_rows(spark, sorted(paths), len(layout.header), ",", whole)
+        width = len(layout.header)
+        if spanning:
+            rows = C.scan_spanning_rows(spark, sorted(paths), width, ",", work_dir(spark, "lines"))
+        else:
+            rows = C.scan_rows(spark, sorted(paths), width, ",")
         named = rows.select("file_path", "block_start", "scan_id", *[layout.get(c).alias(c) for c in ("ts", "sid", "pwr_kw")])
         scans = named if scans is None else scans.unionByName(named)
     rows = materialise(scans, work_dir(spark, "scanned"))

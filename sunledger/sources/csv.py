@@ -6,8 +6,10 @@ import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sunledger.session import materialise
 from sunledger.sources.files import as_glob
 
 MAX_COLUMNS = 20_480
@@ -17,8 +19,8 @@ def profile_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """One row per file: header line, data line count, detected foreign encoding.
 
     ``detected_encoding`` is NULL for UTF-8. The whole file is checked, byte by byte.
-    ``needs_whole_file`` marks files in which a quoted field may span lines or a
-    line holds only blanks; all others can be split among tasks.
+    ``may_span_lines`` marks files in which a quoted field may span lines or a
+    line holds only blanks; they are read by :func:`scan_spanning_rows`.
     """
     lines = spark.read.text([as_glob(p) for p in paths]).select(
         "value",
@@ -50,7 +52,7 @@ def profile_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         encoding.alias("detected_encoding"),
         F.greatest(F.col("lines") - 1, F.lit(0)).alias("data_lines"),
         F.when(F.is_valid_utf8("first_line"), F.regexp_replace("first_line", "^\\x{feff}", "")).alias("header_line"),
-        (F.col("odd_lines") > 0).alias("needs_whole_file"),
+        (F.col("odd_lines") > 0).alias("may_span_lines"),
     )
 
 
@@ -74,21 +76,18 @@ def text_column(i: int) -> Column:
     return F.col(f"_c{i}")
 
 
-def scan_rows(
-    spark: SparkSession, paths: Sequence[str], width: int, delimiter: str, whole_files: bool = False
-) -> DataFrame:
+def scan_rows(spark: SparkSession, paths: Sequence[str], width: int, delimiter: str) -> DataFrame:
     """Text columns ``_c0 … _c{width-1}`` of files that share one header, plus row places.
 
     Short rows are padded, long rows cut, stray quotes tolerated and nothing is
-    trimmed. ``file_path``, ``block_start`` and ``scan_id`` locate each row.
+    trimmed. ``file_path``, ``block_start`` and ``scan_id`` locate each row. The
+    files are split among tasks; see :func:`scan_spanning_rows` for quoted line breaks.
     """
-    schema = ", ".join(f"_c{i} STRING" for i in range(width))
     rows = (
-        spark.read.schema(schema)
+        spark.read.schema(_text_schema(width))
         .option("header", True)
         .option("sep", delimiter)
         .option("escape", '"')
-        .option("multiLine", whole_files)
         .option("mode", "PERMISSIVE")
         .option("maxColumns", max(MAX_COLUMNS, width))
         .csv([as_glob(p) for p in paths])
@@ -99,3 +98,93 @@ def scan_rows(
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("scan_id"),
     )
+
+
+def _text_schema(width: int) -> str:
+    return ", ".join(f"_c{i} STRING" for i in range(width))
+
+
+def _ends_open(delimiter: str) -> tuple[str, str]:
+    """Patterns of lines that end inside a quoted field: begun outside, begun inside one.
+
+    A quote opens a field only as its first character; two quotes inside a field
+    are one; text after a closing quote runs to the delimiter.
+    """
+    d = "\\t" if delimiter == "\t" else "\\" + delimiter
+    inside = r'[^"]*+(?:""[^"]*+)*+'
+    tail = rf'(?:(?:"{inside}"[^{d}]*+|(?!")[^{d}]*+){d})*+"{inside}\z'
+    return f"^{tail}", rf'^{inside}(?:\z|"[^{d}]*+{d}{tail})'
+
+
+def scan_spanning_rows(
+    spark: SparkSession, paths: Sequence[str], width: int, delimiter: str, scratch: str
+) -> DataFrame:
+    """Like :func:`scan_rows` for files whose quoted fields hold line breaks.
+
+    The files are still split among tasks, however large one is. Whether a line
+    begins inside a quoted field depends on all lines before it, but each line
+    only keeps, flips or sets that state. The states are added up inside each
+    split, then over the splits of a file, and only the lines of records that
+    do span lines are brought together.
+    """
+    outside, inside = _ends_open(delimiter)
+    value = F.col("value")
+    from_out, from_in = value.rlike(outside), value.rlike(inside)
+    lines = spark.read.text([as_glob(p) for p in paths]).select(
+        "value",
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        (from_out & ~from_in).cast("bigint").alias("flips"),
+        F.when(from_out == from_in, from_out.cast("bigint")).alias("sets"),
+    )
+    split = W.partitionBy("file_path", "block").orderBy("line")
+    before = split.rowsBetween(W.unboundedPreceding, -1)
+    flipped = F.coalesce(F.sum("flips").over(before), F.lit(0))
+    # A line that sets the state leaves a mark to which the flips so far are added.
+    local = (
+        lines.withColumn("flipped", flipped)
+        .withColumn("mark", F.col("sets") + F.col("flipped"))
+        .withColumn("last_mark", F.last("mark", ignorenulls=True).over(before))
+    )
+    local = materialise(local, f"{scratch}/lines")
+
+    file_order = W.partitionBy("file_path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    splits = local.groupBy("file_path", "block").agg(
+        F.sum("flips").alias("_flips"), F.max(F.when(F.col("mark").isNotNull(), F.struct("line", "mark"))).alias("_top")
+    )
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_flips").over(file_order), F.lit(0)))
+    splits = splits.withColumn("_mark", F.col("_top.mark") + F.col("_before"))
+    begin = F.coalesce(F.last("_mark", ignorenulls=True).over(file_order), F.lit(0)) + F.col("_before")
+    begins = materialise(splits.select("file_path", "block", begin.alias("begin")), f"{scratch}/begins")
+
+    inside_now = (F.coalesce("last_mark", "begin") + F.col("flipped")) % 2 == 1
+    stated = local.join(begins, ["file_path", "block"]).withColumn("inside", inside_now)
+    # Empty lines between records are no records.
+    stated = stated.filter(F.col("inside") | (value != "")).withColumn("starts", (~F.col("inside")).cast("bigint"))
+    stated = stated.withColumn("open", F.coalesce(F.col("sets") == 1, F.col("inside") != (F.col("flips") == 1)))
+    counted = stated.withColumn("record", F.sum("starts").over(split))
+    counts = stated.groupBy("file_path", "block").agg(F.sum("starts").alias("_n"))
+    earlier = materialise(
+        counts.select("file_path", "block", F.coalesce(F.sum("_n").over(file_order), F.lit(0)).alias("earlier")),
+        f"{scratch}/counts",
+    )
+    placed = counted.join(earlier, ["file_path", "block"]).withColumn("record", F.col("record") + F.col("earlier"))
+    placed = placed.select("file_path", "block", "line", "record", "value", "inside", "open")
+
+    spanning = F.col("inside") | F.col("open")
+    joined = (
+        placed.filter(spanning)
+        .groupBy("file_path", "record")
+        .agg(F.sort_array(F.collect_list(F.struct("block", "line", "value"))).alias("parts"))
+        .select("file_path", "record", F.array_join(F.transform("parts", lambda p: p["value"]), "\n").alias("value"))
+    )
+    records = placed.filter(~spanning).select("file_path", "record", "value").unionByName(joined)
+    options = {"sep": delimiter, "escape": '"', "mode": "PERMISSIVE", "maxColumns": str(max(MAX_COLUMNS, width))}
+    cells = F.from_csv("value", _text_schema(width), options)
+    return records.filter(F.col("record") > 1).select(
+        *[cells[f"_c{i}"].alias(f"_c{i}") for i in range(width)],
+        "file_path",
+        F.lit(0).cast("bigint").alias("block_start"),
+        F.col("record").alias("scan_id"),
+    )

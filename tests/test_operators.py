@@ -1,8 +1,12 @@
 """Positions, registry, accounting, re-drive, profile and streaming."""
 
+import csv as pycsv
 import json
 from datetime import datetime, timezone
+from io import StringIO
+from random import Random
 
+import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -45,6 +49,34 @@ def test_row_index_over_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("delimiter", [",", ";", "\t"])
+def test_records_over_lines_and_splits(spark, tmp_path, delimiter):
+    """Against Python's own reader, in splits far smaller than a file."""
+    random, expected = Random(7), {}
+    for name in "abc":
+        rows = [
+            [f"{name}{i}", *["".join(random.choice('xy "\n' + delimiter) for _ in range(random.randint(0, 9))) for _ in range(2)]]
+            for i in range(400)
+        ]
+        if name == "b":
+            rows.append(["b400", "y" * 3000 + "\n" + "z" * 3000, ""])
+        body = StringIO()
+        pycsv.writer(body, delimiter=delimiter, lineterminator="\n").writerows([["k", "p\nq", "r"], *rows])
+        text = body.getvalue() + f'{name}-stray{delimiter}5" pipe{delimiter}x\n\n{name}-last{delimiter}"a""b"{delimiter}\n'
+        rows += [[f"{name}-stray", '5" pipe', "x"], [f"{name}-last", 'a"b', ""]]
+        (tmp_path / f"{name}.csv").write_text(text, newline="")
+        expected |= {row[0]: (i, row[1], row[2]) for i, row in enumerate(rows, 1)}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        paths = [str(tmp_path / f"{n}.csv") for n in "abc"]
+        rows = C.scan_spanning_rows(spark, paths, 3, delimiter, str(tmp_path / "scratch"))
+        got = with_row_index(rows, split_offsets(rows)).fillna("").collect()
+        assert {r._c0: (r.row_index, r._c1, r._c2) for r in got} == expected and len(got) == len(expected)
+        assert spark.read.parquet(str(tmp_path / "scratch" / "begins")).count() > 20
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_profile(spark, tmp_path):
     texts = {
         "plain": b"a;b\n1;2\n", "bom": b"\xef\xbb\xbfa,b\n\n1,2\n", "late": b"a,b\n" + b"1,2\n" * 5000 + b"\xff,1\n",
