@@ -146,6 +146,9 @@ def _violation(rule: Rule) -> Column:
 def envelope_errors(raw: Column, contract: EventContract) -> Column:
     """All contract violations of one well-formed event, in contract order."""
 
+    def listed(message: Column) -> Column:
+        return F.when(message.isNotNull(), F.array(message)).otherwise(F.array().cast("array<string>"))
+
     def absent(rule: Rule) -> Column:
         gone = _kind(rule.attribute).isNull()
         if "." in rule.attribute:
@@ -155,13 +158,13 @@ def envelope_errors(raw: Column, contract: EventContract) -> Column:
 
     outer = [r for r in contract.rules if "." not in r.attribute]
     inner = [r for r in contract.rules if "." in r.attribute]
-    missing = F.array_compact(F.array(*[absent(r) for r in outer + inner]))
-    unknown = F.transform(
-        F.array_except(F.json_object_keys(raw), F.array(*[F.lit(r.attribute) for r in outer])),
-        lambda key: F.concat(F.lit("additionalProperties: "), key, F.lit(" is not allowed")),
+    unknown = F.array_except(F.json_object_keys(raw), F.array(*[F.lit(r.attribute) for r in outer]))
+    extra = F.concat(F.lit("additionalProperties: "), F.array_join(unknown, ", "), F.lit(" is not allowed"))
+    return F.concat(
+        *[listed(absent(r)) for r in outer + inner],
+        listed(F.when(F.size(unknown) > 0, extra)),
+        *[listed(_violation(r)) for r in contract.rules],
     )
-    broken = F.array_compact(F.array(*[_violation(r) for r in contract.rules]))
-    return F.concat(missing, unknown, broken)
 
 
 def parse_events(events: DataFrame) -> DataFrame:

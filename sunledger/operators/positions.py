@@ -10,13 +10,13 @@ BUCKET_WIDTH = 1_000_000
 
 
 def number_rows(rows: DataFrame, key: str, order_by: str, width: int = BUCKET_WIDTH) -> DataFrame:
-    """Add ``row_index``: 1-based position per ``key`` in the order of a unique whole number.
+    """Add ``row_index``: 1-based position per ``key`` in the order of a unique whole number, never NULL.
 
     Rows are numbered inside fixed ranges of ``order_by``, so no task ever sorts
     more than ``width`` rows of one key; the counts of the ranges before give the
     offset. Join and window share one shuffle on (key, range).
     """
-    ranged = rows.withColumn("_range", F.floor(F.col(order_by) / F.lit(width)))
+    ranged = rows.withColumn("_range", F.expr(f"`{order_by}` div {width}"))
     sizes = ranged.groupBy(key, "_range").agg(F.count("*").alias("_n"))
     before = W.partitionBy(key).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(key, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))

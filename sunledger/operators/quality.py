@@ -169,24 +169,22 @@ def failure_list(mapping: Mapping, layout: RawLayout, compat: bool = True) -> Co
 
     if not checks:
         return F.lit(None).cast(FAILURES_TYPE)
-    slots, any_broken = [], F.lit(False)
+    none = F.array().cast(FAILURES_TYPE)
+    parts, any_broken = [], F.lit(False)
     for pos, (name, rule_name, broken, detail, *code) in enumerate(checks):
         broken = F.coalesce(broken, F.lit(False))
         any_broken = any_broken | broken
-        slots.append(
-            F.when(
-                broken,
-                F.struct(
-                    F.lit(pos).alias("pos"),
-                    F.lit(name).alias("field"),
-                    F.lit(rule_name).alias("rule"),
-                    F.lit(code[0] if code else REASON_CODES[rule_name]).alias("code"),
-                    detail.alias("detail"),
-                ),
-            )
+        failure = F.struct(
+            F.lit(pos).alias("pos"),
+            F.lit(name).alias("field"),
+            F.lit(rule_name).alias("rule"),
+            F.lit(code[0] if code else REASON_CODES[rule_name]).alias("code"),
+            detail.alias("detail"),
         )
-    # The array is only built for bad rows; good rows cost the tests alone.
-    return F.when(any_broken, F.array_compact(F.array(*slots))).cast(FAILURES_TYPE)
+        parts.append(F.when(broken, F.array(failure).cast(FAILURES_TYPE)).otherwise(none))
+    # The list is only built for bad rows; good rows cost the tests alone. Concatenation,
+    # unlike a filter with a lambda, is compiled with the rest of the projection.
+    return F.when(any_broken, F.concat(*parts))
 
 
 def explode_failures(rows: DataFrame, *keys: str) -> DataFrame:

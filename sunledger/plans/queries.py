@@ -596,7 +596,7 @@ def encoding_gate(spark, sf_dir):
     root = work_dir(spark, "texts")
     documents = I.table(spark, sf_dir, "documents")
     width = max(1, min(1000, documents.count() // 20))
-    numbered = documents.select((F.floor(F.col("doc_id") / F.lit(width))).alias("file_no"), "doc_id", "text")
+    numbered = documents.select(F.expr(f"doc_id div {width}").alias("file_no"), "doc_id", "text")
     lines = numbered.select(
         "file_no", F.posexplode(F.split("text", "[\r\n]+")).alias("n", "value"), (F.col("doc_id") * 1_000_000).alias("base")
     ).select("file_no", (F.col("base") + F.col("n")).alias("place"), "value")
