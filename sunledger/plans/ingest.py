@@ -72,10 +72,11 @@ def accept_events(spark: SparkSession, events: DataFrame, registry: DataFrame, c
     sound = checked.filter(F.col("reason").isNull())
     counted = E.latest_per_dataset(sound)
     resolved = R.resolve(counted, registry)
-    listing = Fs.list_files(spark, cfg.bronze_root).select(
+    path = F.concat_ws("/", uris.container(F.col("storage_path")), uris.blob(F.col("storage_path")))
+    folders = sound.select(F.regexp_replace(path, "/[^/]*$", "").alias("folder"))
+    listing = Fs.list_files(spark, cfg.bronze_root, folders).select(
         "file_path", Fs.relative_path(F.col("file_path"), cfg.bronze_root).alias("relative_path")
     )
-    path = F.concat_ws("/", uris.container(F.col("storage_path")), uris.blob(F.col("storage_path")))
     located = resolved.withColumn("relative_path", path).join(listing, "relative_path", "left")
 
     unknown, absent = F.col("problem").isNotNull(), F.col("file_path").isNull()

@@ -174,3 +174,18 @@ def test_waves_and_small_jobs_give_the_same_result(spark, ws):
     ledger = run(spark, ws, max_files_per_wave=2, max_layouts_per_job=1)
     assert {r.records_processed for r in ledger.values()} == {5} and len(ledger) == 7
     assert read_silver(spark, silver_root(f"{ws.root}/silver", "PVDAQ-v2")).count() == 35
+
+
+def test_folder_inside_a_listed_folder(spark, ws):
+    ws.file("1.csv", H.VALID)
+    ws.file("deep/2.csv", H.VALID)
+    ws.send(H.event(1, "1.csv"), H.event(2, "deep/2.csv"), H.event(3, "none/3.csv"))
+    ledger = run(spark, ws)
+    assert [ledger[f"{n}_ac_power"].records_processed for n in (1, 2, 3)] == [5, 5, 0] and len(ledger) == 3
+    assert ledger["3_ac_power"].reason == "SourceFileNotFound"
+
+
+def test_no_sound_event(spark, ws):
+    ws.send("not json")
+    ledger = run(spark, ws)
+    assert [r.reason for r in ledger.values()] == ["DeserializationFailed"]
