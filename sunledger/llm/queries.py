@@ -7,13 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import simhash
+from sunledger.llm import mixing, simhash, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"))
     text = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
@@ -21,5 +35,8 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_source_mixing": op5_source_mixing,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op9_warc": op9_warc,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
