@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import mixing, simhash, vectors, warc
+from sunledger.llm import mixing, simhash, substrings, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.embedding_groups(table(spark, sf_dir, "embeddings"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archive_round_trip(table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -37,6 +42,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_source_mixing": op5_source_mixing,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_warc": op9_warc,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
