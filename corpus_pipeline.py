@@ -5,12 +5,54 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sunledger.llm.common import cut
+from sunledger.llm import decontam, language, lines, mixing, simhash
+from sunledger.llm.common import cut, held_out
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+# The contract of the SimHash stage.
+SIMHASH_WORDS, SIMHASH_BITS = 4, 4
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no language go: those without a letter, and those that the network finds in none."""
+    net = language.fit(docs.select("doc_id", "text", "lang").filter(~held_out("doc_id", 4, 2)))
+    return language.in_some_language(docs, net)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go; so does a document that has nothing left."""
+    kept = lines.dedup_lines(docs).filter((F.col("n_removed") == 0) | (F.trim("text") != ""))
+    chars = F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return kept.withColumn("n_chars", chars).select(docs.columns)
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return simhash.one_of_each_group(docs, SIMHASH_WORDS, SIMHASH_BITS)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, verbatim or with other values, go."""
+    found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    held = found.select(F.col("doc_id").alias("__held")).distinct()
+    return docs.join(held, F.col("doc_id").cast("bigint") == F.col("__held"), "left_anti")
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    return mixing.mix_sources(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_stage),
+    ("line_dedup", line_stage),
+    ("simhash_near_dedup", simhash_stage),
+    ("benchmark_decontamination", benchmark_stage),
+    ("source_mixing", mixing_stage),
+]
 
 # The stages hold a trained network and pseudorandom draws, which SQL cannot express.
 ORACLE_SQL: str | None = None

@@ -20,6 +20,8 @@ STRETCH = 128
 SAMPLE_DOCS, SAMPLE_STRETCHES, MAX_LANGUAGES = 200, 12, 64
 EPOCHS, BATCH, RATE = 4, 128, 0.01
 UNDETERMINED = "und"
+# Below this share for its best language a text counts as being in none.
+MIN_SCORE = 0.3
 
 
 @dataclass
@@ -209,6 +211,16 @@ def fit(docs: DataFrame, seed: int = 1) -> Network | None:
     return train(np.array(raw), np.array(target), labels, seed)
 
 
+def _labelled(net: Network | None, text: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Label and score of each text."""
+    letters = pc.fill_null(pc.match_substring_regex(text, r"\pL"), False).to_numpy(zero_copy_only=False)
+    if net is None:
+        return pa.array([UNDETERMINED] * len(letters), pa.string()), np.zeros(len(letters))
+    p = pooled(net, *utf8(text))
+    names = [net.labels[b] if k else UNDETERMINED for b, k in zip(p.argmax(axis=1).tolist(), letters.tolist())]
+    return pa.array(names, pa.string()), np.where(letters, np.clip(p.max(axis=1), 0, 1), 0.0)
+
+
 def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     """(doc_id, lang_pred, score) for every row of ``docs`` (doc_id, text).
 
@@ -221,23 +233,25 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
-            text = piece.column("text")
-            letters = pc.fill_null(pc.match_substring_regex(text, r"\pL"), False).to_numpy(zero_copy_only=False)
-            if net is None:
-                best, score = np.zeros(len(letters), int), np.zeros(len(letters))
-            else:
-                p = pooled(net, *utf8(text))
-                best, score = p.argmax(axis=1), p.max(axis=1)
-            known = letters & (net is not None)
-            names = pa.array([net.labels[b] if k else UNDETERMINED for b, k in zip(best.tolist(), known.tolist())])
+            names, score = _labelled(net, piece.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), names, pa.array(np.where(known, np.clip(score, 0, 1), 0.0))],
-                ["doc_id", "lang_pred", "score"],
+                [piece.column("doc_id"), names, pa.array(score)], ["doc_id", "lang_pred", "score"]
             )
 
     return rows.mapInArrow(run, "doc_id bigint, lang_pred string, score double")
 
 
+def in_some_language(docs: DataFrame, net: Network | None, least: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language: not ``und``, and a score of ``least`` or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            names, score = _labelled(net, piece.column("text"))
+            yield piece.filter(pc.and_(pc.not_equal(names, UNDETERMINED), pa.array(score >= least)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def languages(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): learns from documents outside the fold, predicts all from text alone."""
     held = held_out("doc_id", folds, fold)

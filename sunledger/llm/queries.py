@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import decontam, language, mixing, simhash, substrings, textquality, toxicity, vectors, warc
+from sunledger.llm import decontam, language, lines, mixing, simhash, substrings, textquality, toxicity, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "text", "n_lines", "n_removed")
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -59,6 +64,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
     "op3_toxicity": op3_toxicity,
+    "op4_line_dedup": op4_line_dedup,
     "op5_source_mixing": op5_source_mixing,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,

@@ -169,3 +169,20 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int =
     least = nodes.groupBy("part").agg(F.min("first").alias("component_id"))
     nodes = nodes.join(least, "part").select("fp", "component_id")
     return marked.join(nodes, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs``, all columns, of the document with the smallest id of each group; one row for each id.
+
+    Rows without an id stay, as no group can name them.
+    """
+    groups = cut(simhash_groups(docs, shingle, radius), "groups")
+    key = F.col("doc_id").cast("bigint")
+    stays = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__stays"))
+    if not groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        named = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
+        docs, stays = named.unionByName(docs.filter("doc_id is null")), stays.distinct()
+    kept = docs.filter("doc_id is not null").join(stays, key == F.col("__stays"), "left_semi")
+    if groups.filter("doc_id is null").isEmpty():
+        return kept
+    return kept.unionByName(docs.filter("doc_id is null"))
