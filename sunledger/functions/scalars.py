@@ -5,11 +5,15 @@ Every function takes and returns a Column and stays on the JVM.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # 29 integer digits cover the whole range of a 96-bit decimal number.
 NUMBER_TYPE = "decimal(38,9)"
+# For numbers that round to a bound: their size is known, so more digits fit after the point.
+FINE_TYPE = "decimal(38,20)"
 STORED_DECIMAL = "decimal(18,6)"
 
 # Unit conversions as powers of ten.
@@ -50,12 +54,19 @@ _ISO_TIME = (
     r"(?:[T ][0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2}(?:\.[0-9]+)?)?"
     r"\s*(?:Z|GMT|[+-][0-9]{1,2}(?::?[0-9]{2})?)?)?\s*\z"
 )
+_CLOCK, _ZONE = r" [0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?", r" ?(?:Z|[+-][0-9]{2}:[0-9]{2})"
+_CLOCK_PATTERN = " H:mm[:ss[.SSSSSS][.SSS]]"
 # Other spellings: the shape of a text decides which patterns are tried, because a
 # failed attempt costs far more than the comparison.
 _OTHER_TIMES = (
     (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}.*[AaPp][Mm]$", "M/d/yyyy h:mm[:ss] a"),
-    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", "M/d/yyyy[ H:mm[:ss]]"),
-    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}", "yyyy/M/d[ H:mm[:ss]]"),
+    (rf"^[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}{_CLOCK}{_ZONE}$", f"M/d/yyyy{_CLOCK_PATTERN}[ ]XXX"),
+    (rf"^[0-9]{{4}}/[0-9]{{1,2}}/[0-9]{{1,2}}{_CLOCK}{_ZONE}$", f"yyyy/M/d{_CLOCK_PATTERN}[ ]XXX"),
+    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", f"M/d/yyyy[{_CLOCK_PATTERN}]"),
+    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}", f"yyyy/M/d[{_CLOCK_PATTERN}]"),
+    (r"^[0-9]{1,2}-[A-Za-z]{3}-[0-9]{4}", "d-MMM-yyyy[ H:mm[:ss]]"),
+    (r"^[0-9]{1,2} [A-Za-z]{4,9} [0-9]{4}", "d MMMM yyyy[ H:mm[:ss]]"),
+    (r"^[A-Za-z]{4,9} [0-9]{1,2}, [0-9]{4}", "MMMM d, yyyy[ H:mm[:ss]]"),
     (r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4}.*GMT$", "d MMM yyyy H:mm:ss 'GMT'"),
     (r"^[0-9]{1,2} [A-Za-z]{3} [0-9]{4}", "d MMM yyyy[ H:mm[:ss]]"),
     (r"^[A-Za-z]{3} [0-9]{1,2}, [0-9]{4}", "MMM d, yyyy[ H:mm[:ss]]"),
@@ -86,6 +97,25 @@ def number(literal: Column) -> Column:
     return literal.try_cast(NUMBER_TYPE)
 
 
+def compares(literal: Column, value: Column, bound: Decimal) -> Column:
+    """-1, 0 or 1: a number against a bound, before any rounding.
+
+    ``value`` keeps nine fraction digits and ``FINE_TYPE`` twenty; a bound of
+    zero goes by the sign and the digits of the literal itself, a number that
+    lies within the rounding of another bound by the twenty digits.
+    """
+    negative = literal.startswith("-")
+    filled = F.regexp_extract(literal, "^([^eE]*)", 1).rlike("[1-9]")
+    if bound == 0:
+        return F.when(value.isNull(), None).when(~filled, 0).when(negative, -1).otherwise(1)
+    text = format(bound, "f")
+    coarse = F.lit(text).cast(NUMBER_TYPE)
+    fine, exact = literal.try_cast(FINE_TYPE), F.lit(text).try_cast(FINE_TYPE)
+    sure = F.when(value < coarse, -1).when(value > coarse, 1)
+    near = F.when(fine < exact, -1).when(fine > exact, 1)
+    return F.when(value.isNull(), None).otherwise(F.coalesce(sure, near, F.lit(0)))
+
+
 def number_display(literal: Column) -> Column:
     """How a parsed number is printed in a failure text: scale kept, no plus sign."""
     plain = F.regexp_replace(literal, r"^\+", "")
@@ -119,7 +149,7 @@ def parse_time(value: Column) -> Column:
     # Spellings Spark's own parser misses: a zone named GMT, a zone after hours and minutes.
     padded = F.regexp_replace(trimmed, r"^(\S+[T ][0-9]{1,2}:[0-9]{1,2})(?=\s*(?:Z|GMT|[+-]))", "$1:00")
     iso = F.coalesce(F.try_to_timestamp(trimmed), F.try_to_timestamp(F.regexp_replace(padded, r"\s*GMT$", "Z")))
-    undated = F.regexp_replace(trimmed, r"^[A-Za-z]{3}, ", "")
+    undated = F.regexp_replace(trimmed, r"^(?:[A-Za-z]{3}|[A-Za-z]{3,6}day), ", "")
     parsed = F.when(value.rlike(_ISO_TIME), iso)
     for shape, pattern in _OTHER_TIMES:
         parsed = parsed.when(undated.rlike(shape), F.try_to_timestamp(undated, F.lit(pattern)))

@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from sunledger.operators.registry import LINEAGE, Mapping
 
 
+# Names that the job gives to columns of its own, and to partitions.
+WORK_COLUMNS = (
+    "dataset_id", "file_path", "block_start", "scan_id", "failures", "row_index", "reason_code", "ingestion_date", "data_date",
+    "event_schema_version", "event_site_id", "parse_id",
+)
+
+
 class RawLayout:
     """The header of a group of files, and the text column behind each name.
 
@@ -52,3 +59,19 @@ class RawLayout:
         taken |= {c.canonical_field.lower() for c in mapping.columns}
         taken |= set(LINEAGE)
         return [spelling for key, spelling in self._spelling.items() if key not in taken]
+
+    def stored_names(self, mapping: Mapping) -> dict[str, str]:
+        """How each name of :meth:`pass_through` is stored: as it is, or after ``vendor_`` where
+        the job uses the name itself. An empty name is stored as ``vendor_``."""
+        names = self.pass_through(mapping)
+        used = {n.lower() for n in names} - set(WORK_COLUMNS)
+        stored = {}
+        for name in names:
+            new = name
+            if name.lower() in WORK_COLUMNS or not name.strip() or name.startswith("__"):
+                new = f"vendor_{name}"
+                while new.lower() in used:
+                    new = f"vendor_{new}"
+                used.add(new.lower())
+            stored[name] = new
+        return stored

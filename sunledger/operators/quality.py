@@ -66,11 +66,6 @@ def _bound_text(bound: Decimal) -> str:
     return text.rstrip("0").rstrip(".") if "." in text else text
 
 
-def _bound(bound: Decimal) -> Column:
-    # The type of the compared value, so that no comparison needs a wider decimal.
-    return F.lit(_bound_text(bound)).cast(S.NUMBER_TYPE)
-
-
 def _numeric_checks(i: int, rule: ColumnRule, raw: Column) -> list[tuple]:
     name, value, literal = rule.vendor_column, F.col(number_name(i)), F.col(literal_name(i))
     shown = S.number_display(literal)
@@ -80,8 +75,8 @@ def _numeric_checks(i: int, rule: ColumnRule, raw: Column) -> list[tuple]:
         return F.concat(F.lit(f"Field '{name}' value "), shown, F.lit(f" {words}"))
 
     low, high = rule.min_value, rule.max_value
-    below = value < _bound(low) if low is not None else F.lit(False)
-    above = value > _bound(high) if high is not None else F.lit(False)
+    below = S.compares(literal, value, low) < 0 if low is not None else F.lit(False)
+    above = S.compares(literal, value, high) > 0 if high is not None else F.lit(False)
     checks = [
         (
             name,

@@ -95,7 +95,7 @@ def conform(
         for i, rule in enumerate(mapping.columns)
         if rule.canonical_field.lower() not in LINEAGE
     ]
-    extra = [layout.get(name).alias(name) for name in layout.pass_through(mapping)]
+    extra = [layout.get(name).alias(stored) for name, stored in layout.stored_names(mapping).items()]
     return checked.select(
         *carry,
         "failures",

@@ -10,7 +10,7 @@ import time
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunledger.functions import uris
@@ -23,7 +23,7 @@ from sunledger.operators import transform as X
 from sunledger.operators.layout import RawLayout
 from sunledger.session import materialise, prepare, work_dir
 from sunledger.sinks import outcomes as O
-from sunledger.sinks import outgoing, quarantine, silver
+from sunledger.sinks import folders, outgoing, quarantine, silver
 from sunledger.sources import csv as C
 from sunledger.sources import files as Fs
 
@@ -40,12 +40,12 @@ class IngestConfig:
     bronze_root: str
     silver_root: str
     outcome_root: str
+    run_id: str  # a run that is repeated under its id replaces its own outcomes
     mode: str = "dataset"  # "dataset": one bad row rejects its dataset; "row": bad rows go to quarantine
     compat: bool = True  # False: unreadable ints, flags and times are failures instead of defaults
     partition_by: str = "ingestion_date"
     site_id_from_event: bool = False
     silver_uri_base: str = "https://storage.example.org/silver"
-    run_id: str = "batch"
     ingestion_time: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
     contract: E.EventContract = field(default_factory=E.EventContract)
     max_files_per_wave: int = 20_000
@@ -64,14 +64,13 @@ class IngestConfig:
 def accept_events(spark: SparkSession, events: DataFrame, registry: DataFrame, cfg: IngestConfig) -> DataFrame:
     """Every event with its file and mapping, or the first reason that rejects it.
 
-    Adds ``reason``, ``payload``, ``superseded``, ``file_path`` and the mapping
+    Adds ``reason``, ``payload``, ``turn``, ``file_path`` and the mapping
     columns. Reasons so far: the envelope checks, unknown schema, missing file.
     """
     base = work_dir(spark, "events")
     checked = materialise(E.check_events(events, cfg.contract), f"{base}/checked")
     sound = checked.filter(F.col("reason").isNull())
-    counted = E.latest_per_dataset(sound)
-    resolved = R.resolve(counted, registry)
+    resolved = R.resolve(E.in_version_order(sound), registry)
     path = F.concat_ws("/", uris.container(F.col("storage_path")), uris.blob(F.col("storage_path")))
     folders = sound.select(F.regexp_replace(path, "/[^/]*$", "").alias("folder"))
     listing = Fs.list_files(spark, cfg.bronze_root, folders).select(
@@ -101,7 +100,7 @@ def accept_events(spark: SparkSession, events: DataFrame, registry: DataFrame, c
         absent, F.to_json(F.struct(F.lit("SourceFileNotFound").alias("error_type"), "dataset_id", "storage_path"))
     )
     located = located.withColumn("reason", reason).withColumn("payload", payload)
-    rejected = checked.filter(F.col("reason").isNotNull()).withColumn("superseded", F.lit(False))
+    rejected = checked.filter(F.col("reason").isNotNull())
     return materialise(located.unionByName(rejected, allowMissingColumns=True), f"{base}/accepted")
 
 
@@ -148,8 +147,7 @@ def _stage(spark: SparkSession, group: list[_Layout], info: DataFrame, cfg: Inge
             rows = C.scan_spanning_rows(spark, layout.paths, width, delimiter, f"{path}-lines-{i}")
         else:
             rows = C.scan_rows(spark, layout.paths, width, delimiter)
-        # At most ``max_files_per_wave`` short rows.
-        rows = rows.join(F.broadcast(info), "file_path")
+        rows = rows.join(info, "file_path")
         done = X.conform(
             rows,
             layout.mapping,
@@ -252,9 +250,13 @@ def _wave(
         else:
             failed = verdict.filter(~F.col("is_success")).select("dataset_id")
             kept = staged.join(failed, "dataset_id", "left_anti")
-        stored = [f for f in kept.columns if f not in ("file_path", "block_start", "scan_id", "failures")]
+        passed = verdict.filter("bad_rows < row_count" if cfg.mode == "row" else "is_success").select("dataset_id")
+        silver.drop_replaced(
+            spark, cfg.silver_root, key, [r.dataset_id for r in verdict.filter(_complete(cfg)).select("dataset_id").collect()],
+            [r.dataset_id for r in passed.collect()], cfg.ingestion_date, cfg.partition_by,
+        )
         silver.write_silver(
-            kept.select(*stored).withColumnRenamed("dataset_id", "source_dataset_id"),
+            kept.drop("file_path", "block_start", "scan_id", "failures").withColumnRenamed("dataset_id", "source_dataset_id"),
             silver.silver_root(cfg.silver_root, key),
             cfg.ingestion_date,
             cfg.partition_by,
@@ -275,6 +277,11 @@ def _wave(
     return outcome
 
 
+def _complete(cfg: IngestConfig) -> Column:
+    """Whether a verdict lets its dataset take the place of an older one."""
+    return F.lit(True) if cfg.mode == "row" else F.col("is_success")
+
+
 def _judge(readable: DataFrame, refused: DataFrame, failures: DataFrame, verdicts: DataFrame, cfg: IngestConfig) -> DataFrame:
     """Completed or rejected, with counts and the dead-letter payload."""
     report = Q.failure_report(failures).withColumnRenamed("fail_count", "failure_total")
@@ -328,7 +335,7 @@ def _publish(outcome: DataFrame, cfg: IngestConfig, part: str) -> None:
     """Notifications, dead letters and ledger rows of one part of a run."""
     full = outcome.select(
         "*",
-        F.when(F.col("superseded"), "Superseded").when(F.col("reason").isNull(), "Completed").otherwise("Failed").alias("status"),
+        F.when(F.col("reason").isNull(), "Completed").otherwise("Failed").alias("status"),
         A.stage_of(F.col("reason")).alias("stage"),
     )
     completed = full.filter(F.col("status") == "Completed").select(
@@ -357,8 +364,9 @@ def run_batch(spark: SparkSession, events: DataFrame, registry: DataFrame, confi
     prepare(spark)
     cfg = replace(config, bronze_root=config.bronze_root.rstrip("/"))
     base = work_dir(spark, f"run-{cfg.run_id}")
+    O.clear_run(spark, cfg.outcome_root, cfg.run_id)
     accepted = accept_events(spark, events, registry, cfg)
-    settled = accepted.filter(F.col("reason").isNotNull() | F.col("superseded"))
+    settled = accepted.filter(F.col("reason").isNotNull())
     counts = {
         c: F.lit(0).cast("bigint").alias(c)
         for c in ("records_processed", "validation_pass_count", "validation_fail_count", "processing_duration_ms")
@@ -366,24 +374,26 @@ def run_batch(spark: SparkSession, events: DataFrame, registry: DataFrame, confi
     _publish(
         settled.select(
             *[c for c in EVENT_COLUMNS],
-            F.when(~F.col("superseded"), F.col("reason")).alias("reason"),
+            "reason",
             "payload",
-            "superseded",
             *counts.values(),
             F.lit(None).cast("string").alias("output_path"),
         ),
         cfg,
         "events",
     )
-    ready = accepted.filter(F.col("reason").isNull() & ~F.col("superseded")).withColumn(
+    ready = accepted.filter(F.col("reason").isNull()).withColumn(
         "path", Fs.decoded_path(F.col("file_path"))
     )
-    waves = max(1, -(-ready.count() // cfg.max_files_per_wave))
+    # Versions of one dataset follow each other, so each wave holds a dataset once.
+    turns = {r.turn: r["count"] for r in ready.groupBy("turn").count().collect()}
     used = ready.select(*[f.split()[0] for f in ("registry_key", "delimiter", "pass_through_unmapped", "required_fields", "column_mappings")])
     mappings = {r.registry_key: R.Mapping.from_row(r) for r in used.dropDuplicates(["registry_key"]).collect()}
-    if mappings:
+    for turn, events_of_turn in sorted(turns.items()):
+        waves = -(-events_of_turn // cfg.max_files_per_wave)
         for w in range(waves):
-            chosen = ready.filter(F.pmod(F.xxhash64("file_path"), F.lit(waves)) == w)
-            outcome = _wave(spark, chosen, mappings, cfg, f"{base}/wave-{w}", f"wave-{w}")
-            _publish(outcome.withColumn("superseded", F.lit(False)), cfg, f"wave-{w}")
-    return O.read_table(spark, cfg.outcome_root, "ledger", O.LEDGER_SCHEMA).filter(F.col("run_id") == cfg.run_id)
+            chosen = ready.filter((F.col("turn") == turn) & (F.pmod(F.xxhash64("file_path"), F.lit(waves)) == w))
+            name = f"wave-{turn}-{w}"
+            _publish(_wave(spark, chosen, mappings, cfg, f"{base}/{name}", name), cfg, name)
+            folders.delete(spark, f"{base}/{name}")
+    return O.read_run(spark, cfg.outcome_root, "ledger", cfg.run_id, O.LEDGER_SCHEMA)

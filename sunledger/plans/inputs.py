@@ -28,11 +28,8 @@ RUN_TIME = "2026-01-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. One that is read in fewer tasks than there are cores is spread
-    over them; a table of many files or row groups is not shuffled."""
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    """A given table; ``spark.sql.files.maxPartitionBytes`` decides over how many tasks it is read."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def money_text(column: str) -> Column:
@@ -164,12 +161,8 @@ def write_lines(lines: DataFrame, root: str) -> None:
     )
 
 
-FILES, MAX_FILE_ROWS = 20, 1_000_000
-
-
-def file_width(spark: SparkSession, sf_dir: str) -> int:
-    """Events per vendor file: a twentieth of the table, at most a million."""
-    return max(1, min(MAX_FILE_ROWS, table(spark, sf_dir, "events").count() // FILES))
+# Events per vendor file and documents per text file, so the number of files follows the table.
+FILE_ROWS, FILE_TEXTS = 125, 20
 
 
 def vendor_lines(spark: SparkSession, sf_dir: str, width: int) -> DataFrame:

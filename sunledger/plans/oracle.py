@@ -6,7 +6,8 @@ derived inputs are built again in SQL, and the results computed from them.
 
 from __future__ import annotations
 
-from sunledger.plans.inputs import FILES, MAX_FILE_ROWS
+from sunledger.plans.inputs import FILE_ROWS as EVENTS_PER_FILE
+from sunledger.plans.inputs import FILE_TEXTS
 
 MONEY = "CAST(CAST({} AS DECIMAL(12,2)) AS VARCHAR)"
 VALUE = MONEY.format("value")
@@ -262,7 +263,7 @@ LINE_COLUMNS = """l_suppkey AS site_id, shipped AS timestamp, 'order-' || l_orde
 # --- vendor files ------------------------------------------------------------------------
 
 FILE_ROWS = f"""
-sized AS (SELECT greatest(1, least({MAX_FILE_ROWS}, count(*) // {FILES})) AS width FROM events),
+sized AS (SELECT {EVENTS_PER_FILE} AS width),
 placed AS (
     SELECT e.event_id // width AS file_no, width, e.*,
            row_number() OVER (PARTITION BY e.event_id // width ORDER BY e.event_id) AS row_index
@@ -474,7 +475,7 @@ def oracle() -> dict[str, str]:
             WHERE event_type IN ('error', 'click') AND registry_key IN (SELECT registry_key FROM registry WHERE problem IS NULL)
             UNION ALL SELECT CAST(event_id AS VARCHAR), 'SourceFileNotFound' FROM open
             WHERE event_type IN ('signup', 'purchase') AND value < 40""",
-        "encoding_gate": """WITH sized AS (SELECT greatest(1, least(1000, count(*) // 20)) AS width FROM documents),
+        "encoding_gate": f"""WITH sized AS (SELECT {FILE_TEXTS} AS width),
             parts AS (SELECT doc_id // width AS file_no, len([p FOR p IN regexp_split_to_array(text, '[\\r\\n]+') IF p <> '']) AS n
                       FROM documents, sized)
             SELECT file_no, CASE file_no % 5 WHEN 1 THEN 'UTF-16 LE' WHEN 3 THEN 'non-UTF-8' WHEN 4 THEN 'UTF-16 BE' END AS detected_encoding,

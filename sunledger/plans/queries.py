@@ -592,10 +592,10 @@ def _file_no() -> Column:
 
 @query
 def encoding_gate(spark, sf_dir):
-    """Encoding and data lines of text files made from the documents, a tenth of them per file kind."""
+    """Encoding and data lines of text files made from the documents, a fifth of the files of each kind."""
     root = work_dir(spark, "texts")
     documents = I.table(spark, sf_dir, "documents")
-    width = max(1, min(1000, documents.count() // 20))
+    width = I.FILE_TEXTS
     numbered = documents.select(F.expr(f"doc_id div {width}").alias("file_no"), "doc_id", "text")
     lines = numbered.select(
         "file_no", F.posexplode(F.split("text", "[\r\n]+")).alias("n", "value"), (F.col("doc_id") * 1_000_000).alias("base")
@@ -617,7 +617,7 @@ def encoding_gate(spark, sf_dir):
 
 def _vendor_files(spark, sf_dir, root: str) -> DataFrame:
     """Write the vendor files; returns ``file_no`` and ``file_path`` of each."""
-    I.write_lines(I.vendor_lines(spark, sf_dir, I.file_width(spark, sf_dir)), root)
+    I.write_lines(I.vendor_lines(spark, sf_dir, I.FILE_ROWS), root)
     return Fs.list_files(spark, root).select(_file_no().alias("file_no"), "file_path").filter(F.col("file_no").isNotNull())
 
 
@@ -719,8 +719,9 @@ def _file_registry(session: SparkSession) -> DataFrame:
 
 def _config(root: str) -> IngestConfig:
     return IngestConfig(
-        bronze_root=f"{root}/bronze-root", silver_root=f"{root}/silver", outcome_root=f"{root}/out", ingestion_time=RUN
-    )
+        bronze_root=f"{root}/bronze-root", silver_root=f"{root}/silver", outcome_root=f"{root}/out", run_id="query",
+        ingestion_time=RUN,
+    )
 
 
 def _outcomes(ledger: DataFrame) -> DataFrame:

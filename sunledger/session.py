@@ -61,6 +61,8 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         "spark.checkpoint.dir"
     )
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if _local_scratch is None:
             _local_scratch = tempfile.mkdtemp(prefix="sunledger-")
         root = _local_scratch

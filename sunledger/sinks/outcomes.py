@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
+from sunledger.sinks import folders
+
+TABLES = ("ledger", "dead_letter", "notifications", "validated_events", "quarantine_rows", "quarantine_records")
+
 LEDGER_SCHEMA = """
     event_key STRING, event_id STRING, dataset_id STRING, status STRING, stage STRING, reason STRING,
     records_processed BIGINT, validation_pass_count BIGINT, validation_fail_count BIGINT,
@@ -24,6 +28,23 @@ def write_part(df: DataFrame, root: str, table: str, run_id: str, part: str, by:
     writer.parquet(f"{root.rstrip('/')}/{table}/run_id={run_id}/part={part}")
 
 
+def clear_run(spark: SparkSession, root: str, run_id: str) -> None:
+    """Remove what an earlier run of this id has left in the outcome tables."""
+    for table in TABLES:
+        folders.delete(spark, f"{root.rstrip('/')}/{table}/run_id={run_id}")
+
+
+def read_run(spark: SparkSession, root: str, table: str, run_id: str, schema: str) -> DataFrame:
+    """The rows of one run; other runs are not listed."""
+    base = f"{root.rstrip('/')}/{table}"
+    try:
+        return spark.read.option("mergeSchema", True).option("basePath", base).parquet(f"{base}/run_id={run_id}")
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_table(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
     """An outcome table over all runs; an empty one when nothing was written yet."""
     try:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sunledger.operators.registry import LINEAGE, Mapping
 from sunledger.operators.transform import output_schema
+from sunledger.sinks import folders
 
 
 def silver_root(root: str, registry_key: str) -> str:
@@ -36,6 +37,26 @@ def write_silver(rows: DataFrame, root: str, ingestion_date: str, partition_by:
     )
 
 
+def drop_replaced(
+    spark: SparkSession, root: str, registry_key: str, replaced: list[str], written: list[str], date: str, partition_by: str
+) -> None:
+    """Remove what datasets wrote earlier and the next write will not overwrite.
+
+    ``replaced`` are the datasets (of one wave) that completed, ``written`` those
+    with rows. That is: the same date under another mapping, everything of the
+    date when no row is left, and with ``data_date`` all earlier dates.
+    """
+    keys, filled = folders.children(spark, root), set(written)
+    for dataset in replaced:
+        folder = folders.partition_folder(spark, "source_dataset_id", dataset)
+        for key in keys:
+            where = f"{silver_root(root, key)}/{folder}"
+            if partition_by == "data_date":
+                folders.delete(spark, where)
+            elif key != registry_key or dataset not in filled:
+                folders.delete(spark, f"{where}/{partition_by}={date}")
+
+
 def read_silver(spark: SparkSession, root: str, mapping: Mapping | None = None) -> DataFrame:
     """Read back: lineage columns first, then the mapped and raw columns.
 
@@ -44,7 +65,7 @@ def read_silver(spark: SparkSession, root: str, mapping: Mapping | None = None)
     """
     found = spark.read.option("mergeSchema", True).parquet(root)
     own = [f.name for f in output_schema(mapping)] if mapping else list(LINEAGE)
-    return found.select(*own, *[c for c in found.columns if c not in own])
+    return found.select(*own, *[f"`{c.replace('`', '``')}`" for c in found.columns if c not in own])
 
 
 def partition_uri(base: str, registry_key: Column, dataset_id: Column, date: Column | None) -> Column:

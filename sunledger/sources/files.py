@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -16,31 +14,31 @@ def decoded_path(file_path: Column) -> Column:
     return percent_decode(file_path)
 
 
-# More folders than this are found faster by listing everything.
-MAX_LISTED_FOLDERS = 200
+# Folders that one pattern names.
+FOLDERS_PER_LISTING = 200
 
 
 def list_files(spark: SparkSession, root: str, folders: DataFrame | None = None) -> DataFrame:
     """``file_path`` and ``length`` of every file below ``root``; contents are not read.
 
     ``folders`` (one ``folder`` per row, relative to the root) narrows the listing
-    to those folders while they are few, which spares a small batch of events a
-    listing of the whole lake. Folders that do not exist are skipped.
+    to those folders, which spares a batch of events a listing of the whole lake.
+    Folders that do not exist are skipped.
     """
-    reader, where = spark.read.format("binaryFile").option("recursiveFileLookup", True), root
+    reader, wheres = spark.read.format("binaryFile").option("recursiveFileLookup", True), [root]
     if folders is not None:
-        names = [r.folder for r in folders.select("folder").distinct().limit(MAX_LISTED_FOLDERS + 1).collect()]
-        if not names:
-            return spark.createDataFrame([], "file_path string, length bigint")
-        if len(names) <= MAX_LISTED_FOLDERS and all(re.fullmatch(r"[\w=./ -]+", n) for n in names):
-            where = f"{as_glob(root)}/{{{','.join(sorted(names))}}}"
-    try:
-        found = reader.load(where)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "file_path string, length bigint")
-    listed = found.select(F.col("_metadata.file_path").alias("file_path"), "length")
+        names = sorted(r.folder for r in folders.select("folder").distinct().collect())
+        chunks = [names[i : i + FOLDERS_PER_LISTING] for i in range(0, len(names), FOLDERS_PER_LISTING)]
+        wheres = [f"{as_glob(root)}/{{{','.join(map(as_glob, chunk))}}}" for chunk in chunks]
+    listed = spark.createDataFrame([], "file_path string, length bigint")
+    for where in wheres:
+        try:
+            found = reader.load(where)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        listed = listed.union(found.select(F.col("_metadata.file_path").alias("file_path"), "length"))
     # One listed folder may lie inside another.
     return listed if folders is None else listed.dropDuplicates(["file_path"])
 

@@ -40,13 +40,13 @@ def failures(spark, m, rows, **more):
     "m, rows, expected",
     [
         (mapping(), [(GOOD, "s", "1.5"), (GOOD, "s", "2")], []),
-        (mapping(0), [(GOOD, "s", "-1.0")], [(1, "pwr_kw", "NumericRange")]),
-        (mapping(0, 1000), [(GOOD, "s", "1001.0")], [(1, "pwr_kw", "NumericRange")]),
-        (mapping(0, 1000), [(GOOD, "s", "0.0"), (GOOD, "s", "1000.0")], []),
-        (mapping(), [(GOOD, "s", "-99999.9")], []),
-        (mapping(), [("not-a-datetime", "s", "1")], [(1, "ts", "NumericParse")]),
+        (mapping(0), [(GOOD, "s", "-3.25"), (GOOD, "s", "-0.0000000001"), (GOOD, "s", "-0.0")], [(1, "pwr_kw", "NumericRange"), (2, "pwr_kw", "NumericRange")]),
+        (mapping(0, 640), [(GOOD, "s", "640.0000000001"), (GOOD, "s", "6.4e2")], [(1, "pwr_kw", "NumericRange")]),
+        (mapping(-4, 640), [(GOOD, "s", "-4.00"), (GOOD, "s", "640.000")], []),
+        (mapping(), [(GOOD, "s", "-73215.5")], []),
+        (mapping(), [("soon", "s", "7")], [(1, "ts", "NumericParse")]),
         (mapping(required=("sid",)), [("", "s", "1")], [(1, "ts", "RequiredField")]),
-        (mapping(), [("", "s", "1"), ("bad-value", "s", "1")], [(1, "ts", "RequiredField"), (2, "ts", "NumericParse")]),
+        (mapping(), [("", "s", "1"), ("noon-ish", "s", "1")], [(1, "ts", "RequiredField"), (2, "ts", "NumericParse")]),
         (mapping(required=("ts", "sid", "pwr_kw")), [(GOOD, "s", " ")], [(1, "pwr_kw", "RequiredField"), (1, "pwr_kw", "NumericParse")]),
         (mapping(), [(GOOD, "s", "9999999999")], [(1, "pwr_kw", "NumericRange")]),
         (mapping(), [(GOOD, None, None)], [(1, "sid", "RequiredField"), (1, "pwr_kw", "NumericParse")]),
