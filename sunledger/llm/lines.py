@@ -135,7 +135,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     index of their character shingles is 0.8 or more. Of each component the
     first line of the smallest doc_id stays, all others go from every document;
     blank lines stay. Null and empty texts and rows without an id are returned
-    as they are, n_removed 0; rows that repeat an id lose the same lines. Other
+    as they are, n_removed 0; rows that repeat an id lose the lines of the same numbers. Other
     columns keep their values; columns named n_lines or n_removed are replaced.
     """
     gone = removed_lines(docs).select(F.col("doc_id").alias("__doc"), F.col("removed").alias("__gone"))

@@ -29,4 +29,18 @@ SELECT n.vec_id, coalesce(k.links, 0) AS n_links, least(n.vec_id, coalesce(c.lea
 FROM n LEFT JOIN c ON c.a = n.vec_id LEFT JOIN k ON k.a = n.vec_id
 """
 
-SQL: dict[str, str] = {"op6_embedding_near_dedup": OP6, "op9_warc": OP9}
+OP8 = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, p, md5(array_to_string(ws[p:p + 49], ' ')) AS h
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM w WHERE len(ws) >= 50)),
+f AS (SELECT h, min(doc_id) AS least FROM s GROUP BY h),
+g AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS k FROM s JOIN f USING (h) WHERE doc_id > least),
+k AS (SELECT doc_id, count(*) AS n, list(k) AS gone FROM g GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(array_to_string(CASE WHEN n IS NULL THEN ws ELSE
+           list_transform(list_filter(range(1, len(ws) + 1), lambda i: NOT list_contains(gone, i)), lambda i: ws[i]) END, ' ')
+       ) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op6_embedding_near_dedup": OP6, "op8_substring_dedup": OP8, "op9_warc": OP9}
