@@ -162,17 +162,17 @@ def write_lines(lines: DataFrame, root: str) -> None:
 
 
 # Events per vendor file and documents per text file, so the number of files follows the table.
-FILE_ROWS, FILE_TEXTS = 125, 20
+FILE_ROWS, FILE_TEXTS = 250, 20
 
 
-def vendor_lines(spark: SparkSession, sf_dir: str, width: int) -> DataFrame:
+def vendor_lines(events: DataFrame, width: int) -> DataFrame:
     """Lines of vendor files of ``width`` consecutive events each, header first.
 
     Of every eight files one has broken values and one ends with an invalid
     byte; every second file has another column order and an extra column with
     quoted commas.
     """
-    events = table(spark, sf_dir, "events").withColumn("file_no", F.expr(f"event_id div {width}"))
+    events = events.withColumn("file_no", F.expr(f"event_id div {width}"))
     broken = telemetry_fields()
     kind, swapped = F.col("file_no") % 8, F.col("file_no") % 2 == 1
     stamp = F.when(kind == 1, broken["ts"]).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))

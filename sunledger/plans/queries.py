@@ -615,9 +615,9 @@ def encoding_gate(spark, sf_dir):
     return profile.select(_file_no().alias("file_no"), "detected_encoding", "data_lines", "header_line")
 
 
-def _vendor_files(spark, sf_dir, root: str) -> DataFrame:
-    """Write the vendor files; returns ``file_no`` and ``file_path`` of each."""
-    I.write_lines(I.vendor_lines(spark, sf_dir, I.FILE_ROWS), root)
+def _vendor_files(spark, events: DataFrame, root: str, width: int = I.FILE_ROWS) -> DataFrame:
+    """Write the vendor files of ``width`` events each; returns ``file_no`` and ``file_path`` of each."""
+    I.write_lines(I.vendor_lines(events, width), root)
     return Fs.list_files(spark, root).select(_file_no().alias("file_no"), "file_path").filter(F.col("file_no").isNotNull())
 
 
@@ -625,7 +625,7 @@ def _vendor_files(spark, sf_dir, root: str) -> DataFrame:
 def csv_scan_row_index(spark, sf_dir):
     """Rows of all vendor files, whatever their header, with their position in the file."""
     root = work_dir(spark, "vendor")
-    listed = _vendor_files(spark, sf_dir, root)
+    listed = _vendor_files(spark, I.table(spark, sf_dir, "events"), root)
     heads = C.profile_files(spark, [root]).join(listed, "file_path").select(
         "header_line", "may_span_lines", Fs.decoded_path(F.col("file_path")).alias("path")
     )
@@ -652,7 +652,7 @@ def csv_scan_row_index(spark, sf_dir):
 def header_groups(spark, sf_dir):
     """Files per distinct header."""
     root = work_dir(spark, "vendor")
-    _vendor_files(spark, sf_dir, root)
+    _vendor_files(spark, I.table(spark, sf_dir, "events"), root)
     return C.profile_files(spark, [root]).groupBy("header_line").agg(
         F.count("*").alias("files"), F.sum("data_lines").alias("data_lines")
     )
@@ -670,10 +670,10 @@ FILE_MAPPING = {
 }
 
 
-def _ingest_inputs(spark, sf_dir) -> str:
+def ingest_inputs(spark, events: DataFrame, width: int = I.FILE_ROWS) -> str:
     """Vendor files and one event per file below a new folder."""
     root = work_dir(spark, "ingest")
-    listed = _vendor_files(spark, sf_dir, f"{root}/bronze-root/bronze")
+    listed = _vendor_files(spark, events, f"{root}/bronze-root/bronze", width)
     kind = F.col("file_no") % 8
     blob = Fs.relative_path(F.col("file_path"), f"{root}/bronze-root/bronze")
     number = F.lpad(F.col("file_no").cast("string"), 12, "0")
@@ -713,11 +713,11 @@ def _ingest_inputs(spark, sf_dir) -> str:
     return root
 
 
-def _file_registry(session: SparkSession) -> DataFrame:
+def file_registry(session: SparkSession) -> DataFrame:
     return parse_mappings(session.createDataFrame([("PVDAQ-v1", json.dumps(FILE_MAPPING))], "registry_key string, body string"))
 
 
-def _config(root: str) -> IngestConfig:
+def ingest_config(root: str) -> IngestConfig:
     return IngestConfig(
         bronze_root=f"{root}/bronze-root", silver_root=f"{root}/silver", outcome_root=f"{root}/out", run_id="query",
         ingestion_time=RUN,
@@ -731,15 +731,15 @@ def _outcomes(ledger: DataFrame) -> DataFrame:
 @query
 def ingest_outcomes(spark, sf_dir):
     """The batch job over vendor files, events and a registry: one outcome per event."""
-    root = _ingest_inputs(spark, sf_dir)
-    return _outcomes(run_batch(spark, Ev.read_events(spark, f"{root}/events"), _file_registry(spark), _config(root)))
+    root = ingest_inputs(spark, I.table(spark, sf_dir, "events"))
+    return _outcomes(run_batch(spark, Ev.read_events(spark, f"{root}/events"), file_registry(spark), ingest_config(root)))
 
 
 @query
 def ingest_silver(spark, sf_dir):
     """The silver rows the batch job writes, read back."""
-    root = _ingest_inputs(spark, sf_dir)
-    run_batch(spark, Ev.read_events(spark, f"{root}/events"), _file_registry(spark), _config(root))
+    root = ingest_inputs(spark, I.table(spark, sf_dir, "events"))
+    run_batch(spark, Ev.read_events(spark, f"{root}/events"), file_registry(spark), ingest_config(root))
     rows = silver.read_silver(spark, silver.silver_root(f"{root}/silver", "PVDAQ-v1"))
     return rows.select("site_id", _local_time(), "source_dataset_id", "schema_version", "power_w", "note", "ingestion_date")
 
@@ -747,12 +747,12 @@ def ingest_silver(spark, sf_dir):
 @query
 def streaming_equals_batch(spark, sf_dir):
     """The same events as a stream, some files per micro-batch; the outcomes of all batches."""
-    root = _ingest_inputs(spark, sf_dir)
+    root = ingest_inputs(spark, I.table(spark, sf_dir, "events"))
     stream = run_stream(
         spark,
         Ev.stream_events(spark, f"{root}/events"),
-        _file_registry,
-        _config(root),
+        file_registry,
+        ingest_config(root),
         os.path.join(root, "checkpoint"),
         available_now=True,
         drop_copies_within="1 hour",
