@@ -487,6 +487,13 @@ def oracle() -> dict[str, str]:
             count(*) AS files, CAST(sum(n) AS BIGINT) AS data_lines FROM outcomes GROUP BY 1""",
         "ingest_outcomes": OUTCOMES,
         "streaming_equals_batch": OUTCOMES,
+        "older_version_survives": f"""WITH {FILE_ROWS} SELECT dataset_id, (reason IS NULL)::BIGINT AS completed,
+            2 - (reason IS NULL)::BIGINT AS failed, CASE WHEN reason IS NULL THEN n ELSE 0 END AS silver_rows FROM reasons""",
+        "ingest_pass_through": f"""WITH {FILE_ROWS} SELECT f.sid AS site_id, CAST(f.ts AS TIMESTAMP) AS timestamp,
+            r.dataset_id AS source_dataset_id, CAST(CAST(f.pwr_kw AS DECIMAL(12,2)) * 1000 AS DECIMAL(18,6)) AS power_w,
+            CASE WHEN f.file_no % 2 = 1 THEN 'kind ' || f.event_type || ', ' || f.event_id END AS dc,
+            CASE WHEN f.file_no % 2 = 1 THEN 'mine' END AS vendor_file_path
+            FROM file_rows f JOIN reasons r ON r.file_no = f.file_no WHERE r.reason IS NULL""",
         "ingest_silver": f"""WITH {FILE_ROWS} SELECT f.sid AS site_id, CAST(f.ts AS TIMESTAMP) AS timestamp, r.dataset_id AS source_dataset_id,
             'v1' AS schema_version, CAST(CAST(f.pwr_kw AS DECIMAL(12,2)) * 1000 AS DECIMAL(18,6)) AS power_w,
             CASE WHEN f.file_no % 2 = 1 THEN 'kind ' || f.event_type || ', ' || f.event_id END AS note, '2026-01-01' AS ingestion_date

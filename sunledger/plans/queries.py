@@ -615,9 +615,13 @@ def encoding_gate(spark, sf_dir):
     return profile.select(_file_no().alias("file_no"), "detected_encoding", "data_lines", "header_line")
 
 
-def _vendor_files(spark, events: DataFrame, root: str, width: int = I.FILE_ROWS) -> DataFrame:
+def _same(lines: DataFrame) -> DataFrame:
+    return lines
+
+
+def _vendor_files(spark, events: DataFrame, root: str, width: int = I.FILE_ROWS, change=_same) -> DataFrame:
     """Write the vendor files of ``width`` events each; returns ``file_no`` and ``file_path`` of each."""
-    I.write_lines(I.vendor_lines(events, width), root)
+    I.write_lines(change(I.vendor_lines(events, width)), root)
     return Fs.list_files(spark, root).select(_file_no().alias("file_no"), "file_path").filter(F.col("file_no").isNotNull())
 
 
@@ -670,10 +674,10 @@ FILE_MAPPING = {
 }
 
 
-def ingest_inputs(spark, events: DataFrame, width: int = I.FILE_ROWS) -> str:
+def ingest_inputs(spark, events: DataFrame, width: int = I.FILE_ROWS, change=_same) -> str:
     """Vendor files and one event per file below a new folder."""
     root = work_dir(spark, "ingest")
-    listed = _vendor_files(spark, events, f"{root}/bronze-root/bronze", width)
+    listed = _vendor_files(spark, events, f"{root}/bronze-root/bronze", width, change)
     kind = F.col("file_no") % 8
     blob = Fs.relative_path(F.col("file_path"), f"{root}/bronze-root/bronze")
     number = F.lpad(F.col("file_no").cast("string"), 12, "0")
@@ -744,6 +748,45 @@ def ingest_silver(spark, sf_dir):
     return rows.select("site_id", _local_time(), "source_dataset_id", "schema_version", "power_w", "note", "ingestion_date")
 
 
+@query
+def older_version_survives(spark, sf_dir):
+    """Every event again as version 2 of its dataset, announcing a file that is not there: what silver holds after."""
+    root = ingest_inputs(spark, I.table(spark, sf_dir, "events"))
+    sent = spark.read.text(f"{root}/events")
+    newer = F.replace("value", F.lit('"version":1'), F.lit('"version":2'))
+    newer = F.replace(newer, F.lit('"id":"00000000-0000-4000-8'), F.lit('"id":"00000000-0000-4000-9'))
+    newer = F.regexp_replace(newer, '"storage_path":"([^"]*)"', '"storage_path":"$1.none"')
+    materialise(sent, f"{root}/first").select(newer.alias("value")).write.mode("append").text(f"{root}/events")
+    ledger = run_batch(spark, Ev.read_events(spark, f"{root}/events"), file_registry(spark), ingest_config(root))
+    done = ledger.groupBy("dataset_id").agg(
+        F.count_if(F.col("status") == "Completed").alias("completed"), F.count_if(F.col("status") == "Failed").alias("failed")
+    )
+    rows = silver.read_silver(spark, silver.silver_root(f"{root}/silver", "PVDAQ-v1"))
+    held = rows.groupBy(F.col("source_dataset_id").alias("dataset_id")).agg(F.count(F.lit(1)).alias("n"))
+    return done.join(held, "dataset_id", "left").select(
+        "dataset_id", "completed", "failed", F.coalesce("n", F.lit(0)).cast("bigint").alias("silver_rows")
+    )
+
+
+def _vendor_names(lines: DataFrame) -> DataFrame:
+    """The extra column under a name with a dot and brackets, and one more column named like a work column."""
+    head, odd = F.col("place") == -1, F.col("file_no") % 2 == 1
+    renamed = F.replace("value", F.lit(",note,"), F.lit(",dc_1.1_(kw),"))
+    value = F.when(odd & head, F.concat(renamed, F.lit(",file_path"))).when(odd, F.concat("value", F.lit(",mine")))
+    return lines.withColumn("value", value.otherwise(F.col("value")))
+
+
+@query
+def ingest_pass_through(spark, sf_dir):
+    """The batch job over vendor files with awkward column names, read back."""
+    root = ingest_inputs(spark, I.table(spark, sf_dir, "events"), change=_vendor_names)
+    run_batch(spark, Ev.read_events(spark, f"{root}/events"), file_registry(spark), ingest_config(root))
+    rows = silver.read_silver(spark, silver.silver_root(f"{root}/silver", "PVDAQ-v1"))
+    return rows.select(
+        "site_id", _local_time(), "source_dataset_id", "power_w", F.col("`dc_1.1_(kw)`").alias("dc"), "vendor_file_path"
+    )
+
+
 @query
 def streaming_equals_batch(spark, sf_dir):
     """The same events as a stream, some files per micro-batch; the outcomes of all batches."""
