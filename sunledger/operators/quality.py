@@ -66,6 +66,7 @@ def _bound_text(bound: Decimal) -> str:
     return text.rstrip("0").rstrip(".") if "." in text else text
 
 
+# The wording of the details below is fixed: consumers match it.
 def _numeric_checks(i: int, rule: ColumnRule, raw: Column) -> list[tuple]:
     name, value, literal = rule.vendor_column, F.col(number_name(i)), F.col(literal_name(i))
     shown = S.number_display(literal)

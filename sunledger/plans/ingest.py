@@ -46,6 +46,7 @@ class IngestConfig:
     partition_by: str = "ingestion_date"
     site_id_from_event: bool = False
     silver_uri_base: str = "https://storage.example.org/silver"
+    outcome_uri_base: str = "https://storage.example.org/outcomes"
     ingestion_time: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
     contract: E.EventContract = field(default_factory=E.EventContract)
     max_files_per_wave: int = 20_000
@@ -244,8 +245,8 @@ def _wave(
         if cfg.mode == "row":
             kept = Q.good_rows(staged)
             O.write_part(
-                quarantine.quarantine_rows(bad), cfg.outcome_root, "quarantine_rows", cfg.run_id, f"{part}-{n}",
-                by=["dataset_id"],
+                quarantine.quarantine_rows(bad), cfg.outcome_root, "quarantine_rows", cfg.run_id, part,
+                by=["dataset_id"], mode="append",
             )
         else:
             failed = verdict.filter(~F.col("is_success")).select("dataset_id")
@@ -325,7 +326,10 @@ def _judge(readable: DataFrame, refused: DataFrame, failures: DataFrame, verdict
 def _write_sidecars(outcome: DataFrame, failures: DataFrame, cfg: IngestConfig, part: str) -> None:
     events = outcome.select(*EVENT_COLUMNS, "reason", "payload")
     done = events.filter(F.col("reason").isNull())
-    path = F.concat_ws("/", F.lit(cfg.outcome_root.rstrip("/")), F.lit(f"quarantine_rows/run_id={cfg.run_id}"))
+    path = F.concat(
+        F.lit(f"{cfg.outcome_uri_base.rstrip('/')}/quarantine_rows/run_id={cfg.run_id}/part={part}/dataset_id="),
+        F.replace(F.url_encode("dataset_id"), F.lit("+"), F.lit("%20")),
+    )
     rows = quarantine.row_sidecars(failures.join(done.select("dataset_id"), "dataset_id", "left_semi"), done, cfg.moment, path)
     files = quarantine.file_sidecars(events.filter(F.col("reason").isNotNull()), cfg.moment)
     O.write_part(rows.unionByName(files), cfg.outcome_root, "quarantine_records", cfg.run_id, part)
@@ -385,6 +389,8 @@ def run_batch(spark: SparkSession, events: DataFrame, registry: DataFrame, confi
     ready = accepted.filter(F.col("reason").isNull()).withColumn(
         "path", Fs.decoded_path(F.col("file_path"))
     )
+    if cfg.mode == "row":
+        O.write_part(quarantine.file_sidecars(settled, cfg.moment), cfg.outcome_root, "quarantine_records", cfg.run_id, "events")
     # Versions of one dataset follow each other, so each wave holds a dataset once.
     turns = {r.turn: r["count"] for r in ready.groupBy("turn").count().collect()}
     used = ready.select(*[f.split()[0] for f in ("registry_key", "delimiter", "pass_through_unmapped", "required_fields", "column_mappings")])

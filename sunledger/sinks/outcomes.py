@@ -20,9 +20,11 @@ DEAD_LETTER_SCHEMA = """
 """
 
 
-def write_part(df: DataFrame, root: str, table: str, run_id: str, part: str, by: list[str] | None = None) -> None:
-    """Replace one part of one run of an outcome table."""
-    writer = df.write.mode("overwrite")
+def write_part(
+    df: DataFrame, root: str, table: str, run_id: str, part: str, by: list[str] | None = None, mode: str = "overwrite"
+) -> None:
+    """Replace one part of one run of an outcome table, or with ``mode="append"`` add to it."""
+    writer = df.write.mode(mode)
     if by:
         writer = writer.partitionBy(*by)
     writer.parquet(f"{root.rstrip('/')}/{table}/run_id={run_id}/part={part}")

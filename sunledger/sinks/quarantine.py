@@ -11,6 +11,8 @@ from sunledger.operators.quality import REASON_CODES
 
 LISTED_ROWS = 10
 WRITER = "processing-func"
+# The record contract requires members such as the device id even when there is no value.
+KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def quarantine_rows(bad: DataFrame) -> DataFrame:
@@ -88,7 +90,8 @@ def row_sidecars(failures: DataFrame, events: DataFrame, moment: Column, data_pa
                     data_path.alias("data_path"),
                     _source(),
                     F.transform("_rows", lambda r: r.dropFields("seq")).alias("rows"),
-                )
+                ),
+                KEEP_NULLS,
             ).alias("body"),
         )
     )
@@ -117,6 +120,7 @@ def file_sidecars(rejected: DataFrame, moment: Column) -> DataFrame:
                 F.col("storage_path").alias("data_path"),
                 _source(),
                 F.from_json("payload", "map<string,string>").alias("detail"),
-            )
+            ),
+            KEEP_NULLS,
         ).alias("body"),
     )

@@ -141,7 +141,7 @@ def test_row_mode_splits_rows(spark, ws):
     rows = ["read_at,plant,out_mw"] + [f"2025-07-02T11:{i:02d}:00Z,dune,{'x' if i % 3 == 0 else i}" for i in range(40)]
     ws.file("a.csv", "\n".join(rows) + "\n")
     ws.file("b.csv", H.HEADER_ONLY)
-    ws.send(H.event(1, "a.csv"), H.event(2, "b.csv"))
+    ws.send(H.event(1, "a.csv"), H.event(2, "b.csv"), H.event(3, "a.csv", schema_version="v9"))
     ledger = run(spark, ws, mode="row")
     assert (ledger["1_ac_power"].status, ledger["1_ac_power"].records_processed) == ("Completed", 26)
     bad = spark.read.parquet(f"{ws.root}/out/quarantine_rows").orderBy("row_index").collect()
@@ -150,6 +150,9 @@ def test_row_mode_splits_rows(spark, ws):
     assert records["1_ac_power"]["record_count"] == 14 and len(records["1_ac_power"]["rows"]) == 10
     assert records["1_ac_power"]["rows"][1]["row_index"] == 3
     assert (records["2_ac_power"]["scope"], records["2_ac_power"]["reason_code"]) == ("file", "EMPTY_DATASET")
+    assert (records["3_ac_power"]["scope"], records["3_ac_power"]["reason_code"]) == ("file", "UNMAPPED_SCHEMA")
+    assert all(r["source"]["device_id"] is None for r in records.values())
+    assert records["1_ac_power"]["data_path"].startswith("https://") and "1_ac_power" in records["1_ac_power"]["data_path"]
 
 
 def test_replay_and_new_version_replace(spark, ws):
