@@ -9,6 +9,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
@@ -72,19 +73,23 @@ def _record(row: dict, number: int) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def described(pages: DataFrame) -> DataFrame:
-    """Adds payload_bytes, payload_digest and refers_to; equal payloads meet by digest, combined before the shuffle."""
-    rows = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"))
-    payload = F.coalesce("html", F.lit("")).cast("binary")
-    rows = rows.withColumn("payload_bytes", F.octet_length(payload).cast("bigint"))
-    rows = cut(rows.withColumn("payload_digest", F.sha2(payload, 256)), "pages")
-    large = rows.filter(F.col("payload_bytes") >= MIN_REVISIT_BYTES)
-    first = large.groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    first = first.filter("n > 1 and first is not null").select("payload_digest", "first")
-    again = F.when(
-        (F.col("payload_bytes") >= MIN_REVISIT_BYTES) & (F.col("page_id") != F.col("first")), F.col("first")
+def payload_keys(pages: DataFrame) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest) of every page, without the payload."""
+    payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
+    return pages.select(
+        F.col("page_id").cast("bigint"),
+        F.octet_length(payload).cast("bigint").alias("payload_bytes"),
+        F.sha2(payload, 256).alias("payload_digest"),
     )
-    return rows.join(first, "payload_digest", "left").withColumn("refers_to", again).drop("first")
+
+
+def revisits(keys: DataFrame) -> DataFrame:
+    """(page_id, payload_digest, refers_to) of the pages that repeat a payload; equal payloads meet by digest."""
+    large = keys.filter(F.col("payload_bytes") >= MIN_REVISIT_BYTES).filter("page_id is not null")
+    first = large.groupBy("payload_digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last"))
+    first = first.filter("refers_to < last").select("payload_digest", "refers_to")
+    again = large.join(first, "payload_digest").filter("page_id <> refers_to")
+    return again.select("page_id", "payload_digest", "refers_to").distinct()
 
 
 def _bounds(rows: DataFrame, shards: int) -> list[int]:
@@ -107,24 +112,29 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES,
     responses; rows that repeat a page id and payload are all kept, as
     responses. An empty table gives an empty manifest.
     """
-    rows = cut(described(pages), "records")
-    total = rows.agg(F.coalesce(F.sum("payload_bytes"), F.lit(0))).first()[0]
+    keys = cut(payload_keys(pages), "payloads")
+    total = keys.agg(F.coalesce(F.sum("payload_bytes"), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_bytes))
-    bounds = np.array(_bounds(rows, shards), np.int64)
+    bounds = np.array(_bounds(keys, shards), np.int64)
 
-    def shard_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("page_id").fill_null(-(1 << 63)).to_numpy()
-            found = pa.array(np.searchsorted(bounds, keys, "right").astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "shard"])
+    @F.pandas_udf("int")
+    def shard_of(page_id: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, page_id, "right").astype(np.int32))
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    # What a page repeats travels to its shard as a row of its own, right before the page; the payload moves once.
+    marks = revisits(keys).select(
+        "page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "payload_digest", "refers_to"
+    )
+    rows = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"))
+    rows = rows.withColumn("payload_digest", F.lit(None).cast("string")).withColumn("refers_to", F.lit(None).cast("bigint"))
+    dealt = rows.unionByName(marks).withColumn("shard", shard_of(F.coalesce("page_id", F.lit(-(1 << 63))))).repartitionById(shards, "shard")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _file_system(folder)
         attempt = TaskContext.get().taskAttemptId()
         out, shard, number, digest, records, size, last, repeat = None, -1, 0, None, 0, 0, object(), 0
         done: list[tuple] = []
+        repeats: dict[str, int] = {}
 
         def close():
             nonlocal out
@@ -138,14 +148,20 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES,
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
+                if row["page_id"] != last:
+                    last, repeat, repeats = row["page_id"], -1, {}
+                if row["refers_to"] is not None:
+                    repeats[row["payload_digest"]] = row["refers_to"]
+                    continue
+                repeat += 1
+                row["payload_digest"] = hashlib.sha256((row["html"] or "").encode()).hexdigest()
+                row["refers_to"] = repeats.get(row["payload_digest"])
                 if row["shard"] != shard:
                     close()
                     shard, number = row["shard"], -1
                 if out is None:
                     out = fs.open_output_stream(f"{root}/_temporary-{attempt}", compression=None)
                     number, records, size, digest = number + 1, 0, 0, hashlib.sha256()
-                repeat = repeat + 1 if row["page_id"] == last else 0
-                last = row["page_id"]
                 member = gzip.compress(_record(row, repeat), 6, mtime=0)
                 out.write(member)
                 digest.update(member)
@@ -161,9 +177,8 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES,
 
     fs, root = _file_system(folder)
     fs.create_dir(root)
-    dealt = rows.mapInArrow(shard_of, f"{schema}, shard int").repartition(shards, "shard")
-    order = ["shard", "page_id", "refers_to", "url", "payload_digest"]
-    made = dealt.sortWithinPartitions(*order).mapInArrow(write, "file string, records bigint, bytes bigint, sha256 string")
+    order = [F.col("page_id"), F.col("refers_to").desc_nulls_last(), F.col("url"), F.col("html")]
+    made = dealt.sortWithinPartitions("shard", *order).mapInArrow(write, "file string, records bigint, bytes bigint, sha256 string")
     made.write.mode("overwrite").parquet(f"{folder}/_manifest")
     return pages.sparkSession.read.parquet(f"{folder}/_manifest")
 
@@ -202,7 +217,7 @@ def _parse(record: bytes) -> dict:
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record of the files that the manifest of ``folder`` commits; a damaged record is an error."""
     manifest = spark.read.parquet(f"{folder}/_manifest").select("file", "sha256")
-    names = manifest.repartition("file")
+    names = manifest.repartition(max(1, manifest.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _file_system(folder)
