@@ -120,10 +120,12 @@ def _matches(items: list[tuple[int, str]], window: int, least: float):
             doc, item, q = np.searchsorted(text.first, at, "right") - 1, rows[hit], starts[hit]
             order = np.lexsort((at, item, doc))
             doc, item, at, q = doc[order], item[order], at[order], q[order]
+            if not len(at):
+                continue
             edges = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]), [True]]))
             out = []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                if a == b or b - a < least * sizes[item[a]]:
+                if b - a < least * sizes[item[a]]:
                     continue
                 best = _best(at[a:b], q[a:b], int(sizes[item[a]]), window, bench, text, least)
                 if best >= least:
