@@ -17,8 +17,8 @@ HIDDEN = 8
 # Bytes that the network reads in one run; a text is a sequence of such stretches, all of them read.
 STRETCH = 128
 # Bounds of the training sample: documents of each language, stretches of a document, languages.
-SAMPLE_DOCS, SAMPLE_STRETCHES, MAX_LANGUAGES = 200, 12, 64
-EPOCHS, BATCH, RATE = 4, 128, 0.01
+SAMPLE_DOCS, SAMPLE_STRETCHES, MAX_LANGUAGES = 200, 10, 64
+EPOCHS, BATCH, RATE = 3, 128, 0.012
 UNDETERMINED = "und"
 # Below this share for its best language a text counts as being in none.
 MIN_SCORE = 0.3
