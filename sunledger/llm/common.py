@@ -152,6 +152,8 @@ def blocked(df: DataFrame, keys: list[str], row: str, limit: int, per_shard: int
 def group_slices(columns: list[np.ndarray]) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """An order that brings equal rows of ``columns`` together, and the bounds of each run in it."""
     order = np.lexsort(columns[::-1])
+    if not len(order):
+        return order, []
     new = np.zeros(len(order), bool)
     for c in columns:
         c = c[order]

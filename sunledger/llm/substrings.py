@@ -10,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import WORD_BASE, cut, pieces, span_hashes, utf8, window_starts, word_hashes, words
+from sunledger.llm.common import (
+    WORD_BASE, cut, group_slices, pieces, span_hashes, utf8, window_starts, word_hashes, words,
+)
 
 WINDOW_WORDS = 50
 # Words of a seed. Every window holds the least of its seeds, so equal windows share that anchor.
@@ -97,6 +99,15 @@ def _lists(column: pa.Array, fields: int) -> list[np.ndarray]:
     return [flat[a:b].reshape(-1, fields) for a, b in zip(at[:-1], at[1:])]
 
 
+def _once(row: np.ndarray, one: np.ndarray, two: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+    """Equal spans of one row as one entry with the list of their ranges; also where each entry's first span was."""
+    order, groups = group_slices([row, one, two])
+    lead = order[[a for a, _ in groups]]
+    at = np.array([2 * a for a, _ in groups] + [2 * len(order)], np.int32)
+    flat = np.stack([lo[order], hi[order]], axis=1).ravel().astype(np.int32)
+    return row[lead], one[lead], two[lead], pa.ListArray.from_arrays(pa.array(at), pa.array(flat)), lead
+
+
 def _contexts(window: int, seed: int):
     """Per shared anchor of a document: the first words of its windows and the hash of all the words they reach."""
 
@@ -114,12 +125,12 @@ def _contexts(window: int, seed: int):
                 shared[places[:, 0] + text.first[i]] = True
             lo, hi, at, row = (x[shared[at]] for x in (lo, hi, at, row))
             one, two = text.spans(lo, hi + window)
-            offset = text.first[row]
+            two = two ^ ((at - lo) << 32 | (hi - at + window))
+            row, one, two, ranges, lead = _once(row, one, two, lo - text.first[row], hi - text.first[row])
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id").take(pa.array(row)), pa.array(seeds[at].view(np.int64)), pa.array(one)]
-                + [pa.array(two ^ ((at - lo) << 32 | (hi - at + window)))]
-                + [pa.array((lo - offset).astype(np.int32)), pa.array((hi - offset).astype(np.int32))],
-                ["doc_id", "anchor", "one", "two", "lo", "hi"],
+                [piece.column("doc_id").take(pa.array(row)), pa.array(seeds[at[lead]].view(np.int64))]
+                + [pa.array(one), pa.array(two), ranges],
+                ["doc_id", "anchor", "one", "two", "ranges"],
             )
 
     return run
@@ -138,10 +149,11 @@ def _windows(window: int):
                 row.append(np.full(len(at), i))
             start, row = np.concatenate(start), np.concatenate(row)
             one, two = text.spans(start, start + window)
+            place = start - text.first[row]
+            row, one, two, ranges, _ = _once(row, one, two, place, place)
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id").take(pa.array(row)), pa.array(one), pa.array(two)]
-                + [pa.array((start - text.first[row]).astype(np.int32))],
-                ["doc_id", "one", "two", "lo"],
+                [piece.column("doc_id").take(pa.array(row)), pa.array(one), pa.array(two), ranges],
+                ["doc_id", "one", "two", "ranges"],
             )
 
     return run
@@ -204,23 +216,25 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = S
     places = seeds.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
     texts = cut(rows.join(places, "doc_id"), "texts")
 
-    kinds = "doc_id bigint, anchor bigint, one bigint, two bigint, lo int, hi int"
+    kinds = "doc_id bigint, anchor bigint, one bigint, two bigint, ranges array<int>"
     reach = cut(texts.mapInArrow(_contexts(window, seed), kinds), "reach")
     least = reach.groupBy("one", "two").agg(F.min("doc_id").alias("least"))
-    graded = reach.join(least, ["one", "two"]).select("doc_id", "anchor", "lo", "hi", (F.col("doc_id") > F.col("least")).alias("equal"))
+    graded = reach.join(least, ["one", "two"]).select(
+        "doc_id", "anchor", "ranges", (F.col("doc_id") > F.col("least")).alias("equal")
+    )
     graded = cut(graded, "graded")
 
     apart = graded.filter("not equal")
     open_ = apart.groupBy("anchor").agg(*ends).filter("least < most").select("anchor")
-    ranges = F.flatten(F.collect_list(F.array("lo", "hi"))).alias("ranges")
+    ranges = F.flatten(F.collect_list("ranges")).alias("ranges")
     todo = apart.join(open_, "anchor").groupBy("doc_id").agg(ranges)
     text = texts.select("doc_id", "text")
-    single = text.join(todo, "doc_id").mapInArrow(_windows(window), "doc_id bigint, one bigint, two bigint, lo int")
+    single = text.join(todo, "doc_id").mapInArrow(_windows(window), "doc_id bigint, one bigint, two bigint, ranges array<int>")
     single = cut(single, "windows")
     least = single.groupBy("one", "two").agg(*ends).filter("least < most").select("one", "two", "least")
-    single = single.join(least, ["one", "two"]).filter("doc_id > least").select("doc_id", "lo", F.col("lo").alias("hi"))
+    single = single.join(least, ["one", "two"]).filter("doc_id > least").select("doc_id", "ranges")
 
-    covered = graded.filter("equal").select("doc_id", "lo", "hi").union(single).groupBy("doc_id").agg(ranges)
+    covered = graded.filter("equal").select("doc_id", "ranges").union(single).groupBy("doc_id").agg(ranges)
     removed = text.join(covered, "doc_id").mapInArrow(
         _removed(window), "doc_id bigint, n_removed bigint, left_sha256 string, repeats array<bigint>"
     )
