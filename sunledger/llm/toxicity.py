@@ -109,6 +109,8 @@ def restore(token: str, model: list[list[float]], known: dict[str, str]) -> str:
 
 def _trimmed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words without the signs around them, but with a @ or $ right before a letter."""
+    if not len(starts):
+        return starts, ends
     place = np.arange(len(data))
     after = np.minimum.accumulate(np.where(_ALNUM[data], place, len(data))[::-1])[::-1]
     before = np.maximum.accumulate(np.where(_ALNUM[data], place, -1))
@@ -123,12 +125,12 @@ def tokens(data: np.ndarray, at: np.ndarray, model: list[list[float]], known: di
     lower = LOWER[data]
     starts, ends, first = words(lower, at)
     row = np.repeat(np.arange(len(at) - 1), np.diff(first))
-    if not len(starts):
-        empty = np.zeros(0, np.int64)
-        return (lower, empty, empty, empty), (np.zeros(0, np.uint8), empty, empty, empty)
     begin, end = _trimmed(lower, starts, ends)
     held = begin < np.minimum(end, ends)
     begin, end, row = begin[held], end[held], row[held]
+    if not len(begin):
+        empty = np.zeros(0, np.int64)
+        return (lower, empty, empty, empty), (np.zeros(0, np.uint8), empty, empty, empty)
 
     def inside(flag: np.ndarray, b: np.ndarray, e: np.ndarray) -> np.ndarray:
         total = np.concatenate([[0], np.cumsum(flag)])
@@ -264,21 +266,21 @@ def fit(docs: DataFrame, labels: DataFrame, model: list[list[float]], label: str
     counts = held.groupBy("feature").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
     counts = counts.filter(F.col("a") >= MIN_DOCUMENTS).filter(F.col("a") >= MIN_PRECISION * (F.col("a") + F.col("b")))
     toxic, clean = defaultdict(set), {}
-    for r in held.filter("y = 1").join(counts, "feature").collect():
-        toxic[r.feature].add(r.doc_id)
-        clean[r.feature] = r.b
+    found = held.filter("y = 1").join(counts, "feature").select("feature", "doc_id", "b").toArrow()
+    for feature, doc, b in zip(*(found.column(c).to_pylist() for c in ("feature", "doc_id", "b"))):
+        toxic[feature].add(doc)
+        clean[feature] = b
     chosen = sorted(_covering(toxic, clean))
     use = held.sparkSession.createDataFrame([(i, f) for i, f in enumerate(chosen)], "place int, feature bigint")
-    entries = held.join(F.broadcast(use), "feature").select("doc_id", "place").collect()
-    y_of = {r.doc_id: r.y for r in held.select("doc_id", "y").distinct().collect()}
-    number = {d: i for i, d in enumerate(sorted(y_of))}
-    y = np.array([y_of[d] for d in number], float)
+    entries = held.join(F.broadcast(use), "feature").select("doc_id", "place").toArrow()
+    rows = held.select("doc_id", "y").distinct().orderBy("doc_id").toArrow()
+    ids, y = rows.column("doc_id").to_numpy(), rows.column("y").to_numpy().astype(float)
     there = {r.y: r["count"] for r in marked.groupBy("y").count().collect()}
     # The sample's classes weigh as much as all labelled documents of theirs.
     share = np.where(y == 1, there.get(1, 0) / max(y.sum(), 1), there.get(0, 0) / max((1 - y).sum(), 1))
     share /= max(share.mean(), 1e-9) if len(share) else 1
-    row = np.array([number[r.doc_id] for r in entries], np.int64)
-    column = np.array([r.place for r in entries], np.int64)
+    row = np.searchsorted(ids, entries.column("doc_id").to_numpy())
+    column = entries.column("place").to_numpy().astype(np.int64)
     weights, bias = _logistic(row, column, len(chosen), y, share)
     return Lexicon(np.array(chosen, np.int64).view(np.uint64), weights, bias)
 
