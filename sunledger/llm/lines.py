@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from sunledger.llm.common import cut
 from sunledger.llm.components import connected_components
 
-# A line is cut into pieces of at most PIECE signs without blanks; a shingle is the SHINGLE signs from the start of a piece.
-PIECE, SHINGLE = 8, 16
+# Words are cut into pieces of PIECE signs; a shingle is the SHINGLE signs from the start of a piece, blanks left out.
+PIECE, SHINGLE = 16, 16
 MIN_JACCARD = 0.8
 # Bands of ROWS minima each: lines of Jaccard 0.8 meet in one with probability 0.987, of 0.9 with 0.9996.
 BANDS, ROWS = 6, 3
@@ -22,20 +22,28 @@ def _key(text: str) -> list[Column]:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line) of every line, blank ones and rows without an id left out."""
+    """(doc_id, line_no, line) of every line, lower-cased, with single blanks; blank lines and rows without an id are left out."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.filter("doc_id is not null and text is not null")
     cut_up = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return cut_up.withColumn("line", F.lower(F.trim("line"))).filter("line <> ''")
+    gaps = F.lit(False)
+    for gap in ("  ", "\t", "\r", "\x0b", "\x0c"):
+        gaps = gaps | F.contains(F.col("line"), F.lit(gap))
+    # Few lines need the pattern.
+    even = F.when(gaps, F.regexp_replace("line", r"\s+", " ")).otherwise(F.col("line"))
+    return cut_up.withColumn("line", F.lower(F.trim(even))).filter("line <> ''")
 
 
-def _pieces(line: str) -> Column:
-    return F.regexp_extract_all(line, F.lit(rf"\S{{1,{PIECE}}}"), F.lit(0))
+def _cuts(word: Column) -> Column:
+    """The numbers of a word's pieces of PIECE signs."""
+    return F.sequence(F.lit(0), F.floor((F.length(word) - 1) / PIECE).cast("int"))
 
 
-def _shingle(pieces: str, at: Column, first: Column) -> Column:
-    rest = [F.coalesce(F.get(pieces, at + k), F.lit("")) for k in (1, 2)]
-    return F.substring(F.concat(first, *rest), 1, SHINGLE)
+def _shingle(words: str, at: Column, word: Column, piece: Column) -> Column:
+    """SHINGLE signs from the start of a piece: the rest of its word and the next two words."""
+    rest = F.substring(word, piece * PIECE + 1, F.lit(SHINGLE))
+    following = [F.coalesce(F.get(words, at + k), F.lit("")) for k in (1, 2)]
+    return F.substring(F.concat(rest, *following), 1, SHINGLE)
 
 
 def signatures(lines: DataFrame) -> DataFrame:
@@ -44,11 +52,13 @@ def signatures(lines: DataFrame) -> DataFrame:
     Shingles are hashed where the lines are read; equal lines share their minima
     before and after the shuffle, so no text moves.
     """
-    cut_up = lines.select("doc_id", *_key("line"), _pieces("line").alias("pieces"))
-    each = cut_up.select("doc_id", "k1", "k2", "pieces", F.posexplode("pieces").alias("at", "piece"))
-    hashed = each.select("doc_id", "k1", "k2", "at", F.xxhash64(_shingle("pieces", F.col("at"), F.col("piece"))).alias("h"))
+    cut_up = lines.select("doc_id", *_key("line"), F.split("line", " ").alias("words"))
+    each = cut_up.select("doc_id", "k1", "k2", "words", F.posexplode("words").alias("at", "word"))
+    each = each.select("*", F.explode(_cuts(F.col("word"))).alias("piece"))
+    shingle = _shingle("words", F.col("at"), F.col("word"), F.col("piece"))
+    hashed = each.select("doc_id", "k1", "k2", "at", "piece", F.xxhash64(shingle).alias("h"))
     minima = [F.min(F.hash("h", F.lit(k))).alias(f"m{k}") for k in range(BANDS * ROWS)]
-    copies = F.sum((F.col("at") == 0).cast("int")).alias("copies")
+    copies = F.sum(((F.col("at") == 0) & (F.col("piece") == 0)).cast("int")).alias("copies")
     found = hashed.groupBy("k1", "k2").agg(F.min("doc_id").alias("first_doc"), copies, *minima)
     bands = [F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)]
     return found.select("k1", "k2", "first_doc", "copies", F.array(*bands).alias("bands"))
@@ -60,8 +70,9 @@ def _small(keys: DataFrame) -> DataFrame:
 
 
 def _alike(a: str, b: str) -> Column:
-    both = F.size(F.array_intersect(a, b))
-    return both >= MIN_JACCARD * (F.size(a) + F.size(b) - both)
+    """Lengths first: sets that differ by more than a fifth cannot be alike."""
+    both, m, n = F.size(F.array_intersect(a, b)), F.size(a), F.size(b)
+    return (m >= MIN_JACCARD * n) & (n >= MIN_JACCARD * m) & (both >= MIN_JACCARD * (m + n - both))
 
 
 def similar_lines(lines: DataFrame, marks: DataFrame) -> DataFrame:
@@ -86,11 +97,13 @@ def similar_lines(lines: DataFrame, marks: DataFrame) -> DataFrame:
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
     wanted = _small(cut(wanted, "wanted"))
     held = lines.select(*_key("line"), "line").join(wanted, "k1").groupBy("k1", "k2").agg(F.min("line").alias("line"))
-    each = F.transform(
-        F.sequence(F.lit(0), F.size("pieces") - 1),
-        lambda i: F.xxhash64(_shingle("pieces", i, F.get("pieces", i))),
+    each = F.flatten(
+        F.transform(
+            "words",
+            lambda w, at: F.transform(_cuts(w), lambda piece: F.xxhash64(_shingle("words", at, w, piece))),
+        )
     )
-    sets = held.withColumn("pieces", _pieces("line")).select("k1", F.array_distinct(each).alias("shingles"))
+    sets = held.withColumn("words", F.split("line", " ")).select("k1", F.array_distinct(each).alias("shingles"))
     sets = cut(sets, "shingles")
 
     a, b = sets.select(F.col("k1").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("k1").alias("b"), F.col("shingles").alias("y"))
@@ -103,9 +116,7 @@ def similar_lines(lines: DataFrame, marks: DataFrame) -> DataFrame:
     rest = cut(rest.join(apart, "band").join(sets, "k1"), "apart")
     left = rest.select("band", F.col("k1").alias("src"), F.col("part").alias("p"), F.col("shingles").alias("x"))
     right = rest.select("band", F.col("k1").alias("dst"), F.col("part").alias("q"), F.col("shingles").alias("y"))
-    # Lengths first: sets that differ by more than a fifth cannot be alike.
-    near = (F.size("x") >= MIN_JACCARD * F.size("y")) & (F.size("y") >= MIN_JACCARD * F.size("x"))
-    more = left.join(right, (left.band == right.band) & F.expr("p < q") & near & _alike("x", "y")).select("src", "dst")
+    more = left.join(right, (left.band == right.band) & F.expr("p < q") & _alike("x", "y")).select("src", "dst")
     joined = parts.select(F.col("node").alias("src"), F.col("component").alias("dst")).union(more.distinct())
     return connected_components(joined)
 
@@ -131,7 +142,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` without repeated lines, and n_lines and n_removed.
 
-    Lines are trimmed and lower-cased for comparison and linked if the Jaccard
+    Lines are trimmed, lower-cased and their gaps made single blanks for comparison, and linked if the Jaccard
     index of their character shingles is 0.8 or more. Of each component the
     first line of the smallest doc_id stays, all others go from every document;
     blank lines stay. Null and empty texts and rows without an id are returned
