@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from sunledger.llm.common import BYTE_BASE, BYTE_VALUES, LOWER, cut, held_out, pieces, span_hashes, utf8, words
 
 # Bounds of the training sample: labelled documents of each class, those with the smallest id hashes.
-SAMPLE_TOXIC, SAMPLE_CLEAN = 3_000, 6_000
-# A word or stem is evidence if it explains so many toxic documents, and is toxic in this share of its documents.
+SAMPLE_TOXIC, SAMPLE_CLEAN = 2_000, 4_000
+# A word or stem is evidence if it explains so many toxic documents, and is toxic in this share of its documents
+# (of all labelled ones: the sample's classes are weighed back).
 MIN_DOCUMENTS, MIN_PRECISION, COVER = 3, 0.3, 12
 STEMS = (4, 5, 6, 7, 8)
 # A feature that occurs again in a document is evidence of its own, up to so many times.
@@ -263,7 +264,15 @@ def fit(docs: DataFrame, labels: DataFrame, model: list[list[float]], label: str
             )
 
     held = cut(sample.select("doc_id", "text", "y").mapInArrow(run, "doc_id bigint, y int, feature bigint"), "evidence")
-    counts = held.groupBy("feature").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+    rows = held.select("doc_id", "y").distinct().orderBy("doc_id").toArrow()
+    ids, y = rows.column("doc_id").to_numpy(), rows.column("y").to_numpy().astype(float)
+    there = {r.y: r["count"] for r in marked.groupBy("y").count().collect()}
+    # The sample's classes weigh as much as all labelled documents of theirs.
+    toxic_weight, clean_weight = there.get(1, 0) / max(y.sum(), 1), there.get(0, 0) / max((1 - y).sum(), 1)
+    share = np.where(y == 1, toxic_weight, clean_weight)
+    share /= max(share.mean(), 1e-9) if len(share) else 1
+    clean_weight /= toxic_weight or 1
+    counts = held.groupBy("feature").agg(F.sum("y").alias("a"), (F.sum(1 - F.col("y")) * F.lit(float(clean_weight))).alias("b"))
     counts = counts.filter(F.col("a") >= MIN_DOCUMENTS).filter(F.col("a") >= MIN_PRECISION * (F.col("a") + F.col("b")))
     toxic, clean = defaultdict(set), {}
     found = held.filter("y = 1").join(counts, "feature").select("feature", "doc_id", "b").toArrow()
@@ -273,12 +282,6 @@ def fit(docs: DataFrame, labels: DataFrame, model: list[list[float]], label: str
     chosen = sorted(_covering(toxic, clean))
     use = held.sparkSession.createDataFrame([(i, f) for i, f in enumerate(chosen)], "place int, feature bigint")
     entries = held.join(F.broadcast(use), "feature").select("doc_id", "place").toArrow()
-    rows = held.select("doc_id", "y").distinct().orderBy("doc_id").toArrow()
-    ids, y = rows.column("doc_id").to_numpy(), rows.column("y").to_numpy().astype(float)
-    there = {r.y: r["count"] for r in marked.groupBy("y").count().collect()}
-    # The sample's classes weigh as much as all labelled documents of theirs.
-    share = np.where(y == 1, there.get(1, 0) / max(y.sum(), 1), there.get(0, 0) / max((1 - y).sum(), 1))
-    share /= max(share.mean(), 1e-9) if len(share) else 1
     row = np.searchsorted(ids, entries.column("doc_id").to_numpy())
     column = entries.column("place").to_numpy().astype(np.int64)
     weights, bias = _logistic(row, column, len(chosen), y, share)
