@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from sunledger.llm.common import cut
 from sunledger.llm.components import connected_components
 
-# Words are cut into pieces of PIECE signs; a shingle is the SHINGLE signs from the start of a piece, blanks left out.
-PIECE, SHINGLE = 16, 16
+# A shingle is the SHINGLE signs from any position of a line, blanks included; a shorter line is one shingle.
+SHINGLE = 5
+# A line is read in blocks of blocks, as finding a position costs a walk over the signs before it.
+BLOCKS = (4096, 32)
 MIN_JACCARD = 0.8
 # Bands of ROWS minima each: lines of Jaccard 0.8 meet in one with probability 0.987, of 0.9 with 0.9996.
 BANDS, ROWS = 6, 3
@@ -34,16 +36,27 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return cut_up.withColumn("line", F.lower(F.trim(even))).filter("line <> ''")
 
 
-def _cuts(word: Column) -> Column:
-    """The numbers of a word's pieces of PIECE signs."""
-    return F.sequence(F.lit(0), F.floor((F.length(word) - 1) / PIECE).cast("int"))
+def _positions(text: Column) -> Column:
+    """How many shingles start in a text."""
+    return F.greatest(F.length(text) - (SHINGLE - 1), F.lit(1))
 
 
-def _shingle(words: str, at: Column, word: Column, piece: Column) -> Column:
-    """SHINGLE signs from the start of a piece: the rest of its word and the next two words."""
-    rest = F.substring(word, piece * PIECE + 1, F.lit(SHINGLE))
-    following = [F.coalesce(F.get(words, at + k), F.lit("")) for k in (1, 2)]
-    return F.substring(F.concat(rest, *following), 1, SHINGLE)
+def _cuts(text: Column, size: int) -> Column:
+    """A text in blocks in which ``size`` shingles start: each shingle lies in one block."""
+    numbers = F.sequence(F.lit(0), F.floor((_positions(text) - 1) / size).cast("int"))
+    return F.transform(numbers, lambda b: F.substring(text, b * size + 1, F.lit(size + SHINGLE - 1)))
+
+
+def _blocks(text: Column) -> Column:
+    return F.flatten(F.transform(_cuts(text, BLOCKS[0]), lambda block: _cuts(block, BLOCKS[1])))
+
+
+def _starts(block: Column) -> Column:
+    return F.sequence(F.lit(1), _positions(block))
+
+
+def _shingle(block: Column, start: Column) -> Column:
+    return F.xxhash64(F.substring(block, start, F.lit(SHINGLE)))
 
 
 def signatures(lines: DataFrame) -> DataFrame:
@@ -52,13 +65,11 @@ def signatures(lines: DataFrame) -> DataFrame:
     Shingles are hashed where the lines are read; equal lines share their minima
     before and after the shuffle, so no text moves.
     """
-    cut_up = lines.select("doc_id", *_key("line"), F.split("line", " ").alias("words"))
-    each = cut_up.select("doc_id", "k1", "k2", "words", F.posexplode("words").alias("at", "word"))
-    each = each.select("*", F.explode(_cuts(F.col("word"))).alias("piece"))
-    shingle = _shingle("words", F.col("at"), F.col("word"), F.col("piece"))
-    hashed = each.select("doc_id", "k1", "k2", "at", "piece", F.xxhash64(shingle).alias("h"))
+    cut_up = lines.select("doc_id", *_key("line"), F.posexplode(_blocks(F.col("line"))).alias("at", "block"))
+    each = cut_up.select("*", F.explode(_starts(F.col("block"))).alias("start"))
+    hashed = each.select("doc_id", "k1", "k2", "at", "start", _shingle(F.col("block"), F.col("start")).alias("h"))
     minima = [F.min(F.hash("h", F.lit(k))).alias(f"m{k}") for k in range(BANDS * ROWS)]
-    copies = F.sum(((F.col("at") == 0) & (F.col("piece") == 0)).cast("int")).alias("copies")
+    copies = F.sum(((F.col("at") == 0) & (F.col("start") == 1)).cast("int")).alias("copies")
     found = hashed.groupBy("k1", "k2").agg(F.min("doc_id").alias("first_doc"), copies, *minima)
     bands = [F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)]
     return found.select("k1", "k2", "first_doc", "copies", F.array(*bands).alias("bands"))
@@ -69,10 +80,25 @@ def _small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
-def _alike(a: str, b: str) -> Column:
-    """Lengths first: sets that differ by more than a fifth cannot be alike."""
-    both, m, n = F.size(F.array_intersect(a, b)), F.size(a), F.size(b)
-    return (m >= MIN_JACCARD * n) & (n >= MIN_JACCARD * m) & (both >= MIN_JACCARD * (m + n - both))
+def _set(text: Column) -> Column:
+    """The hashed shingles of a text, repeats included."""
+    return F.flatten(F.transform(_blocks(text), lambda block: F.transform(_starts(block), lambda at: _shingle(block, at))))
+
+
+def _alike(x: str, y: str) -> Column:
+    """Whether two texts are alike; the lambda has each pair's sets made once."""
+    sets = F.array(F.struct(_set(F.col(x)).alias("x"), _set(F.col(y)).alias("y")))
+    return F.exists(
+        sets,
+        lambda both: F.size(F.array_intersect(both["x"], both["y"])) >= MIN_JACCARD * F.size(F.array_union(both["x"], both["y"])),
+    )
+
+
+def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(src, dst) of the pairs (a, b) whose lines are alike; texts move and not their sets, which are eight times as large."""
+    a = texts.select(F.col("k1").alias("a"), F.col("line").alias("x"))
+    b = texts.select(F.col("k1").alias("b"), F.col("line").alias("y"))
+    return pairs.join(a, "a").join(b, "b").filter(_alike("x", "y")).select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
 
 def similar_lines(lines: DataFrame, marks: DataFrame) -> DataFrame:
@@ -91,31 +117,31 @@ def similar_lines(lines: DataFrame, marks: DataFrame) -> DataFrame:
     groups = cut(groups.filter("lo < hi"), "bands")
     large = _small(groups.filter("n > 2").select("band", "lo", "hi"))
     members = cut(banded.join(large, "band"), "members")
-    pairs = groups.select("lo", "hi").union(members.select("lo", F.col("k1"))).union(members.select("k1", "hi"))
-    pairs = cut(pairs.toDF("a", "b").filter("a < b").distinct(), "pairs")
+    firsts = groups.select("lo", "hi").union(members.select("lo", "k1")).toDF("a", "b").filter("a < b").distinct()
+    firsts = cut(firsts, "pairs")
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct()
+    wanted = members.select("k1").union(firsts.select(F.explode(F.array("a", "b")))).distinct()
     wanted = _small(cut(wanted, "wanted"))
-    held = lines.select(*_key("line"), "line").join(wanted, "k1").groupBy("k1", "k2").agg(F.min("line").alias("line"))
-    each = F.flatten(
-        F.transform(
-            "words",
-            lambda w, at: F.transform(_cuts(w), lambda piece: F.xxhash64(_shingle("words", at, w, piece))),
-        )
-    )
-    sets = held.withColumn("words", F.split("line", " ")).select("k1", F.array_distinct(each).alias("shingles"))
-    sets = cut(sets, "shingles")
-
-    a, b = sets.select(F.col("k1").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("k1").alias("b"), F.col("shingles").alias("y"))
-    links = cut(pairs.join(a, "a").join(b, "b").filter(_alike("x", "y")).select(F.col("a").alias("src"), F.col("b").alias("dst")), "links")
+    texts = lines.select(_key("line")[0], "line").join(wanted, "k1").distinct()
+    texts = cut(texts, "texts")
+    links = cut(_checked(firsts, texts), "links")
+
+    # Lines that are linked to the smallest one, as the largest is, need not meet the largest.
+    ends = links.select(F.col("src").alias("lo"), F.col("dst").alias("hi"), F.lit(True).alias("tied"))
+    tied = _small(cut(large.join(ends, ["lo", "hi"]).select("band"), "tied"))
+    near = members.join(tied.withColumn("tied", F.lit(True)), "band", "left")
+    held = links.select(F.col("src").alias("lo"), F.col("dst").alias("k1"), F.lit(True).alias("held"))
+    lasts = near.join(held, ["lo", "k1"], "left").filter("lo < k1 and k1 < hi and (tied is null or held is null)")
+    lasts = cut(lasts.select(F.col("k1").alias("a"), F.col("hi").alias("b")).distinct(), "pairs")
+    links = links.union(cut(_checked(lasts, texts), "links"))
     parts = cut(connected_components(links), "parts")
 
     part = F.coalesce("component", "k1").alias("part")
     rest = members.select("band", "k1").join(parts.withColumnRenamed("node", "k1"), "k1", "left").select("band", "k1", part)
     apart = rest.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("band")
-    rest = cut(rest.join(apart, "band").join(sets, "k1"), "apart")
-    left = rest.select("band", F.col("k1").alias("src"), F.col("part").alias("p"), F.col("shingles").alias("x"))
-    right = rest.select("band", F.col("k1").alias("dst"), F.col("part").alias("q"), F.col("shingles").alias("y"))
+    rest = cut(rest.join(apart, "band").join(texts, "k1"), "apart")
+    left = rest.select("band", F.col("k1").alias("src"), F.col("part").alias("p"), F.col("line").alias("x"))
+    right = rest.select("band", F.col("k1").alias("dst"), F.col("part").alias("q"), F.col("line").alias("y"))
     more = left.join(right, (left.band == right.band) & F.expr("p < q") & _alike("x", "y")).select("src", "dst")
     joined = parts.select(F.col("node").alias("src"), F.col("component").alias("dst")).union(more.distinct())
     return connected_components(joined)
