@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.llm.common import (
-    IS_SEPARATOR, LOWER, WORD_BASE, pieces, span_hashes, utf8, window_starts, word_hashes, words,
+    IS_SEPARATOR, WORD_BASE, pieces, span_hashes, utf8, window_starts, word_hashes, words,
 )
 
 WINDOW_WORDS = 5
@@ -26,6 +27,15 @@ litres liter liters gallon gallons s sec min h hr hrs second seconds minute minu
 months year years percent dollar dollars euro euros cent cents usd eur gbp degree degrees watt watts volt volts kb mb gb
 """.split()
 
+# Fixed: words that are no names though they open sentences; those that the benchmark mostly writes small are added.
+COMMON = """
+a about after all also an and another any are as at be because before both but by can could did do does during each
+either every few find first for from had has have he her here his how however i if in into is it its last later let many
+more most much my next no not now of on once one only or other our over she should since so some still such than that the
+their then there these they this those though to under until up was we were what when where which while who whose why
+will with would yes yesterday you your
+""".split()
+
 # Punctuation takes no part in a template; everything beyond ASCII counts as a letter.
 _IS_DIGIT = np.zeros(256, bool)
 _IS_DIGIT[48:58] = True
@@ -44,7 +54,11 @@ def _hash_of(text: str) -> int:
 
 
 class Template:
-    """The template words of the rows of one piece: hashes with placeholders, and the hash behind each."""
+    """The template words of the rows of one piece: hashes with placeholders, and the hash behind each.
+
+    Names are capitals inside a sentence in ``kind`` and ``word``; in the view of ``named`` they are
+    capitals anywhere, but for common words.
+    """
 
     def __init__(self, column: pa.Array) -> None:
         data, at = utf8(column)
@@ -52,7 +66,11 @@ class Template:
         place = np.concatenate([[0], np.cumsum(keep)])
         raw, at = data[keep], place[at]
         self.starts, self.ends, self.first = words(raw, at)
-        self.value = word_hashes(LOWER[raw], self.starts, self.ends)
+        # Lower-casing may change a letter's bytes, but not the number of words.
+        small, there = utf8(pc.utf8_lower(column))
+        held = _IN_WORD[small] | IS_SEPARATOR[small]
+        small, there = small[held], np.concatenate([[0], np.cumsum(held)])[there]
+        self.value = word_hashes(small, *words(small, there)[:2])
         ends = np.concatenate([[0], np.cumsum(_ENDS[data])])[np.flatnonzero(keep)[self.starts]] if len(raw) else self.starts
         opening = np.ones(len(self.starts), bool)
         opening[1:] = ends[1:] != ends[:-1]
@@ -63,17 +81,30 @@ class Template:
         follow = raw[np.minimum(self.starts + 1, max(len(raw) - 1, 0))] if len(raw) else lead
         # An upper-case letter of ASCII, or of Latin-1 in two bytes; the first word of a sentence is no name.
         upper = _IS_UPPER[lead] | ((lead == 0xC3) & (follow >= 0x80) & (follow <= 0x9E))
-        name = upper & ~opening & ~number
-        unit = np.isin(self.value, _UNIT_HASHES) & ~name & ~number
-        self.kind = np.select([number, name, unit], [1, 2, 3], 0)
-        self.word = np.choose(self.kind, [self.value, NUMBER, NAME, UNIT])
+        self.upper, self.number = upper & ~number, number
+        self.kind, self.word = self._slots(self.upper & ~opening)
+
+    def _slots(self, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        unit = np.isin(self.value, _UNIT_HASHES) & ~name & ~self.number
+        kind = np.select([self.number, name, unit], [1, 2, 3], 0)
+        return kind, np.choose(kind, [self.value, NUMBER, NAME, UNIT])
+
+    def common(self) -> np.ndarray:
+        """The words that are no names: fixed ones, units, and those written small as often as with a capital or more."""
+        value, at = np.unique(self.value[~self.number], return_inverse=True)
+        capital = np.bincount(at, self.upper[~self.number], len(value))
+        small = value[2 * capital <= np.bincount(at, minlength=len(value))]
+        return np.unique(np.concatenate([small, _COMMON_HASHES, _UNIT_HASHES]))
 
-    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        start = window_starts(self.first, n)
-        return start, span_hashes(self.word, start, start + n, WORD_BASE)
+    def views(self, common: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(kind, word) of each reading: names inside sentences, names anywhere, and the plain words without slots."""
+        at = np.minimum(np.searchsorted(common, self.value), len(common) - 1)
+        named = self._slots(self.upper & (common[at] != self.value))
+        return [(self.kind, self.word), named, (np.zeros(len(self.value), np.int64), self.value)]
 
 
 _UNIT_HASHES = np.sort(np.array([_hash_of(u) for u in UNITS], np.uint64))
+_COMMON_HASHES = np.sort(np.array([_hash_of(u) for u in COMMON], np.uint64))
 
 
 def slots_agree(pairs: list[tuple[int, int, int]], least: float) -> bool:
@@ -99,37 +130,44 @@ def _matches(items: list[tuple[int, str]], window: int, least: float):
 
     def index():
         text = Template(pa.array([t for _, t in items], pa.string()))
-        start, hashes = text.windows(window)
+        start = window_starts(text.first, window)
         row = np.searchsorted(text.first, start, "right") - 1
-        order = np.argsort(hashes, kind="stable")
-        known = np.zeros(1 << 20, bool)
-        known[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        return text, hashes[order], start[order], row[order], np.bincount(row, minlength=len(items)), known
+        common, tables = text.common(), []
+        for kind, word in text.views(common):
+            hashes = span_hashes(word, start, start + window, WORD_BASE)
+            order = np.argsort(hashes, kind="stable")
+            known = np.zeros(1 << 20, bool)
+            known[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+            tables.append((kind, hashes[order], start[order], row[order], known))
+        return text.value, common, np.bincount(row, minlength=len(items)), tables
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bench, hashes, starts, rows, sizes, known = index()
+        value, common, sizes, tables = index()
         for piece in pieces(batches):
             text = Template(piece.column("text"))
-            at, found = text.windows(window)
-            maybe = known[(found & np.uint64((1 << 20) - 1)).astype(np.int64)]
-            at, found = at[maybe], found[maybe]
-            lo, hi = np.searchsorted(hashes, found, "left"), np.searchsorted(hashes, found, "right")
-            many = hi - lo
-            hit = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            at = np.repeat(at, many)
-            doc, item, q = np.searchsorted(text.first, at, "right") - 1, rows[hit], starts[hit]
-            order = np.lexsort((at, item, doc))
-            doc, item, at, q = doc[order], item[order], at[order], q[order]
-            if not len(at):
-                continue
-            edges = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]), [True]]))
+            begin = window_starts(text.first, window)
             out = []
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                if b - a < least * sizes[item[a]]:
+            for (kinds, hashes, starts, rows, known), (_, word) in zip(tables, text.views(common)):
+                found = span_hashes(word, begin, begin + window, WORD_BASE)
+                maybe = known[(found & np.uint64((1 << 20) - 1)).astype(np.int64)]
+                at, found = begin[maybe], found[maybe]
+                lo, hi = np.searchsorted(hashes, found, "left"), np.searchsorted(hashes, found, "right")
+                many = hi - lo
+                hit = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                at = np.repeat(at, many)
+                doc, item, q = np.searchsorted(text.first, at, "right") - 1, rows[hit], starts[hit]
+                order = np.lexsort((at, item, doc))
+                doc, item, at, q = doc[order], item[order], at[order], q[order]
+                if not len(at):
                     continue
-                best = _best(at[a:b], q[a:b], int(sizes[item[a]]), window, bench, text, least)
-                if best >= least:
-                    out.append((int(doc[a]), items[item[a]][0], best))
+                new = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
+                edges = np.flatnonzero(np.concatenate([[True], new, [True]]))
+                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                    if b - a < least * sizes[item[a]]:
+                        continue
+                    best = _best(at[a:b], q[a:b], int(sizes[item[a]]), window, kinds, value, text.value, least)
+                    if best >= least:
+                        out.append((int(doc[a]), items[item[a]][0], best))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id").take(pa.array([d for d, _, _ in out]))]
@@ -140,7 +178,9 @@ def _matches(items: list[tuple[int, str]], window: int, least: float):
     return run
 
 
-def _best(at: np.ndarray, q: np.ndarray, size: int, window: int, bench: Template, text: Template, least: float) -> float:
+def _best(
+    at: np.ndarray, q: np.ndarray, size: int, window: int, kinds: np.ndarray, bench: np.ndarray, text: np.ndarray, least: float
+) -> float:
     """The largest share of an item's windows that lie within a stretch of its length (and a quarter more), slots agreeing."""
     reach, best, b = size + size // 4, 0.0, 0
     seen: Counter = Counter()
@@ -157,10 +197,10 @@ def _best(at: np.ndarray, q: np.ndarray, size: int, window: int, bench: Template
             for k in near:
                 place.setdefault(int(q[k]), int(at[k]))
             pairs = {
-                (int(bench.kind[i + d]), int(bench.value[i + d]), int(text.value[p + d]), i + d)
+                (int(kinds[i + d]), int(bench[i + d]), int(text[p + d]), i + d)
                 for i, p in place.items()
                 for d in range(window)
-                if bench.kind[i + d]
+                if kinds[i + d]
             }
             if slots_agree([x[:3] for x in pairs], least):
                 best = share
@@ -179,7 +219,9 @@ def contaminated(
     """(doc_id, item_id, similarity): the benchmark items that a document holds, verbatim or with other slot values.
 
     Texts become templates: words without punctuation, lower-cased, with
-    placeholders for numbers, names (capitals inside a sentence) and units.
+    placeholders for numbers, names and units. Names are read in two ways, as capitals inside a sentence
+    and as capitals anywhere but for common words; the plain words are a third reading, so that a
+    copy is found whatever its case and punctuation, and the best reading counts.
     Windows of ``window`` template words meet by hash; an item is found where at
     least ``least`` of its windows lie in one stretch of the document and one
     renaming of slot values explains at least that share of the slots.

@@ -61,3 +61,27 @@ def test_a_benchmark_in_blocks(spark):
 def test_odd_tables(spark):
     assert found(spark, [], [(1, ITEM)]) == [] and found(spark, [(1, ITEM)], []) == []
     assert found(spark, [(1, ITEM), (1, ITEM)], [(1, ITEM), (1, ITEM)]) == [(1, 1)]
+
+
+def test_names_that_open_sentences(spark):
+    item = "Alice has 5 apples. Bob gives her 3 more apples. Alice eats 2 of them. How many apples does Alice have now?"
+    other = item.replace("Alice", "Carol").replace("Bob", "David").replace("5", "8")
+    rows = [(1, other), (2, "as told " + other), (3, "Carol has 5 pears. Bob saw them.")]
+    assert found(spark, rows, [(9, item)]) == [(1, 9), (2, 9)]
+    song = " ".join(f"Lena {verb} near the old mill." for verb in ("sat", "ate", "sang", "slept", "woke", "read"))
+    alike, apart = song.replace("Lena", "Bo"), song
+    for name in ("Bo", "Cy", "Di", "Ed", "Flo", "Gus"):
+        apart = apart.replace("Lena", name, 1)
+    assert found(spark, [(1, alike), (2, apart)], [(9, song)]) == [(1, 9)]
+
+
+def test_copies_in_other_case_and_punctuation(spark):
+    short = "Where did Émile hide the Öl lamp?"
+    items = [(1, ITEM), (2, short), (3, "The sun sets. Mia sleeps. The cat of Mia wakes, then Tom sings.")]
+    rows, want = [], []
+    for i, text in items:
+        bare = "".join(c for c in text if c.isalnum() or c == " ")
+        for k, copy in enumerate([text, text.upper(), text.lower(), text.title(), bare, bare.upper(), f"and so {bare} as they say"]):
+            rows.append((10 * i + k, copy))
+            want.append((10 * i + k, i))
+    assert found(spark, rows, items) == want
