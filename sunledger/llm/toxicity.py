@@ -30,8 +30,10 @@ SIGNS = {
     "8": ("b",), "9": ("g",), "@": ("a",), "$": ("s",), "!": ("i",), "|": ("i", "l"), "+": ("t",), "(": ("c",),
     "*": ("", "a", "e", "i", "o", "u"), ".": ("", " "), "-": ("", " "), "_": ("", " "), "/": ("", " "), "'": ("", " "),
 }
-# Log costs of the channel: a sign for a letter, a sign put in, a letter written once more, a sign as a word's end.
-LEET, PUT_IN, REPEATED, BREAK = -1.0, -1.0, -0.5, -1.5
+# The gap between words of one sign each: nothing, or a word's end.
+GAP = " "
+# Log costs of the channel: a sign for a letter, a sign put in, a letter written once more, a sign or such a gap as a word's end.
+LEET, PUT_IN, REPEATED, BREAK, GAP_BREAK = -1.0, -1.0, -0.5, -1.5, -0.5
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -80,8 +82,8 @@ def restore(token: str, model: list[list[float]], known: dict[str, str]) -> str:
         return known[token]
     paths: dict[tuple, tuple[float, str]] = {(0, 0): (0.0, "")}
     for c in token.lower():
-        itself = "" if c in SIGNS and not c.isdigit() else c
-        options = [(itself, 0.0)] if itself else []
+        itself = "" if c == GAP or (c in SIGNS and not c.isdigit()) else c
+        options = [("", 0.0), (" ", GAP_BREAK)] if c == GAP else [(itself, 0.0)] if itself else []
         for out in SIGNS.get(c, ()):
             options.append((out, PUT_IN if out == "" else BREAK if out == " " else LEET))
         if not options:
@@ -141,16 +143,16 @@ def tokens(data: np.ndarray, at: np.ndarray, model: list[list[float]], known: di
     same[2:] = _LETTER[lower[2:]] & (lower[2:] == lower[1:-1]) & (lower[1:-1] == lower[:-2])
     noisy = (inside(_SIGN[lower], begin, end) > 0) & (inside(_LETTER[lower], begin, end) > 0)
     noisy |= inside(same, np.minimum(begin + 2, end), end) > 0
-    # Letters with gaps between them: runs of words of one sign each.
-    single = end - begin == 1
+    # Letters with gaps between them: runs of words of one sign each, however many bytes it has.
+    single = inside((lower & 0xC0) != 0x80, begin, end) == 1
     change = np.flatnonzero(np.concatenate([[True], (single[1:] != single[:-1]) | (row[1:] != row[:-1]), [True]]))
+    raw = lower.tobytes()
     made: list[tuple[int, str]] = []
     spaced = np.zeros(len(begin), bool)
     for a, b in zip(change[:-1].tolist(), change[1:].tolist()):
         if single[a] and b - a >= RUN_WORDS:
             spaced[a:b] = True
-            made.append((int(row[a]), lower[begin[a:b]].tobytes().decode("utf-8", "ignore")))
-    raw = lower.tobytes()
+            made.append((int(row[a]), GAP.join(raw[x:y].decode("utf-8", "ignore") for x, y in zip(begin[a:b], end[a:b]))))
     at_noisy = np.flatnonzero(noisy & ~spaced)
     made += [
         (r, raw[b:e].decode("utf-8", "ignore"))

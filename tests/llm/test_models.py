@@ -139,3 +139,23 @@ def test_decoding(spark):
     readings = {w: T.restore(w, model, {}) for w in ("v1le", "stuuuupid", "s.t.u.p.i.d", "gr!m", "stup1d")}
     assert readings == {"v1le": "vile", "stuuuupid": "stupid", "s.t.u.p.i.d": "stupid", "gr!m": "grim", "stup1d": "stupid"}
     assert np.exp(np.array(model)).sum(1) == pytest.approx(1)
+
+
+def decoded(spark, plain, texts):
+    """The plain and restored words of each text under a language model of ``plain``."""
+    model = T.language_model(documents(spark, [(1, plain * 50)])).tolist()
+    found = []
+    for text in texts:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        words_of = [data[a:b].tobytes().decode() for data, s, e, _ in T.tokens(raw, np.array([0, len(raw)]), model, {}) for a, b in zip(s, e)]
+        found.append(" ".join(words_of))
+    return found
+
+
+PLAIN = "the villain was a stupid moron and i hate the vile thug so you are a grim idiot but an été is a café and i am idle "
+
+
+def test_spaced_words_beside_single_letters(spark):
+    texts = ["you are a m o r o n", "I h a t e", "the s t u p i d m o r o n", "was c a f é", "a é t é"]
+    want = ["you are a moron", "i hate", "the stupid moron", "was café", "a été"]
+    assert decoded(spark, PLAIN, texts) == want
