@@ -34,6 +34,9 @@ SIGNS = {
 GAP = " "
 # Log costs of the channel: a sign for a letter, a sign put in, a letter written once more, a sign or such a gap as a word's end.
 LEET, PUT_IN, REPEATED, BREAK, GAP_BREAK = -1.0, -1.0, -0.5, -1.5, -0.5
+# Log costs of a sign at a word's edge that is no part of it: where it is plain punctuation, and elsewhere.
+PUNCTUATION, DROPPED = -0.5, -4.0
+BEFORE, AFTER = "(", "!"
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -41,6 +44,9 @@ _ALNUM = _LETTER.copy()
 _ALNUM[48:58] = True
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in SIGNS]] = True
+# Signs, digits left out, that may stand for a letter: the others say nothing at a word's edge.
+_LEET = np.zeros(256, bool)
+_LEET[[ord(c) for c, out in SIGNS.items() if not c.isdigit() and set(out) - {"", " "}]] = True
 # Symbols of the language model: 0 a word's edge, 1-26 letters, 27 any other byte.
 _SYMBOL = np.full(256, 27)
 _SYMBOL[97:123] = np.arange(1, 27)
@@ -77,15 +83,25 @@ def restore(token: str, model: list[list[float]], known: dict[str, str]) -> str:
 
     A state is the last two symbols, so paths that agree on them share their
     future; the channel costs and the language model add up along a path.
+    Signs before the first and after the last letter or digit may also be no
+    part of the word; in a token of signs only they all are.
     """
     if token in known:
         return known[token]
     paths: dict[tuple, tuple[float, str]] = {(0, 0): (0.0, "")}
-    for c in token.lower():
+    token_lower = token.lower()
+    solid = [i for i, c in enumerate(token_lower) if c.isalnum() or c > "\x7f"]
+    head, tail = (solid[0], solid[-1]) if solid else (0, len(token_lower))
+    for place, c in enumerate(token_lower):
         itself = "" if c == GAP or (c in SIGNS and not c.isdigit()) else c
         options = [("", 0.0), (" ", GAP_BREAK)] if c == GAP else [(itself, 0.0)] if itself else []
         for out in SIGNS.get(c, ()):
             options.append((out, PUT_IN if out == "" else BREAK if out == " " else LEET))
+        if (place < head or place > tail) and c != GAP:
+            if c not in SIGNS:
+                options = [("", 0.0)]
+            elif "" not in SIGNS[c]:
+                options.append(("", PUNCTUATION if c in (BEFORE if place < head else AFTER) else DROPPED))
         if not options:
             options = [(" ", BREAK)]
         after: dict[tuple, tuple[float, str]] = {}
@@ -111,15 +127,13 @@ def restore(token: str, model: list[list[float]], known: dict[str, str]) -> str:
 
 
 def _trimmed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words without the signs around them, but with a @ or $ right before a letter."""
+    """Words without the signs around them that stand for no letter."""
     if not len(starts):
         return starts, ends
-    place = np.arange(len(data))
-    after = np.minimum.accumulate(np.where(_ALNUM[data], place, len(data))[::-1])[::-1]
-    before = np.maximum.accumulate(np.where(_ALNUM[data], place, -1))
+    place, kept = np.arange(len(data)), _ALNUM[data] | _LEET[data]
+    after = np.minimum.accumulate(np.where(kept, place, len(data))[::-1])[::-1]
+    before = np.maximum.accumulate(np.where(kept, place, -1))
     begin, end = after[starts], before[ends - 1] + 1
-    lead = data[np.maximum(begin - 1, 0)]
-    begin = begin - ((begin > starts) & ((lead == ord("@")) | (lead == ord("$"))))
     return begin, np.maximum(end, begin)
 
 
@@ -142,6 +156,7 @@ def tokens(data: np.ndarray, at: np.ndarray, model: list[list[float]], known: di
     same = np.zeros(len(lower), bool)
     same[2:] = _LETTER[lower[2:]] & (lower[2:] == lower[1:-1]) & (lower[1:-1] == lower[:-2])
     noisy = (inside(_SIGN[lower], begin, end) > 0) & (inside(_LETTER[lower], begin, end) > 0)
+    noisy |= (inside(_LEET[lower], begin, end) > 0) & (end - begin > 1)
     noisy |= inside(same, np.minimum(begin + 2, end), end) > 0
     # Letters with gaps between them: runs of words of one sign each, however many bytes it has.
     single = inside((lower & 0xC0) != 0x80, begin, end) == 1

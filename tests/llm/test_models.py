@@ -159,3 +159,10 @@ def test_spaced_words_beside_single_letters(spark):
     texts = ["you are a m o r o n", "I h a t e", "the s t u p i d m o r o n", "was c a f é", "a é t é"]
     want = ["you are a moron", "i hate", "the stupid moron", "was café", "a été"]
     assert decoded(spark, PLAIN, texts) == want
+
+
+def test_signs_at_the_edges_of_words(spark):
+    plain = PLAIN + "what an ass you pass the class and the word "
+    texts = ["a$$", "idio+", "!diot", "|diot", "@$$", "word!!!", "(word)", "*stupid*", 'the "stupid!",', "@moron", "!", "idiot."]
+    want = ["ass", "idiot", "idiot", "idiot", "ass", "word", "word", "stupid", "the stupid", "moron", "!", "idiot"]
+    assert decoded(spark, plain, texts) == want
