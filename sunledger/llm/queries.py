@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import decontam, language, lines, mixing, simhash, substrings, textquality, toxicity, vectors, warc
+from sunledger.llm import alignment, decontam, language, lines, mixing, simhash, substrings, textquality, toxicity, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", text, "component_id")
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -71,4 +75,5 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_warc": op9_warc,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
 }
