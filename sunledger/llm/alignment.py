@@ -31,8 +31,9 @@ FREQUENT = 1000
 KNOWN = 150_000
 
 # A stretch ends before a space that follows a sign other than white space. No token of either vocabulary crosses such a place.
-_WHITE = "\t-\r \x85\xa0  -     　"
-_WHITE_BUT_SPACE = _WHITE.replace(" ", "", 1)
+_SPACES = (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+_WHITE_BUT_SPACE = "\t-\r" + "".join(map(chr, _SPACES))
+_WHITE = " " + _WHITE_BUT_SPACE
 STRETCH = re.compile(f"[{_WHITE}]*[^{_WHITE}]+(?:[{_WHITE_BUT_SPACE}][{_WHITE}]*[^{_WHITE}]*)*|[{_WHITE}]+")
 
 
