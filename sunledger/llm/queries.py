@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import alignment, decontam, language, lines, mixing, periods, simhash, substrings, textquality, toxicity, vectors, warc
+from sunledger.llm import alignment, decontam, language, lines, mixing, periods, simhash, sketches, substrings, textquality, toxicity, vectors, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,19 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sketches.fingerprints_under_edits(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        sketches.spelled("sketch").alias("fingerprint"),
+        sketches.spelled("edited_sketch").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -94,4 +107,5 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_document_fingerprints": op13_document_fingerprints,
 }
