@@ -27,7 +27,7 @@ BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 BROADCAST_PAIRS = 1_000_000
 # A pair is frequent if it holds more than this share of the rows, so at most FREQUENT pairs are.
 FREQUENT = 1000
-# Stretches a worker remembers.
+# Stretches a worker remembers, and as many earlier ones.
 KNOWN = 150_000
 
 # A stretch ends before a space that follows a sign other than white space. No token of either vocabulary crosses such a place.
@@ -73,7 +73,9 @@ class Tokenizers:
         crossing = re.compile(f"[^{_WHITE}] ")
         both = chain(self.bytes_a.values(), self.bytes_b)
         self.divisible = not any(crossing.search(x.decode("utf-8", "replace")) for x in both)
-        self.known: dict[str, tuple] = {}
+        # What lately came up, and what did before that.
+        self.known: dict[str, tuple | None] = {}
+        self.earlier: dict[str, tuple | None] = {}
 
     def stretches(self, text: str) -> list[str]:
         """``text`` (which begins with a space) in parts that both tokenizers encode on their own."""
@@ -92,15 +94,28 @@ class Tokenizers:
         b = self.pieces.encode([p[1:] for p in parts], num_threads=1)
         return a, [ids if len(p) > 1 else [self.gap] for p, ids in zip(parts, b)]
 
+    def _sound(self, a: list[list[int]], b: list[list[int]], raw: list[bytes]) -> list[bool]:
+        """Whether the bytes of a part's tokens make up the part, for both."""
+        whole = b"".join(raw)
+        same = b"".join([self.bytes_a[i] for x in a for i in x]) == whole == b"".join([self.bytes_b[i] for x in b for i in x])
+        if same and len(raw) == 1:
+            return [True]
+        size_a, size_b = self.length_a.tolist(), self.length_b.tolist()
+        if same and all(
+            sum([size_a[i] for i in x]) == len(r) == sum([size_b[i] for i in y]) for x, y, r in zip(a, b, raw)
+        ):
+            return [True] * len(raw)
+        return [
+            b"".join([self.bytes_a[i] for i in x]) == r == b"".join([self.bytes_b[i] for i in y]) for x, y, r in zip(a, b, raw)
+        ]
+
     def align(self, parts: list[str]) -> list[tuple | None]:
         """For each part (number of A ids, number of B ids, its groups as text, its links); None where the bytes differ."""
         a, b = self.encode(parts)
         raw = [p.encode() for p in parts]
-        sound = [
-            b"".join(map(self.bytes_a.__getitem__, x)) == r == b"".join(map(self.bytes_b.__getitem__, y))
-            for x, y, r in zip(a, b, raw)
-        ]
-        a, b = [x for x, ok in zip(a, sound) if ok], [x for x, ok in zip(b, sound) if ok]
+        sound = self._sound(a, b, raw)
+        if not all(sound):
+            a, b = [x for x, ok in zip(a, sound) if ok], [x for x, ok in zip(b, sound) if ok]
         ids_a, ids_b = np.array(list(chain.from_iterable(a)), np.int64), np.array(list(chain.from_iterable(b)), np.int64)
         ends_a, ends_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
         # Parts end where both end, so one pass over all of them finds each part's own groups.
@@ -109,7 +124,9 @@ class Tokenizers:
         text_a, text_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
         groups, i, j = [], 0, 0
         for p, q in zip((at_a + 1).tolist(), (at_b + 1).tolist()):
-            groups.append(f"{','.join(text_a[i:p])}|{','.join(text_b[j:q])}")
+            left = text_a[i] if p == i + 1 else ",".join(text_a[i:p])
+            right = text_b[j] if q == j + 1 else ",".join(text_b[j:q])
+            groups.append(f"{left}|{right}")
             i, j = p, q
         last = np.searchsorted(at_a, np.cumsum([len(x) for x in a]) - 1, "right").tolist()
         found, start, rows = [], 0, iter(zip(a, b, last))
@@ -118,7 +135,7 @@ class Tokenizers:
                 found.append(None)
                 continue
             x, y, stop = next(rows)
-            found.append((len(x), len(y), ";".join(groups[start:stop]), links[start:stop]))
+            found.append((len(x), len(y), ";".join(groups[start:stop]), tuple(links[start:stop])))
             start = stop
         return found
 
@@ -126,11 +143,16 @@ class Tokenizers:
         """``align`` of whole texts, put together from their stretches; each different stretch is encoded once."""
         cut_up = [self.stretches(" " + t) for t in texts]
         if len(self.known) > KNOWN:
-            self.known.clear()
-        new = list({s: None for s in chain.from_iterable(cut_up) if s not in self.known})
+            self.earlier, self.known = self.known, {}
+        known, new = self.known, []
+        for s in set(chain.from_iterable(cut_up)):
+            if s not in known:
+                if s in self.earlier:
+                    known[s] = self.earlier[s]
+                else:
+                    new.append(s)
         if new:
-            self.known.update(zip(new, self.align(new)))
-        known = self.known
+            known.update(zip(new, self.align(new)))
         for parts in cut_up:
             found = [known[s] for s in parts]
             if None in found:
