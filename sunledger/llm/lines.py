@@ -1,78 +1,192 @@
-"""Fuzzy line dedup by MinHash, in DataFrame operations only."""
+"""Fuzzy line dedup by MinHash: signatures and set comparisons in numpy and sets, everything else DataFrame operations.
+
+Shingles at every position cost a native plan more CPU than its budget (see the
+README), so the two steps that touch every sign run over Arrow batches.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections import Counter
+from collections.abc import Iterator
+from math import ceil, log
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import cut
+from sunledger.llm.common import Forest, blocked, cut, group_slices, mix, pieces
 from sunledger.llm.components import connected_components
 
 # A shingle is the SHINGLE signs from any position of a line, blanks included; a shorter line is one shingle.
 SHINGLE = 5
-# A line is read in blocks of blocks, as finding a position costs a walk over the signs before it.
-BLOCKS = (4096, 32)
 MIN_JACCARD = 0.8
-# Bands of ROWS minima each: lines of Jaccard 0.8 meet in one with probability 0.987, of 0.9 with 0.9996.
-BANDS, ROWS = 6, 3
+# Lines at MIN_JACCARD meet in a band with this probability, of 0.85 with 0.9996.
+RECALL = 0.995
+# Lines of one band that one task compares; larger bands are cut into pairs of chunks.
+CHUNK_LINES, SHARD_LINES = 1024, 4096
+# Lines whose bands are put together before they are shuffled.
+COMBINED = 32_768
 # Keys that may be sent to every task; beyond that the same join shuffles.
 BROADCAST_KEYS = 1_000_000
 
 
-def _key(text: str) -> list[Column]:
-    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
-
-
-def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line) of every line, lower-cased, with single blanks; blank lines and rows without an id are left out."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.filter("doc_id is not null and text is not null")
-    cut_up = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    gaps = F.lit(False)
-    for gap in ("  ", "\t", "\r", "\x0b", "\x0c"):
-        gaps = gaps | F.contains(F.col("line"), F.lit(gap))
-    # Few lines need the pattern.
-    even = F.when(gaps, F.regexp_replace("line", r"\s+", " ")).otherwise(F.col("line"))
-    return cut_up.withColumn("line", F.lower(F.trim(even))).filter("line <> ''")
-
-
-def _positions(text: Column) -> Column:
-    """How many shingles start in a text."""
-    return F.greatest(F.length(text) - (SHINGLE - 1), F.lit(1))
-
-
-def _cuts(text: Column, size: int) -> Column:
-    """A text in blocks in which ``size`` shingles start: each shingle lies in one block."""
-    numbers = F.sequence(F.lit(0), F.floor((_positions(text) - 1) / size).cast("int"))
-    return F.transform(numbers, lambda b: F.substring(text, b * size + 1, F.lit(size + SHINGLE - 1)))
-
+GAP = re.compile(r"[ \t\r\x0b\x0c]+")
 
-def _blocks(text: Column) -> Column:
-    return F.flatten(F.transform(_cuts(text, BLOCKS[0]), lambda block: _cuts(block, BLOCKS[1])))
 
+def normal_lines(text: str) -> list[str]:
+    """The lines of a text as they are compared: lower-case, trimmed, gaps single blanks; blank ones stay as empty."""
+    if any(gap in text for gap in ("  ", "\t", "\r", "\x0b", "\x0c")):
+        text = GAP.sub(" ", text)
+    return [line.strip(" ") for line in text.lower().split("\n")]
 
-def _starts(block: Column) -> Column:
-    return F.sequence(F.lit(1), _positions(block))
 
+def _long(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
-def _shingle(block: Column, start: Column) -> Column:
-    return F.xxhash64(F.substring(block, start, F.lit(SHINGLE)))
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, text): equal rows are one document, different texts of one id are apart."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.filter("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
-def signatures(lines: DataFrame) -> DataFrame:
-    """(k1, k2, first_doc, copies, bands) of each different line: minima of hashed shingles, hashed by band.
 
-    Shingles are hashed where the lines are read; equal lines share their minima
-    before and after the shuffle, so no text moves.
+def lines_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, line_no, k1, k2) of every line that is not blank; rows without an id are left out."""
+    kinds = "doc_id bigint, text_key bigint, line_no int, k1 bigint, k2 bigint"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
+        for piece in pieces(batches):
+            row, number, one, two = [], [], [], []
+            for i, text in enumerate(piece.column("text").to_pylist()):
+                for k, line in enumerate(normal_lines(text)):
+                    if line:
+                        raw = line.encode()
+                        row.append(i)
+                        number.append(k)
+                        one.append(digest(raw, 42))
+                        two.append(digest(raw, 7))
+            at = pa.array(row, pa.int32())
+            keys = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (one, two)]
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("doc_id").take(at), piece.column("text_key").take(at), pa.array(number, pa.int32()), *keys],
+                ["doc_id", "text_key", "line_no", "k1", "k2"],
+            )
+
+    return _rows(docs).mapInArrow(run, kinds)
+
+
+def banding(lines: int, recall: float = RECALL) -> tuple[int, int]:
+    """(bands, rows): rows grow with the logarithm of the number of lines, so that chance meetings of a line do not."""
+    rows = 5 + max(0, ceil(log(max(lines, 1) / 4_000_000) / log(20)))
+    return ceil(log(1 - recall) / log(1 - MIN_JACCARD**rows)), rows
+
+
+# Multipliers of the polynomial over a shingle's signs.
+_SIGNS = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def shingle_values(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A 32-bit value of every shingle of the lines, and where each line's first one is."""
+    filler = chr(0x10FFFF) * (SHINGLE - 1)
+    codes = np.frombuffer((filler.join(lines) + filler).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    size = np.array([len(x) for x in lines])
+    many = np.maximum(size - (SHINGLE - 1), 1)
+    at = np.concatenate([[0], np.cumsum(size + SHINGLE - 1)])
+    starts = np.concatenate([[0], np.cumsum(many)])
+    place = np.arange(starts[-1]) + np.repeat(at[:-1] - starts[:-1], many)
+    total = codes[place] * _SIGNS[0]
+    for k in range(1, SHINGLE):
+        total += codes[place + k] * _SIGNS[k]
+    return (mix(total) >> np.uint64(32)).astype(np.uint32), starts[:-1]
+
+
+def band_keys(lines: list[str], bands: int, rows: int) -> np.ndarray:
+    """(lines, bands): the hash of each band's minima."""
+    values, starts = shingle_values(lines)
+    seeds = mix(np.arange(1, bands * rows + 1, dtype=np.uint64))
+    factor = (seeds | np.uint64(1)).astype(np.uint32)
+    keys = np.empty((len(lines), bands), np.uint64)
+    for b in range(bands):
+        key = np.full(len(lines), b + 1, np.uint64)
+        for k in range(b * rows, (b + 1) * rows):
+            key = mix(key + np.minimum.reduceat(values * factor[k], starts))
+        keys[:, b] = key
+    return keys
+
+
+MEETINGS = "band bigint, lo bigint, member bigint"
+
+
+def _signed(bands: int, rows: int):
+    """(band, lo, member) of the different lines of a task: per band its smallest line (as lo and member) and the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
+        seen: set[int] = set()
+        names, keys = [], []
+
+        def combined() -> pa.RecordBatch:
+            name = np.repeat(np.concatenate(names), bands)
+            band = np.concatenate(keys).ravel().view(np.int64)
+            order = np.lexsort((name, band))
+            band, name = band[order], name[order]
+            new = np.concatenate([[True], band[1:] != band[:-1]])
+            lo = name[np.flatnonzero(new)][np.cumsum(new) - 1]
+            return pa.RecordBatch.from_arrays([pa.array(band), pa.array(lo), pa.array(name)], ["band", "lo", "member"])
+
+        for piece in pieces(batches):
+            new: dict[int, str] = {}
+            for text in piece.column("text").to_pylist():
+                for line in normal_lines(text):
+                    if line and (name := digest(line.encode(), 42)) not in seen:
+                        seen.add(name)
+                        new[name] = line
+            if new:
+                names.append(np.array(list(new), np.uint64).view(np.int64))
+                keys.append(band_keys(list(new.values()), bands, rows))
+            if len(seen) >= COMBINED:
+                yield combined()
+                seen, names, keys = set(), [], []
+        if names:
+            yield combined()
+
+    return run
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links each band's lines to one of them; rows come sorted by band, lines that already have a partner pass through."""
+    last: tuple[int, int] | None = None
+    for batch in batches:
+        band, lo, member = (batch.column(c).to_numpy() for c in ("band", "lo", "member"))
+        own = lo == member
+        head, first = band[own], lo[own]
+        root = first.copy()
+        if len(head):
+            new = np.concatenate([[True], head[1:] != head[:-1]])
+            at = np.flatnonzero(new)
+            if last and last[0] == head[0]:
+                root[0] = last[1]
+            root = root[at][np.cumsum(new) - 1]
+            last = int(head[-1]), int(root[-1])
+        apart = root != first
+        columns = zip((band[~own], lo[~own], member[~own]), (head[apart], root[apart], first[apart]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["band", "lo", "member"])
+
+
+def meetings(docs: DataFrame, bands: int, rows: int) -> DataFrame:
+    """(band, lo, member): the lines of each band of two or more, as links between one line and the others.
+
+    Each task links its own lines first and passes one of them on, so that a
+    band with a third of all lines is a row for each task, not for each line.
     """
-    cut_up = lines.select("doc_id", *_key("line"), F.posexplode(_blocks(F.col("line"))).alias("at", "block"))
-    each = cut_up.select("*", F.explode(_starts(F.col("block"))).alias("start"))
-    hashed = each.select("doc_id", "k1", "k2", "at", "start", _shingle(F.col("block"), F.col("start")).alias("h"))
-    minima = [F.min(F.hash("h", F.lit(k))).alias(f"m{k}") for k in range(BANDS * ROWS)]
-    copies = F.sum(((F.col("at") == 0) & (F.col("start") == 1)).cast("int")).alias("copies")
-    found = hashed.groupBy("k1", "k2").agg(F.min("doc_id").alias("first_doc"), copies, *minima)
-    bands = [F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)]
-    return found.select("k1", "k2", "first_doc", "copies", F.array(*bands).alias("bands"))
+    signed = _rows(docs).select("text").mapInArrow(_signed(bands, rows), MEETINGS)
+    route = F.when(F.col("lo") == F.col("member"), F.col("band")).otherwise(F.col("member"))
+    dealt = signed.withColumn("route", route).repartition("route").sortWithinPartitions("band", "lo").drop("route")
+    return dealt.mapInArrow(_stars, MEETINGS)
 
 
 def _small(keys: DataFrame) -> DataFrame:
@@ -80,89 +194,131 @@ def _small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
-def _set(text: Column) -> Column:
-    """The hashed shingles of a text, repeats included."""
-    return F.flatten(F.transform(_blocks(text), lambda block: F.transform(_starts(block), lambda at: _shingle(block, at))))
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(k1, line) of the lines with the keys of ``wanted``, each once."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
+        for piece in pieces(batches):
+            found: dict[int, str] = {}
+            for text in piece.column("text").to_pylist():
+                for line in normal_lines(text):
+                    if line:
+                        found[_long(digest(line.encode(), 42))] = line
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(found.values(), pa.string())], ["k1", "line"])
 
-def _alike(x: str, y: str) -> Column:
-    """Whether two texts are alike; the lambda has each pair's sets made once."""
-    sets = F.array(F.struct(_set(F.col(x)).alias("x"), _set(F.col(y)).alias("y")))
-    return F.exists(
-        sets,
-        lambda both: F.size(F.array_intersect(both["x"], both["y"])) >= MIN_JACCARD * F.size(F.array_union(both["x"], both["y"])),
-    )
+    each = _rows(docs).select("text").mapInArrow(run, "k1 bigint, line string")
+    return each.join(_small(wanted), "k1").groupBy("k1").agg(F.min("line").alias("line"))
 
 
-def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(src, dst) of the pairs (a, b) whose lines are alike; texts move and not their sets, which are eight times as large."""
-    a = texts.select(F.col("k1").alias("a"), F.col("line").alias("x"))
-    b = texts.select(F.col("k1").alias("b"), F.col("line").alias("y"))
-    return pairs.join(a, "a").join(b, "b").filter(_alike("x", "y")).select(F.col("a").alias("src"), F.col("b").alias("dst"))
+def shingles(line: str) -> frozenset[str]:
+    return frozenset(line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1)))
+
 
+def _alike(x: frozenset[str], y: frozenset[str]) -> bool:
+    if min(len(x), len(y)) < MIN_JACCARD * max(len(x), len(y)):
+        return False
+    shared = len(x & y)
+    return shared / (len(x) + len(y) - shared) >= MIN_JACCARD
 
-def similar_lines(lines: DataFrame, marks: DataFrame) -> DataFrame:
-    """(node, component) over k1 of the lines that are linked to another line.
 
-    Lines of one band are compared with the band's smallest and largest line
-    first: a number of pairs in proportion to the members. Components of these
-    links come next, and then only lines of one band that are still apart meet;
-    the Jaccard check is part of that join. So no link is lost, and a band of
-    thousands of like lines does not list its pairs.
+LINKS = "src bigint, dst bigint"
+
+
+def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(src, dst) of the pairs (a, b) whose lines are alike; pairs with one a come together, so its set is made once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, own = None, frozenset()
+        for batch in batches:
+            a, x, y = (batch.column(c).to_pylist() for c in ("a", "x", "y"))
+            keep = []
+            for name, left, right in zip(a, x, y):
+                if name != last:
+                    last, own = name, shingles(left)
+                keep.append(_alike(own, shingles(right)))
+            chosen = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([chosen.column("a"), chosen.column("b")], ["src", "dst"])
+
+    left = texts.select(F.col("k1").alias("a"), F.col("line").alias("x"))
+    right = texts.select(F.col("k1").alias("b"), F.col("line").alias("y"))
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, LINKS)
+
+
+def _across(table: pa.Table) -> pa.Table:
+    """Links between lines of different components in the bands of one shard.
+
+    Two alike lines share one of their rarest shingles (as many as may be
+    missing and one more), so only lines that share one of these are compared.
     """
-    banded = marks.select("k1", F.explode("bands").alias("band"))
-    groups = banded.groupBy("band").agg(
-        F.count(F.lit(1)).alias("n"), F.min("k1").alias("lo"), F.max("k1").alias("hi")
-    )
-    groups = cut(groups.filter("lo < hi"), "bands")
-    large = _small(groups.filter("n > 2").select("band", "lo", "hi"))
-    members = cut(banded.join(large, "band"), "members")
-    firsts = groups.select("lo", "hi").union(members.select("lo", "k1")).toDF("a", "b").filter("a < b").distinct()
-    firsts = cut(firsts, "pairs")
-
-    wanted = members.select("k1").union(firsts.select(F.explode(F.array("a", "b")))).distinct()
-    wanted = _small(cut(wanted, "wanted"))
-    texts = lines.select(_key("line")[0], "line").join(wanted, "k1").distinct()
-    texts = cut(texts, "texts")
-    links = cut(_checked(firsts, texts), "links")
-
-    # Lines that are linked to the smallest one, as the largest is, need not meet the largest.
-    ends = links.select(F.col("src").alias("lo"), F.col("dst").alias("hi"), F.lit(True).alias("tied"))
-    tied = _small(cut(large.join(ends, ["lo", "hi"]).select("band"), "tied"))
-    near = members.join(tied.withColumn("tied", F.lit(True)), "band", "left")
-    held = links.select(F.col("src").alias("lo"), F.col("dst").alias("k1"), F.lit(True).alias("held"))
-    lasts = near.join(held, ["lo", "k1"], "left").filter("lo < k1 and k1 < hi and (tied is null or held is null)")
-    lasts = cut(lasts.select(F.col("k1").alias("a"), F.col("hi").alias("b")).distinct(), "pairs")
-    links = links.union(cut(_checked(lasts, texts), "links"))
+    band, lo, hi, chunk, k1, part = (table.column(c).to_numpy() for c in ("band", "lo", "hi", "chunk", "k1", "part"))
+    line = table.column("line").to_pylist()
+    order, groups = group_slices([band, lo, hi])
+    joined, out = Forest(), []
+    known: dict[int, frozenset[str]] = {}
+    for a, b in groups:
+        rows = order[a:b].tolist()
+        sets = [known.setdefault(int(k1[r]), shingles(line[r])) for r in rows]
+        common = Counter(s for x in sets for s in x)
+        index: dict[str, list[int]] = {}
+        alone = lo[rows[0]] == hi[rows[0]]
+        for i, (r, own) in enumerate(zip(rows, sets)):
+            rare = sorted(own, key=lambda s: (common[s], s))[: len(own) - ceil(MIN_JACCARD * len(own) - 1e-9) + 1]
+            for j in {j for s in rare for j in index.get(s, ())}:
+                q = rows[j]
+                if not alone and chunk[q] == chunk[r]:
+                    continue
+                p = int(part[q]), int(part[r])
+                if joined.find(p[0]) != joined.find(p[1]) and _alike(own, sets[j]):
+                    joined.join(*p)
+                    out.append((int(k1[q]), int(k1[r])))
+            for s in rare:
+                index.setdefault(s, []).append(i)
+    ends = np.array(out, np.int64).reshape(-1, 2)
+    return pa.table({"src": pa.array(ends[:, 0]), "dst": pa.array(ends[:, 1])})
+
+
+def similar_lines(docs: DataFrame, lines: int) -> DataFrame:
+    """(node, component) over k1 of the lines that are linked to another line; ``lines`` is about their number.
+
+    The lines of a band are compared with one of them first: pairs in proportion
+    to the members. Components of these links come next, and then only lines of
+    one band that are still apart are compared, pairs of chunks of a large band
+    in tasks of their own. So no link is lost, and a band of thousands of like
+    lines does not list its pairs.
+    """
+    met = cut(meetings(docs, *banding(lines)), "meetings")
+    pairs = met.select(F.least("lo", "member").alias("a"), F.greatest("lo", "member").alias("b")).distinct()
+    pairs = cut(pairs, "pairs")
+    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct(), "wanted")
+    texts = cut(_texts(docs, wanted), "texts")
+    links = cut(_checked(pairs, texts), "links")
     parts = cut(connected_components(links), "parts")
 
+    members = met.select("band", F.explode(F.array("lo", "member")).alias("k1")).distinct()
     part = F.coalesce("component", "k1").alias("part")
-    rest = members.select("band", "k1").join(parts.withColumnRenamed("node", "k1"), "k1", "left").select("band", "k1", part)
-    apart = rest.groupBy("band").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("band")
-    rest = cut(rest.join(apart, "band").join(texts, "k1"), "apart")
-    left = rest.select("band", F.col("k1").alias("src"), F.col("part").alias("p"), F.col("line").alias("x"))
-    right = rest.select("band", F.col("k1").alias("dst"), F.col("part").alias("q"), F.col("line").alias("y"))
-    more = left.join(right, (left.band == right.band) & F.expr("p < q") & _alike("x", "y")).select("src", "dst")
-    joined = parts.select(F.col("node").alias("src"), F.col("component").alias("dst")).union(more.distinct())
-    return connected_components(joined)
+    named = members.join(parts.withColumnRenamed("node", "k1"), "k1", "left").select("band", "k1", part)
+    # Two lines alone in a band have met.
+    ends = (F.min("part").alias("p"), F.max("part").alias("q"), F.count(F.lit(1)).alias("n"))
+    open_ = named.groupBy("band").agg(*ends).filter("p < q and n > 2").select("band")
+    rest = cut(named.join(open_, "band"), "apart")
+    dealt = blocked(rest, ["band"], "k1", CHUNK_LINES, SHARD_LINES, rest.count()).join(texts, "k1")
+    more = dealt.groupBy("shard").applyInArrow(_across, LINKS)
+    return connected_components(parts.select(F.col("node").alias("src"), F.col("component").alias("dst")).union(more))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, removed): the numbers of the lines that go from each document that loses any."""
-    lines = lines_of(docs)
-    marks = cut(signatures(lines), "signatures")
-    parts = similar_lines(lines, marks.select("k1", "bands"))
-    named = marks.select("k1", "k2", "first_doc", "copies").join(parts.withColumnRenamed("node", "k1"), "k1", "left")
-    repeated = cut(named.filter("copies > 1 or component is not null").withColumn("part", F.coalesce("component", "k1")), "repeated")
-    first = repeated.groupBy("part").agg(F.min("first_doc").alias("least"))
-    repeated = repeated.join(first, "part").select("k1", "k2", "part", "least")
-    found = lines.select("doc_id", "line_no", *_key("line")).join(repeated, ["k1", "k2"])
-    found = cut(found.select("doc_id", "line_no", "part", "least"), "repeated_lines")
-    inside = found.filter("doc_id = least")
-    stays = inside.groupBy("part").agg(F.min("line_no").alias("stays"))
-    gone = found.filter("doc_id > least").select("doc_id", "line_no")
-    gone = gone.union(inside.join(stays, "part").filter("line_no > stays").select("doc_id", "line_no"))
-    return gone.groupBy("doc_id").agg(F.collect_set("line_no").alias("removed"))
+    """(doc_id, text_key, removed): the numbers of the lines that go from each document that loses any."""
+    found = cut(lines_of(docs), "lines")
+    parts = cut(similar_lines(docs, found.count()), "components")
+    named = found.join(parts.withColumnRenamed("node", "k1"), "k1", "left")
+    # A line without a like one is named by both its hashes.
+    part, other = F.coalesce("component", "k1").alias("part"), F.when(F.col("component").isNull(), F.col("k2")).otherwise(F.lit(0))
+    named = named.select("doc_id", "text_key", "line_no", part, other.alias("other"))
+    place = F.struct("doc_id", "text_key", "line_no")
+    first = named.groupBy("part", "other").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    gone = named.join(first.drop("n"), ["part", "other"]).filter(place != F.col("first"))
+    return gone.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("removed"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -172,12 +328,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     index of their character shingles is 0.8 or more. Of each component the
     first line of the smallest doc_id stays, all others go from every document;
     blank lines stay. Null and empty texts and rows without an id are returned
-    as they are, n_removed 0; rows that repeat an id lose the lines of the same numbers. Other
+    as they are, n_removed 0. Rows with equal id and text are one document and
+    keep the same lines; different texts of one id follow by hash. Other
     columns keep their values; columns named n_lines or n_removed are replaced.
+    An empty table gives no rows.
     """
-    gone = removed_lines(docs).select(F.col("doc_id").alias("__doc"), F.col("removed").alias("__gone"))
+    gone = removed_lines(docs).select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"), F.col("removed").alias("__gone"))
     rows = docs.drop("n_lines", "n_removed")
-    joined = rows.join(gone, rows["doc_id"].cast("bigint") == gone["__doc"], "left")
+    same = (rows["doc_id"].cast("bigint") == gone["__doc"]) & (F.xxhash64(rows["text"].cast("string")) == gone["__key"])
+    joined = rows.join(gone, same, "left")
     parts = F.split("text", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone"))
     text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(

@@ -48,11 +48,20 @@ def test_edits_against_all_shingles(spark):
     assert len({i for i, j in alike.items() if j >= 0.8} - got) <= 2 and len(got) >= 35
 
 
-def test_shingles_of_blocks(spark):
+def test_shingle_values():
+    """Equal shingles have equal values wherever they stand; lines meet where one begins."""
     rng = random.Random(2)
-    lines = ["".join(rng.choice("abé日") for _ in range(n)) for n in (1, 4, 5, 6, 35, 36, 37, 68, 4099, 4100, 4101, 4104, 9000)]
-    frame = spark.createDataFrame([(x,) for x in lines], "line string").selectExpr("line", "line as held")
-    column = L._blocks(L.F.col("line"))
-    each = L.F.flatten(L.F.transform(column, lambda b: L.F.transform(L._starts(b), lambda s: L.F.substring(b, s, L.F.lit(L.SHINGLE)))))
-    for r in frame.select("held", each.alias("each")).collect():
-        assert r.each == [r.held[i : i + 5] for i in range(max(1, len(r.held) - 4))]
+    lines = ["".join(rng.choice("abé日") for _ in range(n)) for n in (1, 4, 5, 6, 35, 36, 37, 68, 1, 9000)]
+    values, starts = L.shingle_values(lines)
+    known = {}
+    for line, at in zip(lines, starts.tolist()):
+        for i in range(max(1, len(line) - 4)):
+            assert known.setdefault(line[i : i + 5], values[at + i]) == values[at + i]
+    assert len(values) == starts[-1] + 8996 and len(set(known.values())) == len(known)
+
+
+def test_bands_follow_the_number_of_lines():
+    assert L.banding(0) == L.banding(4_000_000) == (14, 5)
+    for lines in (10**8, 10**11):
+        bands, rows = L.banding(lines)
+        assert rows > 5 and 1 - (1 - 0.8**rows) ** bands >= 0.995 and 0.05**rows * bands * lines < 50
