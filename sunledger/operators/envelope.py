@@ -10,7 +10,6 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sunledger.functions import uris
@@ -260,16 +259,6 @@ def check_events(events: DataFrame, contract: EventContract | None = None) -> Da
     return projected.withColumn("reason", reason).withColumn("payload", payload).drop("well_formed")
 
 
-def in_version_order(events: DataFrame) -> DataFrame:
-    """Add ``turn``: an older version of a dataset has the smaller one, equal versions go by time.
-
-    Every event is handled; a later one replaces what an earlier one has
-    written only if it passes all checks itself.
-    """
-    order = W.partitionBy("dataset_id").orderBy("version", "event_time", "event_id", "event_key")
-    return events.withColumn("turn", F.row_number().over(order))
-
-
 def latest_per_dataset(events: DataFrame) -> DataFrame:
     """Mark the event that counts per dataset: highest version, then latest time.
 

@@ -13,7 +13,7 @@ from sunledger.operators.registry import LINEAGE, Mapping
 # Names that the job gives to columns of its own, and to partitions.
 WORK_COLUMNS = (
     "dataset_id", "file_path", "block_start", "scan_id", "failures", "row_index", "reason_code", "ingestion_date", "data_date",
-    "event_schema_version", "event_site_id", "parse_id",
+    "event_schema_version", "event_site_id", "parse_id", "event_key", "checked_ms", "layout_no",
 )
 
 

@@ -200,10 +200,10 @@ def explode_failures(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def header_failures(headers: DataFrame, mapping_columns: Column | list[str]) -> DataFrame:
+def header_failures(headers: DataFrame, mapping_columns: Column | list[str], key: str = "dataset_id") -> DataFrame:
     """Strict header check: one failure per mapped column a header lacks.
 
-    ``headers`` has ``dataset_id`` and ``header ARRAY<STRING>``; the failures
+    ``headers`` has ``key`` and ``header ARRAY<STRING>``; the failures
     carry row 0 and the position of the column in the mapping.
     """
     wanted = (
@@ -211,10 +211,10 @@ def header_failures(headers: DataFrame, mapping_columns: Column | list[str]) ->
     )
     present = F.transform("header", lambda h: F.lower(h))
     return (
-        headers.select("dataset_id", present.alias("_present"), F.posexplode(wanted).alias("pos", "field"))
+        headers.select(key, present.alias("_present"), F.posexplode(wanted).alias("pos", "field"))
         .filter(~F.array_contains("_present", F.lower("field")))
         .select(
-            "dataset_id",
+            key,
             F.lit(0).cast("bigint").alias("row_index"),
             "pos",
             "field",
@@ -225,53 +225,59 @@ def header_failures(headers: DataFrame, mapping_columns: Column | list[str]) ->
     )
 
 
-def verdicts(rows: DataFrame) -> DataFrame:
-    """Per dataset: row count, failure count and whether it may be written.
+def verdicts(rows: DataFrame, key: str = "dataset_id", *more: Column) -> DataFrame:
+    """Per ``key``: row count, failure count and whether it may be written; ``more`` aggregates are carried along.
 
     A failed dataset reports zero passes and counts failures, not rows.
     """
-    counted = rows.groupBy("dataset_id").agg(
+    counted = rows.groupBy(key).agg(
         F.count("*").alias("row_count"),
         F.sum(F.when(F.col("failures").isNotNull(), F.size("failures")).otherwise(0)).alias("fail_count"),
         F.count("failures").alias("bad_rows"),
+        *more,
     )
     good = F.col("fail_count") == 0
+    known = (key, "row_count", "fail_count", "bad_rows")
     return counted.select(
-        "dataset_id",
+        key,
         "row_count",
         good.alias("is_success"),
         F.when(good, F.col("row_count")).otherwise(F.lit(0)).alias("pass_count"),
         "fail_count",
         "bad_rows",
+        *[c for c in counted.columns if c not in known],
     )
 
 
-def summary(failures: DataFrame) -> DataFrame:
-    """Failures and affected rows per dataset and rule."""
-    return failures.groupBy("dataset_id", "rule").agg(
+def summary(failures: DataFrame, key: str = "dataset_id") -> DataFrame:
+    """Failures and affected rows per ``key`` and rule."""
+    return failures.groupBy(key, "rule").agg(
         F.count("*").alias("failures"), F.countDistinct("row_index").alias("failed_rows")
     )
 
 
-def first_failures(failures: DataFrame, limit: int = FIRST_FAILURES) -> DataFrame:
-    """The first failures per dataset in file and rule order.
+def first_failures(failures: DataFrame, limit: int = FIRST_FAILURES, key: str = "dataset_id") -> DataFrame:
+    """The first failures per ``key`` in file and rule order.
 
-    A row-number limit is cut to ``limit`` rows per dataset in every task before
+    A row-number limit is cut to ``limit`` rows per key in every task before
     the shuffle, so a hot dataset sends a bounded number of rows.
     """
-    order = W.partitionBy("dataset_id").orderBy("row_index", "pos")
+    order = W.partitionBy(key).orderBy("row_index", "pos")
     return failures.withColumn("seq", F.row_number().over(order)).filter(F.col("seq") <= limit)
 
 
-def failure_report(failures: DataFrame) -> DataFrame:
-    """Per dataset: the total and the first failures as an array, for the dead letter."""
+def failure_report(failures: DataFrame, key: str = "dataset_id") -> DataFrame:
+    """Per ``key``: the total and the first failures as an array, for the dead letter.
+
+    Both are made from ``failures``, which should be a written table.
+    """
     entry = F.struct(
         F.col("seq"), F.col("row_index").alias("row"), F.col("field"), F.col("rule"), F.col("detail")
     )
-    first = first_failures(failures).groupBy("dataset_id").agg(F.sort_array(F.collect_list(entry)).alias("_list"))
-    total = failures.groupBy("dataset_id").agg(F.count("*").alias("fail_count"))
-    return total.join(first, "dataset_id").select(
-        "dataset_id",
+    first = first_failures(failures, key=key).groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_list"))
+    total = failures.groupBy(key).agg(F.count("*").alias("fail_count"))
+    return total.join(first, key).select(
+        key,
         "fail_count",
         F.transform("_list", lambda e: e.dropFields("seq")).alias("failures"),
     )

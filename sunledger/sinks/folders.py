@@ -1,24 +1,51 @@
-"""Folders of any file system Spark can reach: delete, and the names inside."""
+"""Folders of any file system Spark can reach: delete, move, and the names inside."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
+# File-system calls that run at the same time.
+CALLS = 16
+
+
+def at_once(function: Callable, items: Iterable, threads: int = CALLS) -> list:
+    """``function`` of every item, a bounded number at a time; the first failure is raised after all have ended."""
+    with ThreadPoolExecutor(threads) as pool:
+        return [f.result() for f in [pool.submit(function, x) for x in items]]
+
 
-def _at(spark: SparkSession, path: str):
+def at(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, where = at(spark, path)
+    return system.exists(where)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder or file; one that is not there is fine."""
-    system, where = _at(spark, path)
+    system, where = at(spark, path)
     system.delete(where, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within one file system; the target's parents are made."""
+    system, where = at(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    system.mkdirs(to.getParent())
+    if not system.rename(where, to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``; none when it does not exist."""
-    system, where = _at(spark, path)
+    system, where = at(spark, path)
     if not system.exists(where):
         return []
     return [s.getPath().getName() for s in system.listStatus(where) if s.isDirectory()]

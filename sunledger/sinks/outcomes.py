@@ -7,16 +7,19 @@ from pyspark.sql.utils import AnalysisException
 
 from sunledger.sinks import folders
 
-TABLES = ("ledger", "dead_letter", "notifications", "validated_events", "quarantine_rows", "quarantine_records")
+TABLES = (
+    "ledger", "dead_letter", "notifications", "validated_events", "quarantine_rows", "quarantine_records",
+    "validation_summary", "reconciliation",
+)
 
 LEDGER_SCHEMA = """
     event_key STRING, event_id STRING, dataset_id STRING, status STRING, stage STRING, reason STRING,
     records_processed BIGINT, validation_pass_count BIGINT, validation_fail_count BIGINT,
-    processing_duration_ms BIGINT, output_path STRING, run_ts TIMESTAMP
+    processing_duration_ms BIGINT, output_path STRING, superseded BOOLEAN, run_ts TIMESTAMP
 """
 DEAD_LETTER_SCHEMA = """
     event_key STRING, event_id STRING, dataset_id STRING, registry_key STRING, storage_path STRING,
-    payload STRING, raw STRING
+    payload STRING, raw STRING, delivery INT
 """
 
 

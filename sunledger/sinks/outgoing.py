@@ -14,12 +14,13 @@ SUBJECT = "dataset.bronze.available"
 DEFAULT_VALIDATED_SCHEMA = "https://contracts.example.org/dataset-validated.v1.json"
 
 
-def notifications(written: DataFrame, published_at: Column) -> DataFrame:
+def notifications(written: DataFrame, published_at: Column, carry: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """One flat JSON message per written dataset.
 
-    ``written``: dataset_id, record_count, silver_path, schema_version, correlation_id.
+    ``written``: dataset_id, record_count, silver_path, schema_version, correlation_id; columns ``carry`` are kept.
     """
     return written.select(
+        *carry,
         "dataset_id",
         F.lit(SUBJECT).alias("subject"),
         "correlation_id",

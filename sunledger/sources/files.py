@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from sunledger.functions.uris import percent_decode
+from sunledger.sinks import folders as Fo
 
 
 def decoded_path(file_path: Column) -> Column:
@@ -43,6 +44,50 @@ def list_files(spark: SparkSession, root: str, folders: DataFrame | None = None)
     return listed if folders is None else listed.dropDuplicates(["file_path"])
 
 
+LOCATED = "relative_path string, file_path string, length bigint"
+# Paths that are asked for at a time.
+ASKED = 10_000
+
+
+def locate(spark: SparkSession, root: str, wanted: DataFrame, scratch: str) -> DataFrame:
+    """``relative_path``, ``file_path`` and ``length`` of files that a listing leaves out although they exist.
+
+    ``wanted`` has one ``relative_path`` per file that is not listed. Spark's
+    listings pass over empty files and over names that begin with an underscore
+    or a dot. The file system is asked for each path, some calls at a time; a
+    file of such a name, which Spark's readers would pass over too, is copied as
+    a stream to ``scratch`` under a name they accept.
+    """
+    conf = spark._jsc.hadoopConfiguration()
+
+    def ask(item: tuple[int, str]) -> tuple[str, str, int] | None:
+        number, relative = item
+        system, where = Fo.at(spark, f"{root}/{relative}")
+        if not system.exists(where):
+            return None
+        status = system.getFileStatus(where)
+        if status.isDirectory():
+            return None
+        path, size = status.getPath(), status.getLen()
+        if size and path.getName()[0] in "_.":
+            copied, to = Fo.at(spark, f"{scratch}/{number}.csv")
+            spark._jvm.org.apache.hadoop.fs.FileUtil.copy(system, path, copied, to, False, True, conf)
+            path = copied.getFileStatus(to).getPath()
+        return relative, path.toUri().toString(), size
+
+    found = spark.createDataFrame([], LOCATED)
+    held: list[tuple[int, str]] = []
+    for number, row in enumerate(wanted.select("relative_path").distinct().toLocalIterator()):
+        held.append((number, row.relative_path))
+        if len(held) == ASKED:
+            found, held = found.unionByName(_asked(spark, ask, held)), []
+    return found.unionByName(_asked(spark, ask, held)) if held else found
+
+
+def _asked(spark: SparkSession, ask, items: list[tuple[int, str]]) -> DataFrame:
+    return spark.createDataFrame([x for x in Fo.at_once(ask, items) if x], LOCATED)
+
+
 def relative_path(file_path: Column, root: str) -> Column:
     """``container/blob`` of a listed file: its decoded path after the bronze root."""
     base = root.split("://", 1)[-1].removeprefix("file:").rstrip("/")
