@@ -27,6 +27,8 @@ MIN_JACCARD = 0.8
 RECALL = 0.995
 # Lines of one band that one task compares; larger bands are cut into pairs of chunks.
 CHUNK_LINES, SHARD_LINES = 1024, 4096
+# So many lines are compared pair by pair, more by their rarest shingles first.
+FEW_LINES = 24
 # Lines whose bands are put together before they are shuffled.
 COMBINED = 32_768
 # Keys that may be sent to every task; beyond that the same join shuffles.
@@ -81,7 +83,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 def banding(lines: int, recall: float = RECALL) -> tuple[int, int]:
     """(bands, rows): rows grow with the logarithm of the number of lines, so that chance meetings of a line do not."""
-    rows = 5 + max(0, ceil(log(max(lines, 1) / 4_000_000) / log(20)))
+    rows = 5 + max(0, ceil(log(max(lines, 1) / 200_000) / log(20)))
     return ceil(log(1 - recall) / log(1 - MIN_JACCARD**rows)), rows
 
 
@@ -245,34 +247,38 @@ def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, LINKS)
 
 
-def _across(table: pa.Table) -> pa.Table:
-    """Links between lines of different components in the bands of one shard.
+def _rarest(sets: list[frozenset[str]]) -> list[list[str]]:
+    """Of each set its rarest shingles, as many as a like set may lack and one more: two like sets share one of them."""
+    common = Counter(s for x in sets for s in x)
+    return [sorted(x, key=lambda s: (common[s], s))[: len(x) - ceil(MIN_JACCARD * len(x) - 1e-9) + 1] for x in sets]
 
-    Two alike lines share one of their rarest shingles (as many as may be
-    missing and one more), so only lines that share one of these are compared.
-    """
+
+def _across(table: pa.Table) -> pa.Table:
+    """Links between lines of different components in the bands of one shard."""
     band, lo, hi, chunk, k1, part = (table.column(c).to_numpy() for c in ("band", "lo", "hi", "chunk", "k1", "part"))
-    line = table.column("line").to_pylist()
+    line = table.column("line")
     order, groups = group_slices([band, lo, hi])
     joined, out = Forest(), []
     known: dict[int, frozenset[str]] = {}
     for a, b in groups:
         rows = order[a:b].tolist()
-        sets = [known.setdefault(int(k1[r]), shingles(line[r])) for r in rows]
-        common = Counter(s for x in sets for s in x)
-        index: dict[str, list[int]] = {}
+        names, parts, chunks = k1[rows].tolist(), part[rows].tolist(), chunk[rows].tolist()
         alone = lo[rows[0]] == hi[rows[0]]
-        for i, (r, own) in enumerate(zip(rows, sets)):
-            rare = sorted(own, key=lambda s: (common[s], s))[: len(own) - ceil(MIN_JACCARD * len(own) - 1e-9) + 1]
-            for j in {j for s in rare for j in index.get(s, ())}:
-                q = rows[j]
-                if not alone and chunk[q] == chunk[r]:
+        for r, name in zip(rows, names):
+            if name not in known:
+                known[name] = shingles(line[r].as_py())
+        sets = [known[name] for name in names]
+        few = len(rows) <= FEW_LINES
+        rare = [()] * len(rows) if few else _rarest(sets)
+        index: dict[str, list[int]] = {}
+        for i, own in enumerate(sets):
+            for j in range(i) if few else {j for s in rare[i] for j in index.get(s, ())}:
+                if not alone and chunks[j] == chunks[i]:
                     continue
-                p = int(part[q]), int(part[r])
-                if joined.find(p[0]) != joined.find(p[1]) and _alike(own, sets[j]):
-                    joined.join(*p)
-                    out.append((int(k1[q]), int(k1[r])))
-            for s in rare:
+                if joined.find(parts[j]) != joined.find(parts[i]) and _alike(own, sets[j]):
+                    joined.join(parts[j], parts[i])
+                    out.append((names[j], names[i]))
+            for s in rare[i]:
                 index.setdefault(s, []).append(i)
     ends = np.array(out, np.int64).reshape(-1, 2)
     return pa.table({"src": pa.array(ends[:, 0]), "dst": pa.array(ends[:, 1])})
@@ -298,9 +304,11 @@ def similar_lines(docs: DataFrame, lines: int) -> DataFrame:
     members = met.select("band", F.explode(F.array("lo", "member")).alias("k1")).distinct()
     part = F.coalesce("component", "k1").alias("part")
     named = members.join(parts.withColumnRenamed("node", "k1"), "k1", "left").select("band", "k1", part)
-    # Two lines alone in a band have met.
+    # Two lines alone in a band have met; bands of the same lines are compared once.
     ends = (F.min("part").alias("p"), F.max("part").alias("q"), F.count(F.lit(1)).alias("n"))
-    open_ = named.groupBy("band").agg(*ends).filter("p < q and n > 2").select("band")
+    same = (F.bit_xor("k1").alias("x"), F.bit_xor(F.xxhash64("k1")).alias("y"))
+    open_ = named.groupBy("band").agg(*ends, *same).filter("p < q and n > 2")
+    open_ = open_.groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band")
     rest = cut(named.join(open_, "band"), "apart")
     dealt = blocked(rest, ["band"], "k1", CHUNK_LINES, SHARD_LINES, rest.count()).join(texts, "k1")
     more = dealt.groupBy("shard").applyInArrow(_across, LINKS)
@@ -317,6 +325,8 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     named = named.select("doc_id", "text_key", "line_no", part, other.alias("other"))
     place = F.struct("doc_id", "text_key", "line_no")
     first = named.groupBy("part", "other").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Written, so that the rows of a part are spread again for the join.
+    first = cut(first, "first")
     gone = named.join(first.drop("n"), ["part", "other"]).filter(place != F.col("first"))
     return gone.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("removed"))
 

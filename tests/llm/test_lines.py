@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pytest
 import xxhash
 
 from sunledger.llm import lines as L
@@ -86,11 +87,13 @@ def test_a_band_of_many_like_lines(spark):
     assert set(got) <= set(want) and len(set(want) - set(got)) <= 1 and len(want) > 30
 
 
-def test_bands_of_unlike_lines(spark, monkeypatch):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_bands_of_unlike_lines(spark, monkeypatch, few):
     """All lines in one band, in chunks smaller than the band: the comparison across components alone finds the links."""
     monkeypatch.setattr(L, "banding", lambda n: (1, 1))
     monkeypatch.setattr(L, "band_keys", lambda lines, bands, rows: np.ones((len(lines), 1), np.uint64))
     monkeypatch.setattr(L, "CHUNK_LINES", 7)
+    monkeypatch.setattr(L, "FEW_LINES", few)
     rows = made(seed=5, n=40)
     met = spark.createDataFrame([(1, L._long(lo), L._long(m)) for lo, m in star(rows)], L.MEETINGS)
     monkeypatch.setattr(L, "meetings", lambda docs, bands, per: met)
