@@ -25,6 +25,7 @@ TELEMETRY = Mapping(
     required_fields=("ts", "sid"),
 )
 RUN_TIME = "2026-01-01 00:00:00"
+TRACE = "00-5ca1ab1e0f00d4c0ffee0123456789ab-0decade0facade01-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

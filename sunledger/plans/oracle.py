@@ -73,7 +73,7 @@ verdict AS (
     FROM counted GROUP BY dataset_id)"""
 
 HEX_ID = "regexp_replace(md5({}), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5')"
-TRACE = "00-99df39bf690948f8b6820dca9ca43c09-c2163a2631c349d5-01"
+TRACE = "00-5ca1ab1e0f00d4c0ffee0123456789ab-0decade0facade01-01"
 
 WRITTEN = f"""{VERDICT},
 written AS (
@@ -289,17 +289,44 @@ outcomes AS (
 reasons AS (
     SELECT *, CASE WHEN file_no % 8 = 7 THEN 'UnrecognizedEventType' WHEN file_no % 8 = 2 THEN 'UnknownSchema'
                    WHEN file_no % 8 = 4 THEN 'SourceFileNotFound' WHEN file_no % 8 = 6 THEN 'UnsupportedEncoding'
-                   WHEN bad > 0 THEN 'ValidationFailed' END AS reason
+                   WHEN file_no % 16 IN (8, 13) THEN 'EmptyDataset' WHEN bad > 0 THEN 'ValidationFailed' END AS reason
     FROM outcomes)"""
 
 OUTCOMES = f"""WITH {FILE_ROWS}
 SELECT dataset_id, CASE WHEN reason IS NULL THEN 'Completed' ELSE 'Failed' END AS status,
-       CASE WHEN reason IS NULL THEN 'Completed' WHEN reason IN ('UnsupportedEncoding', 'SourceFileNotFound') THEN 'Parsing'
+       CASE WHEN reason IS NULL THEN 'Completed' WHEN reason IN ('UnsupportedEncoding', 'SourceFileNotFound', 'EmptyDataset') THEN 'Parsing'
             WHEN reason = 'ValidationFailed' THEN 'Validating' ELSE 'Received' END AS stage,
        reason, CASE WHEN reason IS NULL THEN n ELSE 0 END AS records_processed,
        CASE WHEN reason = 'ValidationFailed' THEN bad ELSE 0 END AS validation_fail_count
 FROM reasons"""
 
+SILVER = """SELECT f.sid AS site_id, CAST(f.ts AS TIMESTAMP) AS timestamp, c.dataset_id AS source_dataset_id,
+       'v1' AS schema_version, CAST(CAST(f.pwr_kw AS DECIMAL(12,2)) * 1000 AS DECIMAL(18,6)) AS power_w,
+       CASE WHEN f.file_no % 2 = 1 THEN 'kind ' || f.event_type || ', ' || f.event_id END AS note, '2026-01-01' AS ingestion_date
+FROM file_rows f JOIN chosen c ON c.held = f.file_no"""
+# Version 1 announces the file eight further on.
+NEWEST = f"""{FILE_ROWS},
+chosen AS (
+    SELECT r.dataset_id, CASE WHEN r.reason IS NULL THEN r.file_no WHEN e.reason IS NULL THEN e.file_no END AS held
+    FROM reasons r LEFT JOIN reasons e ON e.file_no = r.file_no + 8)"""
+REPLACED = f"""{FILE_ROWS},
+chosen AS (
+    SELECT r.dataset_id, CASE WHEN e.file_no IS NOT NULL AND e.reason IS NULL THEN e.file_no WHEN r.reason IS NULL THEN r.file_no END AS held
+    FROM reasons r LEFT JOIN reasons e ON e.file_no = r.file_no + 8)"""
+BAD_ROWS = f"""{FILE_ROWS},
+tested AS (
+    SELECT file_no, row_index, TRY_CAST(ts AS TIMESTAMP) IS NULL AND ts <> '' AS no_time, TRY_CAST(pwr_kw AS DECIMAL(38,9)) AS p,
+           ts = '' AS no_ts, sid = '' AS no_sid FROM file_rows WHERE file_no % 8 = 1),
+bad_rows AS (
+    SELECT *, no_ts::INT + no_sid::INT + no_time::INT + (p IS NULL)::INT + coalesce(p < 0 OR p > 1000, false)::INT AS failures,
+           CASE WHEN no_ts OR no_sid THEN 'MISSING_REQUIRED_FIELD' WHEN no_time THEN 'TIMESTAMP_UNPARSEABLE'
+                WHEN p IS NULL THEN 'TYPE_MISMATCH' WHEN p < 0 OR p > 1000 THEN 'VALUE_OUT_OF_RANGE' END AS code,
+           list_filter([CASE WHEN no_ts OR no_sid THEN 'MISSING_REQUIRED_FIELD' END, CASE WHEN no_time THEN 'TIMESTAMP_UNPARSEABLE' END,
+                        CASE WHEN p IS NULL THEN 'TYPE_MISMATCH' END, CASE WHEN p < 0 OR p > 1000 THEN 'VALUE_OUT_OF_RANGE' END],
+                       lambda c: c IS NOT NULL) AS codes
+    FROM tested),
+rejected AS (SELECT (file_no + 1) || '_telemetry' AS dataset_id, * FROM bad_rows WHERE failures > 0)"""
+
 LEDGER = """
 runs AS (
     SELECT user_id || '_' || event_type AS dataset_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS run_ts, count(*) AS n,
@@ -407,8 +434,11 @@ def oracle() -> dict[str, str]:
             CAST({_text('data.version')} AS BIGINT) AS version, CAST({_text('data.file_size')} AS BIGINT) AS file_size,
             {_text('schema_version')} AS schema_version, {_text('correlation_id')} AS correlation_id
             FROM payloads WHERE reason IS NULL""",
-        "correlation_fallback": f"""SELECT event_id, CASE WHEN event_id % 4 IN (0, 1)
-            THEN {HEX_ID.format("CAST(event_id AS VARCHAR) || props")} ELSE 'c-' || event_id END AS correlation_id FROM events""",
+        "correlation_fallback": f"""WITH {RAW_EVENTS}, changed AS (SELECT source_id, CASE source_id % 4
+                WHEN 0 THEN regexp_replace(raw, '"correlation_id":"[^"]*"', '"correlation_id":""')
+                WHEN 1 THEN regexp_replace(raw, '"correlation_id":"[^"]*"', '"correlation_id":"  "') ELSE raw END AS raw FROM raw_events),
+            parsed AS (SELECT *, CASE WHEN json_valid(raw) THEN CAST(raw AS JSON) END AS doc FROM changed)
+            SELECT source_id, coalesce(nullif(trim({_text('correlation_id')}), ''), {HEX_ID.format('raw')}) AS correlation_id FROM parsed""",
         "storage_path_parse": """WITH p AS (SELECT page_id, page_id % 4 AS form, url,
                 regexp_extract(url, '^https?://[^/?#]+(/[^?#]*[^/?#])', 1) AS path FROM pages),
             u AS (SELECT *, '/source%3Dweb/dataset=page%20' || page_id || '/ingestion_date=2026-01-02/a+b_v' || (page_id % 9 + 1) || '.csv' AS tail,
@@ -487,6 +517,38 @@ def oracle() -> dict[str, str]:
             count(*) AS files, CAST(sum(n) AS BIGINT) AS data_lines FROM outcomes GROUP BY 1""",
         "ingest_outcomes": OUTCOMES,
         "streaming_equals_batch": OUTCOMES,
+        "late_older_version": f"WITH {NEWEST} {SILVER}",
+        "versions_in_one_batch": f"WITH {NEWEST} {SILVER}",
+        "batch_replace": f"WITH {REPLACED} {SILVER}",
+        "written_dead_letters": f"""WITH {BAD_ROWS} SELECT r.dataset_id, r.reason,
+            CASE WHEN reason = 'UnrecognizedEventType' THEN 'UnrecognizedEventType' ELSE reason END AS error_type,
+            CASE WHEN reason = 'ValidationFailed' THEN r.bad END AS fail_count,
+            (SELECT min(row_index) FROM rejected b WHERE b.file_no = r.file_no) AS first_row, CAST(1 AS BIGINT) AS delivery
+            FROM reasons r WHERE reason IS NOT NULL""",
+        "written_summary": f"""WITH {BAD_ROWS}, each AS (SELECT file_no, row_index, unnest([
+                CASE WHEN no_ts THEN 'RequiredField' END, CASE WHEN no_sid THEN 'RequiredField' END, CASE WHEN no_time THEN 'NumericParse' END,
+                CASE WHEN p IS NULL THEN 'NumericParse' END, CASE WHEN p < 0 OR p > 1000 THEN 'NumericRange' END]) AS rule FROM bad_rows),
+            by_rule AS (SELECT file_no, rule, count(*) AS failures, count(DISTINCT row_index) AS failed_rows FROM each
+                WHERE rule IS NOT NULL GROUP BY file_no, rule)
+            SELECT r.dataset_id, r.n AS row_count, b.rule, b.failures, b.failed_rows FROM reasons r LEFT JOIN by_rule b ON b.file_no = r.file_no
+            WHERE r.reason IS NULL OR r.reason = 'ValidationFailed'""",
+        "run_reconciliation": f"""WITH {FILE_ROWS}, e AS (
+                SELECT file_no AS d, file_no AS f, 2 AS v FROM outcomes UNION ALL
+                SELECT a.file_no, b.file_no, 1 FROM outcomes a JOIN outcomes b ON b.file_no = a.file_no + 8),
+            j AS (SELECT e.d, e.v, r.reason FROM e JOIN reasons r ON r.file_no = e.f),
+            w AS (SELECT d, max(v) AS top FROM j WHERE reason IS NULL GROUP BY d)
+            SELECT count(*) AS events, count(*) FILTER (WHERE reason IS NULL AND j.v < w.top) AS superseded,
+                   count(*) FILTER (WHERE reason IS NOT NULL) AS failed,
+                   count(*) FILTER (WHERE reason IS NULL AND j.v = w.top) AS notified, CAST(0 AS BIGINT) AS odd_events
+            FROM j LEFT JOIN w ON w.d = j.d""",
+        "written_quarantine": f"WITH {BAD_ROWS} SELECT dataset_id, row_index - 1 AS row_index, code AS reason_code, failures FROM rejected",
+        "written_sidecars": f"""WITH {BAD_ROWS} SELECT dataset_id, 'row' AS scope,
+            CASE WHEN min(list_min(codes)) = max(list_max(codes)) THEN min(list_min(codes)) ELSE 'SCHEMA_VALIDATION_FAILED' END AS reason_code,
+            count(*) AS record_count, CAST(1 AS BIGINT) AS version, min(row_index) - 1 AS first_row, arg_min(code, row_index) AS first_code
+            FROM rejected GROUP BY dataset_id
+            UNION ALL SELECT dataset_id, 'file', CASE reason WHEN 'EmptyDataset' THEN 'EMPTY_DATASET'
+                WHEN 'UnsupportedEncoding' THEN 'UNSUPPORTED_ENCODING' ELSE 'UNMAPPED_SCHEMA' END, NULL, 1, NULL, NULL
+            FROM reasons WHERE reason IN ('EmptyDataset', 'UnsupportedEncoding', 'UnknownSchema')""",
         "older_version_survives": f"""WITH {FILE_ROWS} SELECT dataset_id, (reason IS NULL)::BIGINT AS completed,
             2 - (reason IS NULL)::BIGINT AS failed, CASE WHEN reason IS NULL THEN n ELSE 0 END AS silver_rows FROM reasons""",
         "ingest_pass_through": f"""WITH {FILE_ROWS} SELECT f.sid AS site_id, CAST(f.ts AS TIMESTAMP) AS timestamp,

@@ -9,10 +9,12 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timezone
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sunledger.functions import scalars as S
@@ -30,11 +32,11 @@ from sunledger.operators.transform import conform
 from sunledger.plans import inputs as I
 from sunledger.plans.ingest import IngestConfig, run_batch
 from sunledger.session import materialise, prepare, work_dir
-from sunledger.sinks import outgoing, quarantine, silver
+from sunledger.sinks import folders, outgoing, quarantine, silver
 from sunledger.sources import csv as C
 from sunledger.sources import events as Ev
 from sunledger.sources import files as Fs
-from sunledger.sources.mappings import parse_mappings
+from sunledger.sources.mappings import read_registry
 from sunledger.streaming.ingest import run_stream
 
 RUN = datetime(2026, 1, 1, tzinfo=timezone.utc)
@@ -60,7 +62,7 @@ def _local_time(column: str = "timestamp") -> Column:
 @query
 def canonical_transform(spark, sf_dir):
     """Canonical rows of the datasets in which every row passes."""
-    good = Q.accepted_rows(I.checked_telemetry(spark, sf_dir, numbered=False))
+    good = Q.accepted_rows(_written_once(spark, I.checked_telemetry(spark, sf_dir, numbered=False)))
     return good.select("site_id", _local_time(), "source_dataset_id", "schema_version", "power_w")
 
 
@@ -71,6 +73,11 @@ def row_silver(spark, sf_dir):
     return good.select("site_id", _local_time(), "source_dataset_id", "schema_version", "power_w")
 
 
+def _written_once(spark, rows: DataFrame) -> DataFrame:
+    """Checked rows or failures as a table, for what is made from them more than once."""
+    return materialise(rows, work_dir(spark, "checked"))
+
+
 def _failures(spark, sf_dir) -> DataFrame:
     return Q.explode_failures(I.checked_telemetry(spark, sf_dir), "dataset_id")
 
@@ -93,7 +100,7 @@ def first10_failures(spark, sf_dir):
 @query
 def failure_payloads(spark, sf_dir):
     """The dead-letter payload of every failed dataset."""
-    report = Q.failure_report(_failures(spark, sf_dir))
+    report = Q.failure_report(_written_once(spark, _failures(spark, sf_dir)))
     body = F.struct(F.lit("ValidationFailed").alias("error_type"), "dataset_id", "fail_count", "failures")
     return report.select("dataset_id", F.to_json(body).alias("payload"))
 
@@ -124,12 +131,12 @@ def quarantine_records(spark, sf_dir):
         F.lit("v2").alias("schema_version"),
         F.lit("unknown").alias("mapping_version"),
         content_id(F.col("dataset_id")).alias("correlation_id"),
-        F.lit("00-99df39bf690948f8b6820dca9ca43c09-c2163a2631c349d5-01").alias("traceparent"),
+        F.lit(I.TRACE).alias("traceparent"),
         F.concat(F.lit("https://storage.example.org/bronze/"), "dataset_id").alias("storage_path"),
         F.lit(1).cast("bigint").alias("version"),
     )
     path = F.concat(F.lit("https://storage.example.org/quarantine/"), F.col("dataset_id"))
-    records = quarantine.row_sidecars(_failures(spark, sf_dir), described, F.lit(I.RUN_TIME).cast("timestamp"), path)
+    records = quarantine.row_sidecars(_written_once(spark, _failures(spark, sf_dir)), described, F.lit(I.RUN_TIME).cast("timestamp"), path)
 
     def member(name: str) -> Column:
         return F.get_json_object("body", f"$.{name}")
@@ -391,15 +398,11 @@ def event_projection(spark, sf_dir):
 
 @query
 def correlation_fallback(spark, sf_dir):
-    """An event without correlation id gets one derived from its content."""
-    wanted = F.when(F.col("event_id") % 4 == 0, "").when(F.col("event_id") % 4 == 1, "  ").otherwise(
-        F.concat(F.lit("c-"), F.col("event_id"))
-    )
-    rows = I.table(spark, sf_dir, "events").select("event_id", "props", wanted.alias("wanted"))
-    body = F.concat(F.col("event_id").cast("string"), F.col("props"))
-    return rows.select(
-        "event_id", F.coalesce(F.nullif(F.trim("wanted"), F.lit("")), content_id(body)).alias("correlation_id")
-    )
+    """Events of which half have a blank correlation id: those get one derived from the message."""
+    blank = F.when(F.col("source_id") % 4 == 0, '"correlation_id":""').when(F.col("source_id") % 4 == 1, '"correlation_id":"  "')
+    sent = I.raw_events(spark, sf_dir)
+    changed = sent.withColumn("raw", F.coalesce(F.regexp_replace("raw", F.lit('"correlation_id":"[^"]*"'), blank), F.col("raw")))
+    return E.check_events(changed).select("source_id", "correlation_id")
 
 
 @query
@@ -472,7 +475,7 @@ def _written(spark, sf_dir) -> DataFrame:
         F.lit("v2").alias("schema_version"),
         content_id(F.col("dataset_id")).alias("correlation_id"),
         F.lit("PVDAQ").alias("source_vendor"),
-        F.lit("00-99df39bf690948f8b6820dca9ca43c09-c2163a2631c349d5-01").alias("traceparent"),
+        F.lit(I.TRACE).alias("traceparent"),
         F.col("dataset_id").alias("event_key"),
     )
 
@@ -674,38 +677,67 @@ FILE_MAPPING = {
 }
 
 
-def ingest_inputs(spark, events: DataFrame, width: int = I.FILE_ROWS, change=_same) -> str:
-    """Vendor files and one event per file below a new folder."""
+def _awkward(lines: DataFrame) -> DataFrame:
+    """Of every sixteen files one has a header only, and one has a record with thousands of fields."""
+    kind = F.col("file_no") % 16
+    lines = lines.filter((kind != 8) | (F.col("place") < 0))
+    counted = lines.withColumn("second", F.min(F.when(F.col("place") >= 0, F.col("place"))).over(W.partitionBy("file_no")))
+    wide = (kind == 3) & (F.col("place") == F.col("second"))
+    return counted.withColumn("value", F.when(wide, F.concat("value", F.lit(",more" * 21_000))).otherwise(F.col("value"))).drop("second")
+
+
+def vendor_inputs(spark, events: DataFrame, width: int = I.FILE_ROWS, change=_same) -> tuple[str, DataFrame]:
+    """A new folder with vendor files and a registry, and ``file_no`` and ``blob`` of every file.
+
+    Of every sixteen files one has a name that begins with an underscore, and one is announced as an empty file.
+    """
     root = work_dir(spark, "ingest")
-    listed = _vendor_files(spark, events, f"{root}/bronze-root/bronze", width, change)
+    bronze = f"{root}/bronze-root/bronze"
+    listed = _vendor_files(spark, events, bronze, width, lambda lines: _awkward(change(lines)))
+    path = Fs.relative_path(F.col("file_path"), bronze)
+    hidden, hollow = F.col("file_no") % 16 == 11, F.col("file_no") % 16 == 13
+    blob = (
+        F.when(hidden, F.regexp_replace(path, "/([^/]*)$", "/_$1"))
+        .when(hollow, F.concat(F.lit("empty/"), F.col("file_no").cast("string"), F.lit(".csv")))
+        .otherwise(path)
+    )
+    named = materialise(listed.select("file_no", path.alias("path"), blob.alias("blob")), f"{root}/listed")
+    odd = named.filter("path <> blob").collect()
+    folders.at_once(lambda r: folders.move(spark, f"{bronze}/{r.path}", f"{bronze}/{r.blob}"), [r for r in odd if r.file_no % 16 == 11])
+    folders.at_once(lambda r: folders.write_text(spark, f"{bronze}/{r.blob}", ""), [r for r in odd if r.file_no % 16 == 13])
+    folders.write_text(spark, f"{root}/registry/PVDAQ-v1.json", json.dumps(FILE_MAPPING))
+    return root, named.select("file_no", "blob")
+
+
+def event_texts(files: DataFrame, version: int = 1) -> DataFrame:
+    """One announcement for each row of ``files`` (file_no, blob): dataset ``file_no + 1`` as a version."""
     kind = F.col("file_no") % 8
-    blob = Fs.relative_path(F.col("file_path"), f"{root}/bronze-root/bronze")
-    number = F.lpad(F.col("file_no").cast("string"), 12, "0")
+    number = F.concat(F.lit(f"{version:04d}"), F.lpad(F.col("file_no").cast("string"), 8, "0"))
     uri = F.concat(
-        F.lit("http://127.0.0.1:10000/devstoreaccount1/bronze/"), blob, F.when(kind == 4, ".gone").otherwise("")
+        F.lit("http://127.0.0.1:10000/devstoreaccount1/bronze/"), F.col("blob"), F.when(kind == 4, ".gone").otherwise("")
     )
     text = F.to_json(
         F.struct(
-            F.lit("1.0").alias("specversion"),
-            F.concat(F.lit("solar.pvdaq.dataset.available"), F.when(kind == 7, "").otherwise(".v1")).alias("type"),
-            F.lit("/energy-ingestion-boundary/pvdaq").alias("source"),
+            F.lit(E.SPEC_VERSION).alias("specversion"),
+            F.when(kind == 7, E.EXPECTED_TYPE.removesuffix(".v1")).otherwise(E.EXPECTED_TYPE).alias("type"),
+            F.lit(E.PRODUCER).alias("source"),
             F.concat(F.lit("00000000-0000-4000-8000-"), number).alias("id"),
             F.lit("2026-01-01T00:00:00Z").alias("time"),
-            F.lit("application/json").alias("datacontenttype"),
+            F.lit(E.CONTENT_TYPE).alias("datacontenttype"),
             F.lit(E.DEFAULT_DATASCHEMA).alias("dataschema"),
             F.lit("research").alias("tenant_id"),
-            F.lit("PVDAQ").alias("source_vendor"),
+            F.lit(E.VENDOR).alias("source_vendor"),
             F.when(kind == 2, "v9").otherwise("v1").alias("schema_version"),
             F.lit("unknown").alias("mapping_version"),
             F.concat(F.lit("10000000-0000-4000-8000-"), number).alias("correlation_id"),
             F.lit("2026-01-01T00:00:00Z").alias("ingestion_timestamp"),
-            F.lit("00-99df39bf690948f8b6820dca9ca43c09-c2163a2631c349d5-01").alias("traceparent"),
+            F.lit(I.TRACE).alias("traceparent"),
             F.struct(
                 (F.col("file_no") + 1).alias("site_id"),
                 F.lit("telemetry").alias("category"),
-                F.lit("csv").alias("file_format"),
+                F.lit(E.FILE_FORMAT).alias("file_format"),
                 uri.alias("storage_path"),
-                F.lit(1).alias("version"),
+                F.lit(version).alias("version"),
                 F.concat(F.lit("20000000-0000-4000-8000-"), number).alias("ingestion_id"),
                 F.lit("https://example.org/source.csv").alias("source_url"),
                 F.lit(1).alias("file_size"),
@@ -713,12 +745,26 @@ def ingest_inputs(spark, events: DataFrame, width: int = I.FILE_ROWS, change=_sa
             ).alias("data"),
         )
     )
-    listed.select(text.alias("value")).write.text(f"{root}/events")
+    return files.select(text.alias("value"))
+
+
+def ingest_inputs(spark, events: DataFrame, width: int = I.FILE_ROWS, change=_same) -> str:
+    """Vendor files, a registry and one event per file below a new folder."""
+    root, files = vendor_inputs(spark, events, width, change)
+    event_texts(files).write.text(f"{root}/events")
     return root
 
 
-def file_registry(session: SparkSession) -> DataFrame:
-    return parse_mappings(session.createDataFrame([("PVDAQ-v1", json.dumps(FILE_MAPPING))], "registry_key string, body string"))
+def _eighth_next(files: DataFrame) -> DataFrame:
+    """Every file number with the file eight further on, which is of the same kind; the last eight have none."""
+    later = files.select((F.col("file_no") - 8).alias("file_no"), "blob")
+    return files.select("file_no").join(later, "file_no")
+
+
+def run_files(spark, root: str, events: str = "events", **changes) -> DataFrame:
+    """The batch job over the inputs below ``root``; returns its ledger."""
+    sent, registry = Ev.read_events(spark, f"{root}/{events}"), read_registry(spark, f"{root}/registry")
+    return run_batch(spark, sent, registry, replace(ingest_config(root), **changes))
 
 
 def ingest_config(root: str) -> IngestConfig:
@@ -736,14 +782,14 @@ def _outcomes(ledger: DataFrame) -> DataFrame:
 def ingest_outcomes(spark, sf_dir):
     """The batch job over vendor files, events and a registry: one outcome per event."""
     root = ingest_inputs(spark, I.table(spark, sf_dir, "events"))
-    return _outcomes(run_batch(spark, Ev.read_events(spark, f"{root}/events"), file_registry(spark), ingest_config(root)))
+    return _outcomes(run_files(spark, root))
 
 
 @query
 def ingest_silver(spark, sf_dir):
     """The silver rows the batch job writes, read back."""
     root = ingest_inputs(spark, I.table(spark, sf_dir, "events"))
-    run_batch(spark, Ev.read_events(spark, f"{root}/events"), file_registry(spark), ingest_config(root))
+    run_files(spark, root)
     rows = silver.read_silver(spark, silver.silver_root(f"{root}/silver", "PVDAQ-v1"))
     return rows.select("site_id", _local_time(), "source_dataset_id", "schema_version", "power_w", "note", "ingestion_date")
 
@@ -757,7 +803,7 @@ def older_version_survives(spark, sf_dir):
     newer = F.replace(newer, F.lit('"id":"00000000-0000-4000-8'), F.lit('"id":"00000000-0000-4000-9'))
     newer = F.regexp_replace(newer, '"storage_path":"([^"]*)"', '"storage_path":"$1.none"')
     materialise(sent, f"{root}/first").select(newer.alias("value")).write.mode("append").text(f"{root}/events")
-    ledger = run_batch(spark, Ev.read_events(spark, f"{root}/events"), file_registry(spark), ingest_config(root))
+    ledger = run_files(spark, root)
     done = ledger.groupBy("dataset_id").agg(
         F.count_if(F.col("status") == "Completed").alias("completed"), F.count_if(F.col("status") == "Failed").alias("failed")
     )
@@ -780,21 +826,21 @@ def _vendor_names(lines: DataFrame) -> DataFrame:
 def ingest_pass_through(spark, sf_dir):
     """The batch job over vendor files with awkward column names, read back."""
     root = ingest_inputs(spark, I.table(spark, sf_dir, "events"), change=_vendor_names)
-    run_batch(spark, Ev.read_events(spark, f"{root}/events"), file_registry(spark), ingest_config(root))
+    run_files(spark, root)
     rows = silver.read_silver(spark, silver.silver_root(f"{root}/silver", "PVDAQ-v1"))
     return rows.select(
         "site_id", _local_time(), "source_dataset_id", "power_w", F.col("`dc_1.1_(kw)`").alias("dc"), "vendor_file_path"
     )
 
 
-@query
-def streaming_equals_batch(spark, sf_dir):
-    """The same events as a stream, some files per micro-batch; the outcomes of all batches."""
-    root = ingest_inputs(spark, I.table(spark, sf_dir, "events"))
+def _streamed(spark, root: str, parts: list[DataFrame]) -> None:
+    """The job on a stream: every part is one file of messages and one micro-batch, in this order."""
+    for part in parts:
+        part.coalesce(1).write.mode("append").text(f"{root}/sent")
     stream = run_stream(
         spark,
-        Ev.stream_events(spark, f"{root}/events"),
-        file_registry,
+        Ev.stream_events(spark, f"{root}/sent", max_files_per_trigger=1),
+        lambda session: read_registry(session, f"{root}/registry"),
         ingest_config(root),
         os.path.join(root, "checkpoint"),
         available_now=True,
@@ -802,4 +848,114 @@ def streaming_equals_batch(spark, sf_dir):
         pinned_time=RUN,
     )
     stream.awaitTermination()
+
+
+@query
+def streaming_equals_batch(spark, sf_dir):
+    """The same events as a stream of three micro-batches, one with copies of earlier messages; the outcomes of all batches."""
+    root = ingest_inputs(spark, I.table(spark, sf_dir, "events"))
+    sent = spark.read.text(f"{root}/events")
+    third = F.pmod(F.xxhash64("value"), F.lit(3))
+    parts = [sent.filter(third == n) for n in range(3)]
+    _streamed(spark, root, [parts[0], parts[1], parts[2].unionByName(parts[0])])
     return _outcomes(spark.read.parquet(f"{root}/out/ledger"))
+
+
+def _silver_rows(spark, root: str) -> DataFrame:
+    rows = silver.read_silver(spark, silver.silver_root(f"{root}/silver", "PVDAQ-v1"))
+    return rows.select("site_id", _local_time(), "source_dataset_id", "schema_version", "power_w", "note", "ingestion_date")
+
+
+def _two_versions(spark, sf_dir) -> tuple[str, DataFrame, DataFrame]:
+    """Version 1 of every dataset is the file eight further on, version 2 the own file."""
+    root, files = vendor_inputs(spark, I.table(spark, sf_dir, "events"))
+    return root, event_texts(_eighth_next(files), 1), event_texts(files, 2)
+
+
+@query
+def late_older_version(spark, sf_dir):
+    """Newer versions first, older ones in later micro-batches: silver keeps the newest version that passes."""
+    root, older, newer = _two_versions(spark, sf_dir)
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    _streamed(spark, root, [newer.filter(half == 0), newer.filter(half == 1).unionByName(older.filter(half == 0)), older.filter(half == 1)])
+    return _silver_rows(spark, root)
+
+
+@query
+def versions_in_one_batch(spark, sf_dir):
+    """All versions at once: the newest one that passes is written."""
+    root, older, newer = _two_versions(spark, sf_dir)
+    older.unionByName(newer).write.text(f"{root}/events")
+    run_files(spark, root)
+    return _silver_rows(spark, root)
+
+
+@query
+def batch_replace(spark, sf_dir):
+    """A second run, itself repeated, replaces what a first one wrote where the newer version passes."""
+    root, files = vendor_inputs(spark, I.table(spark, sf_dir, "events"))
+    event_texts(files, 1).write.text(f"{root}/events")
+    event_texts(_eighth_next(files), 2).write.text(f"{root}/newer")
+    run_files(spark, root)
+    for _ in range(2):
+        run_files(spark, root, "newer", run_id="second")
+    return _silver_rows(spark, root)
+
+
+@query
+def written_dead_letters(spark, sf_dir):
+    """The dead letters the batch job writes, with the failures they list."""
+    root = ingest_inputs(spark, I.table(spark, sf_dir, "events"))
+    run_files(spark, root)
+    letters = spark.read.parquet(f"{root}/out/dead_letter")
+    member = lambda name: F.get_json_object("payload", f"$.{name}")
+    return letters.select(
+        "dataset_id", "reason", member("error_type").alias("error_type"), member("fail_count").cast("bigint").alias("fail_count"),
+        member("failures[0].row").cast("bigint").alias("first_row"), F.col("delivery").cast("bigint").alias("delivery"),
+    )
+
+
+@query
+def written_summary(spark, sf_dir):
+    """The validation summary the batch job writes for every file it has read, by rule; a file without failures has none."""
+    root = ingest_inputs(spark, I.table(spark, sf_dir, "events"))
+    run_files(spark, root)
+    report = spark.read.parquet(f"{root}/out/validation_summary").filter("status = 'Completed' or size(reasons) > 0")
+    each = report.select("dataset_id", "row_count", F.explode_outer("reasons").alias("r"))
+    return each.select("dataset_id", "row_count", "r.rule", "r.failures", "r.failed_rows")
+
+
+@query
+def run_reconciliation(spark, sf_dir):
+    """Outcomes of the events of a run of two versions: one each, and none that reconciliation finds odd."""
+    root, older, newer = _two_versions(spark, sf_dir)
+    older.unionByName(newer).write.text(f"{root}/events")
+    ledger = run_files(spark, root)
+    names = ("events", "superseded", "failed", "notified", "odd_events")
+    marks = lambda frame, **one: frame.select(*[F.coalesce(one.get(n, F.lit(0)).cast("bigint"), F.lit(0)).alias(n) for n in names])
+    each = marks(ledger, events=F.lit(1), superseded=F.col("superseded"), failed=F.col("status") == "Failed")
+    each = each.unionByName(marks(spark.read.parquet(f"{root}/out/notifications"), notified=F.lit(1)))
+    each = each.unionByName(marks(spark.read.parquet(f"{root}/out/reconciliation"), odd_events=F.lit(1)))
+    return each.agg(*[F.sum(n).alias(n) for n in names])
+
+
+@query
+def written_quarantine(spark, sf_dir):
+    """Rows that the job rejects in row mode, read back."""
+    root = ingest_inputs(spark, I.table(spark, sf_dir, "events"))
+    run_files(spark, root, mode="row")
+    rows = spark.read.parquet(f"{root}/out/quarantine_rows")
+    return rows.select(F.col("dataset_id").cast("string").alias("dataset_id"), "row_index", "reason_code", F.size("failures").alias("failures"))
+
+
+@query
+def written_sidecars(spark, sf_dir):
+    """Reason records of rows and of whole files that the job writes in row mode."""
+    root = ingest_inputs(spark, I.table(spark, sf_dir, "events"))
+    run_files(spark, root, mode="row")
+    member = lambda name: F.get_json_object("body", f"$.{name}")
+    return spark.read.parquet(f"{root}/out/quarantine_records").select(
+        "dataset_id", member("scope").alias("scope"), member("reason_code").alias("reason_code"),
+        member("record_count").cast("bigint").alias("record_count"), member("source.version").cast("bigint").alias("version"),
+        member("rows[0].row_index").cast("bigint").alias("first_row"), member("rows[0].reason_code").alias("first_code"),
+    )

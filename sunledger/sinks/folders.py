@@ -54,3 +54,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def partition_folder(spark: SparkSession, column: str, value: str) -> str:
     """The folder name that Spark's writers give a partition value."""
     return f"{column}={spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)}"
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file with exactly this name and content; it replaces an older one."""
+    system, where = at(spark, path)
+    out = system.create(where, True)
+    out.write(bytearray(text.encode()))
+    out.close()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -73,7 +75,8 @@ def locate(spark: SparkSession, root: str, wanted: DataFrame, scratch: str) -> D
             copied, to = Fo.at(spark, f"{scratch}/{number}.csv")
             spark._jvm.org.apache.hadoop.fs.FileUtil.copy(system, path, copied, to, False, True, conf)
             path = copied.getFileStatus(to).getPath()
-        return relative, path.toUri().toString(), size
+        # Spark writes local paths with an empty host.
+        return relative, re.sub("^file:/(?!/)", "file:///", path.toUri().toString()), size
 
     found = spark.createDataFrame([], LOCATED)
     held: list[tuple[int, str]] = []
