@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -46,7 +44,7 @@ def list_files(spark: SparkSession, root: str, folders: DataFrame | None = None)
     return listed if folders is None else listed.dropDuplicates(["file_path"])
 
 
-LOCATED = "relative_path string, file_path string, length bigint"
+LOCATED = "relative_path string, number bigint, length bigint"
 # Paths that are asked for at a time.
 ASKED = 10_000
 
@@ -70,13 +68,10 @@ def locate(spark: SparkSession, root: str, wanted: DataFrame, scratch: str) -> D
         status = system.getFileStatus(where)
         if status.isDirectory():
             return None
-        path, size = status.getPath(), status.getLen()
-        if size and path.getName()[0] in "_.":
+        if status.getLen():
             copied, to = Fo.at(spark, f"{scratch}/{number}.csv")
-            spark._jvm.org.apache.hadoop.fs.FileUtil.copy(system, path, copied, to, False, True, conf)
-            path = copied.getFileStatus(to).getPath()
-        # Spark writes local paths with an empty host.
-        return relative, re.sub("^file:/(?!/)", "file:///", path.toUri().toString()), size
+            spark._jvm.org.apache.hadoop.fs.FileUtil.copy(system, status.getPath(), copied, to, False, True, conf)
+        return relative, number, status.getLen()
 
     found = spark.createDataFrame([], LOCATED)
     held: list[tuple[int, str]] = []
@@ -84,7 +79,10 @@ def locate(spark: SparkSession, root: str, wanted: DataFrame, scratch: str) -> D
         held.append((number, row.relative_path))
         if len(held) == ASKED:
             found, held = found.unionByName(_asked(spark, ask, held)), []
-    return found.unionByName(_asked(spark, ask, held)) if held else found
+    found = found.unionByName(_asked(spark, ask, held)) if held else found
+    copies = list_files(spark, scratch).select("file_path", F.regexp_extract("file_path", "([0-9]+)[.]csv$", 1).cast("bigint").alias("number"))
+    unread = F.coalesce("file_path", F.concat(F.lit("empty:"), F.col("relative_path"))).alias("file_path")
+    return found.join(copies, "number", "left").select("relative_path", unread, "length")
 
 
 def _asked(spark: SparkSession, ask, items: list[tuple[int, str]]) -> DataFrame:
