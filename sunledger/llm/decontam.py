@@ -27,7 +27,9 @@ litres liter liters gallon gallons s sec min h hr hrs second seconds minute minu
 months year years percent dollar dollars euro euros cent cents usd eur gbp degree degrees watt watts volt volts kb mb gb
 """.split()
 
-# Fixed: words that are no names though they open sentences; those that the benchmark mostly writes small are added.
+# Literal words that a window needs to be looked up; windows of placeholders alone are everywhere in tables of numbers.
+LITERAL_WORDS = 2
+# Fixed: words that are no names though they open sentences. The list alone decides, never other items or documents.
 COMMON = """
 a about after all also an and another any are as at be because before both but by can could did do does during each
 either every few find first for from had has have he her here his how however i if in into is it its last later let many
@@ -89,22 +91,20 @@ class Template:
         kind = np.select([self.number, name, unit], [1, 2, 3], 0)
         return kind, np.choose(kind, [self.value, NUMBER, NAME, UNIT])
 
-    def common(self) -> np.ndarray:
-        """The words that are no names: fixed ones, units, and those written small as often as with a capital or more."""
-        value, at = np.unique(self.value[~self.number], return_inverse=True)
-        capital = np.bincount(at, self.upper[~self.number], len(value))
-        small = value[2 * capital <= np.bincount(at, minlength=len(value))]
-        return np.unique(np.concatenate([small, _COMMON_HASHES, _UNIT_HASHES]))
-
-    def views(self, common: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    def views(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """(kind, word) of each reading: names inside sentences, names anywhere, and the plain words without slots."""
-        at = np.minimum(np.searchsorted(common, self.value), len(common) - 1)
-        named = self._slots(self.upper & (common[at] != self.value))
+        named = self._slots(self.upper & ~np.isin(self.value, _NO_NAMES))
         return [(self.kind, self.word), named, (np.zeros(len(self.value), np.int64), self.value)]
 
 
+def _literal(kind: np.ndarray, start: np.ndarray, window: int) -> np.ndarray:
+    """Which windows have enough words that are no placeholders."""
+    plain = np.concatenate([[0], np.cumsum(kind == 0)])
+    return plain[start + window] - plain[start] >= min(LITERAL_WORDS, window)
+
+
 _UNIT_HASHES = np.sort(np.array([_hash_of(u) for u in UNITS], np.uint64))
-_COMMON_HASHES = np.sort(np.array([_hash_of(u) for u in COMMON], np.uint64))
+_NO_NAMES = np.sort(np.array([_hash_of(u) for u in [*COMMON, *UNITS]], np.uint64))
 
 
 def slots_agree(pairs: list[tuple[int, int, int]], least: float) -> bool:
@@ -125,84 +125,135 @@ def slots_agree(pairs: list[tuple[int, int, int]], least: float) -> bool:
     return sum(n for _, n in there.values()) >= least * len(pairs)
 
 
+class _Reading:
+    """One reading of the items of a block: their windows by hash, and those too bare to look up."""
+
+    def __init__(self, kind: np.ndarray, word: np.ndarray, first: np.ndarray, window: int) -> None:
+        self.kind, self.word, self.first = kind, word, first
+        start = window_starts(first, window)
+        row = np.searchsorted(first, start, "right") - 1
+        literal = _literal(kind, start, window)
+        hashes = span_hashes(word, start, start + window, WORD_BASE)
+        # A window that an item repeats counts once, at its first place.
+        at, item, value = start[literal], row[literal], hashes[literal]
+        order = np.lexsort((at, value, item))
+        new = np.ones(len(order), bool)
+        new[1:] = (item[order][1:] != item[order][:-1]) | (value[order][1:] != value[order][:-1])
+        keep = order[new]
+        keep = keep[np.argsort(value[keep], kind="stable")]
+        self.hashes, self.starts, self.rows = value[keep], at[keep], item[keep]
+        items = len(first) - 1
+        self.bare = [start[~literal & (row == i)] for i in range(items)] if (~literal).any() else [start[:0]] * items
+        self.sizes = np.bincount(self.rows, minlength=items) + np.array([len(b) for b in self.bare], np.int64)
+        self.known = np.zeros(1 << 20, bool)
+        self.known[(self.hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+
+    def hits(self, kind: np.ndarray, word: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+        """(row, item, word of the text, word of the item) of every window that a text shares with an item, in order."""
+        begin = window_starts(first, window)
+        begin = begin[_literal(kind, begin, window)]
+        found = span_hashes(word, begin, begin + window, WORD_BASE)
+        maybe = self.known[(found & np.uint64((1 << 20) - 1)).astype(np.int64)]
+        at, found = begin[maybe], found[maybe]
+        lo, hi = np.searchsorted(self.hashes, found, "left"), np.searchsorted(self.hashes, found, "right")
+        many = hi - lo
+        hit = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        at = np.repeat(at, many)
+        doc, item, q = np.searchsorted(first, at, "right") - 1, self.rows[hit], self.starts[hit]
+        order = np.lexsort((at, item, doc))
+        return doc[order], item[order], at[order], q[order]
+
+
+def _found(items: list[tuple[int, str]], window: int, least: float):
+    """A function that lists (row, item number, similarity) of the items of one block in the texts of a column."""
+    bench = Template(pa.array([t for _, t in items], pa.string()))
+    readings = [_Reading(kind, word, bench.first, window) for kind, word in bench.views()]
+
+    def search(column: pa.Array) -> list[tuple[int, int, float]]:
+        text, out = Template(column), []
+        for reading, (kind, word) in zip(readings, text.views()):
+            doc, item, at, q = reading.hits(kind, word, text.first, window)
+            if not len(at):
+                continue
+            new = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
+            edges = np.flatnonzero(np.concatenate([[True], new, [True]]))
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                i, d = int(item[a]), int(doc[a])
+                if b - a + len(reading.bare[i]) < least * reading.sizes[i]:
+                    continue
+                best = _best(at[a:b], q[a:b], reading, i, window, bench.value, text, word, d, least)
+                if best >= least:
+                    out.append((d, i, best))
+        return out
+
+    return search
+
+
 def _matches(items: list[tuple[int, str]], window: int, least: float):
     """Finds the items of one block in documents."""
 
-    def index():
-        text = Template(pa.array([t for _, t in items], pa.string()))
-        start = window_starts(text.first, window)
-        row = np.searchsorted(text.first, start, "right") - 1
-        common, tables = text.common(), []
-        for kind, word in text.views(common):
-            hashes = span_hashes(word, start, start + window, WORD_BASE)
-            order = np.argsort(hashes, kind="stable")
-            known = np.zeros(1 << 20, bool)
-            known[(hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-            tables.append((kind, hashes[order], start[order], row[order], known))
-        return text.value, common, np.bincount(row, minlength=len(items)), tables
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        value, common, sizes, tables = index()
+        search = _found(items, window, least)
         for piece in pieces(batches):
-            text = Template(piece.column("text"))
-            begin = window_starts(text.first, window)
-            out = []
-            for (kinds, hashes, starts, rows, known), (_, word) in zip(tables, text.views(common)):
-                found = span_hashes(word, begin, begin + window, WORD_BASE)
-                maybe = known[(found & np.uint64((1 << 20) - 1)).astype(np.int64)]
-                at, found = begin[maybe], found[maybe]
-                lo, hi = np.searchsorted(hashes, found, "left"), np.searchsorted(hashes, found, "right")
-                many = hi - lo
-                hit = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                at = np.repeat(at, many)
-                doc, item, q = np.searchsorted(text.first, at, "right") - 1, rows[hit], starts[hit]
-                order = np.lexsort((at, item, doc))
-                doc, item, at, q = doc[order], item[order], at[order], q[order]
-                if not len(at):
-                    continue
-                new = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
-                edges = np.flatnonzero(np.concatenate([[True], new, [True]]))
-                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                    if b - a < least * sizes[item[a]]:
-                        continue
-                    best = _best(at[a:b], q[a:b], int(sizes[item[a]]), window, kinds, value, text.value, least)
-                    if best >= least:
-                        out.append((int(doc[a]), items[item[a]][0], best))
+            out = search(piece.column("text"))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [piece.column("doc_id").take(pa.array([d for d, _, _ in out]))]
-                    + [pa.array([i for _, i, _ in out], pa.int64()), pa.array([s for _, _, s in out], pa.float64())],
+                    + [pa.array([items[i][0] for _, i, _ in out], pa.int64()), pa.array([s for _, _, s in out], pa.float64())],
                     ["doc_id", "item_id", "similarity"],
                 )
 
     return run
 
 
+def _without(items: list[tuple[int, str]], window: int, least: float):
+    """Passes on the rows whose text holds no item of one block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = _found(items, window, least)
+        for piece in pieces(batches):
+            keep = np.ones(piece.num_rows, bool)
+            keep[[d for d, _, _ in search(piece.column("text"))]] = False
+            yield piece.filter(pa.array(keep))
+
+    return run
+
+
 def _best(
-    at: np.ndarray, q: np.ndarray, size: int, window: int, kinds: np.ndarray, bench: np.ndarray, text: np.ndarray, least: float
-) -> float:
-    """The largest share of an item's windows that lie within a stretch of its length (and a quarter more), slots agreeing."""
+    at: np.ndarray, q: np.ndarray, reading: _Reading, item: int, window: int,
+    bench: np.ndarray, text: Template, word: np.ndarray, doc: int, least: float,
+) -> float:
+    """The largest share of an item's windows that lie within a stretch of its length (and a quarter more), slots agreeing.
+
+    Windows too bare to look up count where they stand on the stretch's diagonal.
+    """
+    size, bare, kinds = int(reading.sizes[item]), reading.bare[item], reading.kind
+    lo, hi = int(text.first[doc]), int(text.first[doc + 1])
     reach, best, b = size + size // 4, 0.0, 0
     seen: Counter = Counter()
     for a in range(len(at)):
         while b < len(at) and at[b] < at[a] + reach:
             seen[int(q[b])] += 1
             b += 1
-        share = len(seen) / size
-        if share >= least and share > best:
+        if len(seen) + len(bare) >= least * size and len(seen) + len(bare) > best * size:
             # One place of the document for each window of the item: the one nearest to the stretch's diagonal.
             shift = int(np.median(at[a:b] - q[a:b]))
             near = sorted(range(a, b), key=lambda k: abs(int(at[k] - q[k]) - shift))
             place: dict[int, int] = {}
             for k in near:
                 place.setdefault(int(q[k]), int(at[k]))
+            fits = bare[(bare + shift >= lo) & (bare + shift + window <= hi)]
+            for start in fits.tolist():
+                if (reading.word[start : start + window] == word[start + shift : start + shift + window]).all():
+                    place[start] = start + shift
+            share = len(place) / size
             pairs = {
-                (int(kinds[i + d]), int(bench[i + d]), int(text[p + d]), i + d)
+                (int(kinds[i + d]), int(bench[i + d]), int(text.value[p + d]), i + d)
                 for i, p in place.items()
                 for d in range(window)
                 if kinds[i + d]
             }
-            if slots_agree([x[:3] for x in pairs], least):
+            if share >= least and share > best and slots_agree([x[:3] for x in pairs], least):
                 best = share
                 if best == 1.0:
                     return best
@@ -213,6 +264,34 @@ def _best(
     return best
 
 
+def _blocks(benchmark: DataFrame, block: int) -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of about ``block`` words."""
+    items = benchmark.select(F.col("item_id").cast("bigint"), "text").filter("text is not null").orderBy("item_id", "text")
+    held: list[tuple[int, str]] = []
+    total = 0
+    for r in items.toLocalIterator():
+        held.append((r.item_id, r.text))
+        total += r.text.count(" ") + 1
+        if total >= block:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
+def without_items(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, least: float = MIN_SIMILARITY, block: int = BLOCK_WORDS
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no benchmark item; see ``contaminated``.
+
+    Each row is judged by its own text, so rows with a null or repeated id are
+    treated like all others. Null, empty and blank texts stay.
+    """
+    for items in _blocks(benchmark, block):
+        docs = docs.mapInArrow(_without(items, window, least), docs.schema)
+    return docs
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, least: float = MIN_SIMILARITY, block: int = BLOCK_WORDS
 ) -> DataFrame:
@@ -228,7 +307,9 @@ def contaminated(
 
     The benchmark is the stated query set: it is read in blocks of ``block``
     words, each block goes to the tasks in one pass over all documents, so what
-    is sent is bounded whatever its size. Null, empty and blank texts and items
+    is sent is bounded whatever its size; an item is found or not whatever else
+    is in its block. Windows of fewer than LITERAL_WORDS words besides placeholders are not looked up
+    but compared where the others place the item. Null, empty and blank texts and items
     of fewer words than a window match nothing; rows that repeat a document are
     judged each, rows that repeat an item id give its best similarity once.
     Empty tables give no rows.
@@ -237,14 +318,6 @@ def contaminated(
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     kinds = "doc_id bigint, item_id bigint, similarity double"
     found = spark.createDataFrame([], kinds)
-    items = benchmark.select(F.col("item_id").cast("bigint"), "text").filter("text is not null").orderBy("item_id", "text")
-    held: list[tuple[int, str]] = []
-    total = 0
-    for r in items.toLocalIterator():
-        held.append((r.item_id, r.text))
-        total += r.text.count(" ") + 1
-        if total >= block:
-            found, held, total = found.union(rows.mapInArrow(_matches(held, window, least), kinds)), [], 0
-    if held:
-        found = found.union(rows.mapInArrow(_matches(held, window, least), kinds))
+    for items in _blocks(benchmark, block):
+        found = found.union(rows.mapInArrow(_matches(items, window, least), kinds))
     return found.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
