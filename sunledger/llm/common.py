@@ -29,6 +29,12 @@ def cut(df: DataFrame, purpose: str) -> DataFrame:
     return materialise(df, work_dir(df.sparkSession, purpose))
 
 
+def map_rows(docs: DataFrame, function) -> DataFrame:
+    """``mapInArrow`` that keeps the columns, whatever their names; ``function`` sees ``text`` under its name."""
+    plain = docs.toDF(*[c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)])
+    return plain.mapInArrow(function, plain.schema).toDF(*docs.columns)
+
+
 def held_out(doc_id: str, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text falls into ``fold`` (null ids: false)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(False))

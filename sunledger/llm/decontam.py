@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.llm.common import (
-    IS_SEPARATOR, WORD_BASE, pieces, span_hashes, utf8, window_starts, word_hashes, words,
+    IS_SEPARATOR, WORD_BASE, map_rows, pieces, span_hashes, utf8, window_starts, word_hashes, words,
 )
 
 WINDOW_WORDS = 5
@@ -288,7 +288,7 @@ def without_items(
     treated like all others. Null, empty and blank texts stay.
     """
     for items in _blocks(benchmark, block):
-        docs = docs.mapInArrow(_without(items, window, least), docs.schema)
+        docs = map_rows(docs, _without(items, window, least))
     return docs
 
 

@@ -11,17 +11,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import held_out, pieces, utf8
+from sunledger.llm.common import held_out, map_rows, pieces, utf8
 
 HIDDEN = 8
 # Bytes that the network reads in one run; a text is a sequence of such stretches, all of them read.
 STRETCH = 128
-# Bounds of the training sample: documents of each language, stretches of a document, languages.
-SAMPLE_DOCS, SAMPLE_STRETCHES, MAX_LANGUAGES = 200, 10, 64
+# Bounds of the training sample: documents of each language, fewer if all together would be more than
+# SAMPLE_ALL but LEAST_DOCS at least, and stretches of a document. Every language is learned.
+SAMPLE_DOCS, LEAST_DOCS, SAMPLE_ALL, SAMPLE_STRETCHES = 200, 20, 12_800, 10
 EPOCHS, BATCH, RATE = 3, 128, 0.012
 UNDETERMINED = "und"
-# Below this share for its best language a text counts as being in none.
-MIN_SCORE = 0.3
+# A text is in a language if its best one has more than an equal share by this part of the rest.
+MARGIN = 1 / 15
 
 
 @dataclass
@@ -181,16 +182,16 @@ def pooled(net: Network, data: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, seed: int = 1) -> Network | None:
-    """A network from a bounded sample: for each of the MAX_LANGUAGES commonest languages SAMPLE_DOCS documents
+    """A network from a bounded sample: of every language SAMPLE_DOCS documents or fewer
     (those with the smallest id hashes) and SAMPLE_STRETCHES evenly spaced stretches of each. None without labels."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.trim("text") != ""))
-    common = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    labels = sorted(r.lang for r in common.collect())
+    labels = sorted(r.lang for r in known.select("lang").distinct().collect())
     if not labels:
         return None
+    many = max(LEAST_DOCS, min(SAMPLE_DOCS, SAMPLE_ALL // len(labels)))
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "doc_id"))
-    marked = known.filter(F.col("lang").isin(labels)).select("doc_id", "lang", F.xxhash64("doc_id").alias("turn"))
-    picked = marked.withColumn("k", turn).filter(F.col("k") <= SAMPLE_DOCS).select("doc_id", "lang").distinct()
+    marked = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("turn"))
+    picked = marked.withColumn("k", turn).filter(F.col("k") <= many).select("doc_id", "lang").distinct()
     ids = [r.doc_id for r in picked.collect()]
     rows = known.filter(F.col("doc_id").isin(ids))
     spread = F.transform(
@@ -241,15 +242,21 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, lang_pred string, score double")
 
 
-def in_some_language(docs: DataFrame, net: Network | None, least: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a language: not ``und``, and a score of ``least`` or more."""
+def least_score(labels: int, margin: float = MARGIN) -> float:
+    """The score from which a text counts as being in a language: above chance, whatever the number of labels."""
+    return 1 / labels + margin * (1 - 1 / labels) - 1e-6
+
+
+def in_some_language(docs: DataFrame, net: Network | None, margin: float = MARGIN) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language: not ``und``, and a score of ``least_score`` or more."""
+    least = least_score(len(net.labels), margin) if net else 1.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             names, score = _labelled(net, piece.column("text"))
             yield piece.filter(pc.and_(pc.not_equal(names, UNDETERMINED), pa.array(score >= least)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run)
 
 
 def languages(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:

@@ -174,13 +174,18 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int =
 def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs``, all columns, of the document with the smallest id of each group; one row for each id.
 
-    Rows without an id stay, as no group can name them.
+    Rows without an id stay, as no group can name them. Of different rows with
+    one id that which has the smallest hash over all columns is taken, so reruns
+    agree.
     """
     groups = cut(simhash_groups(docs, shingle, radius), "groups")
     key = F.col("doc_id").cast("bigint")
     stays = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("__stays"))
     if not groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        named = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
+        marked = docs.filter("doc_id is not null").withColumn("__mark", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+        least = marked.groupBy(F.col("doc_id").alias("__id")).agg(F.min("__mark").alias("__least"))
+        named = marked.join(least, (F.col("doc_id") == F.col("__id")) & (F.col("__mark") == F.col("__least")))
+        named = named.dropDuplicates(["doc_id"]).select(*[F.col(f"`{c}`") for c in docs.columns])
         docs, stays = named.unionByName(docs.filter("doc_id is null")), stays.distinct()
     kept = docs.filter("doc_id is not null").join(stays, key == F.col("__stays"), "left_semi")
     if groups.filter("doc_id is null").isEmpty():

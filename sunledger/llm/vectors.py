@@ -36,6 +36,16 @@ def _matrix(column: pa.Array) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(at[:-1], at[1:])]
 
 
+def _scaled(rows: list[np.ndarray]) -> np.ndarray:
+    """The vectors in double precision, each times the power of two that brings its largest component near one.
+
+    Such a factor is exact and leaves cosines as they are; squares of tiny or
+    huge components neither vanish nor overflow.
+    """
+    x = np.stack(rows).astype(float)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
 def _signs(vectors: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
     """Adds ``codes``: the bucket of each vector in each table."""
 
@@ -51,7 +61,7 @@ def _signs(vectors: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
                     planes[dim] = np.random.default_rng([seed, int(dim)]).standard_normal((int(dim), tables * bits))
                 at = np.flatnonzero(sizes == dim)
                 for part in np.array_split(at, max(1, len(at) // 1024)):
-                    x = np.stack([rows[i] for i in part]).astype(float)
+                    x = _scaled([rows[i] for i in part])
                     codes[part] = ((x @ planes[dim]) > 0).reshape(len(part), tables, bits) @ weights
             listed = pa.FixedSizeListArray.from_arrays(pa.array(codes.ravel()), tables).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*batch.columns, listed], [*batch.schema.names, "codes"])
@@ -73,7 +83,7 @@ def _compare(threshold: float):
             if b - a < 2:
                 continue
             at = order[a:b]
-            x = np.stack([vectors[i] for i in at]).astype(float)
+            x = _scaled([vectors[i] for i in at])
             keys = np.stack([codes[i] for i in at])
             norm = np.sqrt((x * x).sum(1))
             ids, many, table = first[at], copies[at], route[at[0]]

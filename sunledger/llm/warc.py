@@ -22,8 +22,10 @@ from sunledger.session import work_dir
 FILE_BYTES = 8 << 20
 # Payload bytes that one shard (one task) writes.
 SHARD_BYTES = 64 << 20
-# Keys that the range bounds are taken from: the rows with the smallest hashes, so reruns agree.
-BOUND_SAMPLE = 10_000
+# Keys that the range bounds are taken from, at least and for each shard: the rows with the smallest hashes, so reruns agree.
+LEAST_SAMPLE, SHARD_SAMPLE = 10_000, 20
+# What a record's headers add to its payload, about.
+HEADER_BYTES = 600
 MIN_REVISIT_BYTES = 100
 # Fixed: names and values of the WARC 1.1 format.
 VERSION = "WARC/1.1"
@@ -32,8 +34,16 @@ RECORD_DATE = "1970-01-01T00:00:00Z"
 RECORDS = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 
 
+# Spellings of the Hadoop file systems that Arrow knows under another name. Those it lacks, such as abfss, are no target.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def _file_system(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    """The file system of a folder: local, ``hdfs``, ``s3`` (or ``s3a``) or ``gs``."""
+    scheme, found, rest = path.partition("://")
+    if found:
+        path = f"{SCHEMES.get(scheme, scheme)}://{rest}"
+    return pafs.FileSystem.from_uri(path if found or path.startswith("file:") else f"file://{path}")
 
 
 def record_id(page_id: int | None, number: int) -> str:
@@ -93,10 +103,13 @@ def revisits(keys: DataFrame) -> DataFrame:
 
 
 def _bounds(rows: DataFrame, shards: int) -> list[int]:
-    """Up to ``shards - 1`` page ids that cut the table into ranges of about equal row counts."""
-    sample = rows.filter("page_id is not null").select("page_id").orderBy(F.xxhash64("page_id"), "page_id")
-    keys = sorted(r.page_id for r in sample.limit(BOUND_SAMPLE).collect())
-    return sorted({keys[len(keys) * i // shards] for i in range(1, shards)}) if keys else []
+    """Up to ``shards - 1`` page ids that cut the table into ranges of about equal bytes; the sample grows with the shards."""
+    sample = rows.filter("page_id is not null").select("page_id", "payload_bytes").orderBy(F.xxhash64("page_id"), "page_id")
+    found = sample.limit(max(LEAST_SAMPLE, SHARD_SAMPLE * shards)).toArrow().sort_by("page_id")
+    if not found.num_rows or shards == 1:
+        return []
+    keys, upto = found["page_id"].to_numpy(), np.cumsum(found["payload_bytes"].to_numpy() + HEADER_BYTES)
+    return np.unique(keys[np.searchsorted(upto, upto[-1] * np.arange(1, shards) / shards)]).tolist()
 
 
 def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:

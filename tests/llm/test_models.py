@@ -42,6 +42,64 @@ def test_gradients_of_the_network():
     assert (up - loss()) / 2e-3 == pytest.approx(d_in[place], abs=2e-2)
 
 
+def plain_shares(net, raw):
+    """Mean label probabilities of a text, byte by byte and unit by unit."""
+    h = net.state.shape[1]
+    total = [0.0] * len(net.labels)
+    for begin in range(0, len(raw), L.STRETCH):
+        part = list(raw[begin : begin + L.STRETCH].ljust(L.STRETCH, b"\0"))
+        read = []
+        for side, order in ((0, part), (1, part[::-1])):
+            now, states = [0.0] * h, []
+            for byte in order:
+                gates = [
+                    min(1.0, max(0.0, float(net.inputs[side][byte][k]) + sum(now[i] * float(net.state[side][i][k]) for i in range(h))))
+                    for k in range(2 * h)
+                ]
+                reset = [gates[h + i] * now[i] for i in range(h)]
+                new = [
+                    min(1.0, max(-1.0, float(net.inputs[side][byte][2 * h + k]) + sum(reset[i] * float(net.state[side][i][2 * h + k]) for i in range(h))))
+                    for k in range(h)
+                ]
+                now = [gates[k] * now[k] + (1 - gates[k]) * new[k] for k in range(h)]
+                states.append(now)
+            read.append(states if side == 0 else states[::-1])
+        for t in range(min(L.STRETCH, len(raw) - begin)):
+            both = read[0][t] + read[1][t]
+            scores = [float(net.bias[c]) + sum(both[i] * float(net.out[i][c]) for i in range(2 * h)) for c in range(len(total))]
+            top = max(scores)
+            odds = [np.exp(s - top) for s in scores]
+            total = [a + o / sum(odds) for a, o in zip(total, odds)]
+    return [x / max(len(raw), 1) for x in total]
+
+
+def test_shares_against_a_plain_network():
+    rng, h = np.random.default_rng(4), L.HIDDEN
+    net = L.Network(
+        ["a", "b", "c"],
+        rng.normal(0, 0.5, (2, 256, 3 * h)).astype(np.float32),
+        rng.normal(0, 0.5, (2, h, 3 * h)).astype(np.float32),
+        rng.normal(0, 1, (2 * h, 3)).astype(np.float32),
+        rng.normal(0, 1, 3).astype(np.float32),
+    )
+    texts = [b"", b"a", "Größe über alles".encode(), bytes(range(200)), b"x" * (L.STRETCH + 1)]
+    at = np.cumsum([0] + [len(t) for t in texts])
+    got = L.pooled(net, np.frombuffer(b"".join(texts), np.uint8), at)
+    for row, text in zip(got, texts):
+        assert row == pytest.approx(plain_shares(net, text), abs=1e-4)
+
+
+def test_every_language_is_learned(spark):
+    """More labels than a small corpus of one alphabet could hide; the floor follows their number."""
+    rng = random.Random(9)
+    rows = [(i, "".join(chr(0x4E00 + 40 * (i % 70) + rng.randrange(3)) for _ in range(30)), f"l{i % 70:02d}") for i in range(210)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    net = L.fit(frame)
+    assert net.labels == sorted({r[2] for r in rows})
+    assert L.least_score(4) == pytest.approx(0.3, abs=1e-5) and L.least_score(1) < 1 and L.least_score(100) < 0.08
+    assert all(L.least_score(n) > 1 / n for n in range(2, 200))
+
+
 def test_stretches_cover_every_byte():
     texts = [b"", b"abc", bytes(range(256)) * 2, b"x" * L.STRETCH]
     at = np.cumsum([0] + [len(t) for t in texts])

@@ -37,7 +37,7 @@ def test_stages_keep_columns_and_apply_decisions(spark, tmp_path):
 
 def test_names_and_order():
     assert [n for n, _ in P.STAGES] == ["language_id", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "source_mixing"]
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTERED) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTERED) == list(range(1, 14))
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
@@ -51,3 +51,17 @@ def test_empty_documents(spark, tmp_path):
     documents(spark, []).write.parquet(f"{sf}/documents.parquet")
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{sf}/benchmark.parquet")
     assert P.run(spark, sf).count() == 0
+
+
+def test_clashing_and_missing_columns(spark, tmp_path):
+    sf, item = str(tmp_path), "what is the number of red stones that the old miller hides under his bridge each year"
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{sf}/benchmark.parquet")
+    rows = [(i, t) for i, t in corpus(n=12)] + [(None, "so " + item), (None, "no id at all"), (7, "other text of seven"), (7, "more of seven")]
+    odd = documents(spark, rows).drop("n_chars").selectExpr("*", "doc_id + 1 as n_lines", "-1 as n_removed", "'a' as `rest`", "2 as `odd.name`")
+    for name, stage in P.STAGES[:4]:
+        out = stage(spark, odd, sf)
+        assert out.columns == odd.columns and out.filter("n_removed <> -1 or n_lines <> doc_id + 1 or `odd.name` <> 2").isEmpty(), name
+        again = stage(spark, odd, sf)
+        assert sorted(map(str, out.collect())) == sorted(map(str, again.collect()))
+    kept = P.benchmark_stage(spark, odd, sf).filter("doc_id is null").collect()
+    assert [r.text for r in kept] == ["no id at all"]

@@ -69,3 +69,9 @@ def test_recall_at_the_threshold_grows_with_the_tables():
         bits, tables = V.hash_shape(rows)
         same = (1 - np.arccos(0.9) / np.pi) ** bits
         assert (1 - same) ** tables <= V.MISS
+
+
+def test_tiny_and_huge_components(spark):
+    rows = [(1, [1e-200, 1e-200]), (2, [2e-300, 2e-300]), (3, [1e-200, -1e-200]), (4, [1e300, 1e300]), (5, [1e300, -1e300]), (6, [5e-324, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert {i: v[:2] for i, v in got(V.embedding_groups(frame)).items()} == {1: (2, 1), 2: (2, 1), 4: (2, 1), 3: (1, 3), 5: (1, 3), 6: (0, 6)}

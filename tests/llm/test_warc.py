@@ -89,3 +89,22 @@ def test_odd_tables(spark):
         [(None, 200, "response", None), (4, 200, "response", None), (5, 200, "revisit", 4), (5, 200, "revisit", 4), (5, 150, "response", None)],
         key=str,
     )
+
+
+def test_bounds_follow_bytes_and_grow_with_the_shards(spark, monkeypatch):
+    monkeypatch.setattr(W, "LEAST_SAMPLE", 10)
+    monkeypatch.setattr(W, "SHARD_SAMPLE", 5)
+    rows = [(i, 100_000 if i < 100 else 10) for i in range(2000)]
+    keys = spark.createDataFrame(rows, "page_id bigint, payload_bytes bigint")
+    bounds = W._bounds(keys, 400)
+    assert len(bounds) > 50 and sum(b < 100 for b in bounds) > len(bounds) // 3
+    assert W._bounds(keys, 1) == [] and W._bounds(keys.filter("page_id < 0"), 4) == []
+
+
+def test_file_systems(monkeypatch):
+    assert W._file_system("/tmp/x")[1] == W._file_system("file:///tmp/x")[1] == "/tmp/x"
+    asked = []
+    monkeypatch.setattr(W.pafs, "FileSystem", type("Asked", (), {"from_uri": staticmethod(asked.append)}))
+    for path in ("s3a://bucket/a folder", "hdfs://name:8020/x", "/data/x"):
+        W._file_system(path)
+    assert asked == ["s3://bucket/a folder", "hdfs://name:8020/x", "file:///data/x"]
