@@ -7,7 +7,7 @@ columns are carried along. The whole check is one narrow projection per row.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,24 +15,15 @@ from pyspark.sql import functions as F
 from sunledger.functions import uris
 from sunledger.functions.outgoing import content_id
 from sunledger.functions.plans import evaluated_once
+from sunledger.operators import contracts
 
-# Fixed values of the event contract: constants and patterns.
+# Fixed values of the event contract that the job itself needs.
 EXPECTED_TYPE = "solar.pvdaq.dataset.available.v1"
 SPEC_VERSION = "1.0"
 PRODUCER = "/energy-ingestion-boundary/pvdaq"
 CONTENT_TYPE = "application/json"
 VENDOR = "PVDAQ"
 FILE_FORMAT = "csv"
-UUID = r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
-MOMENT = (
-    r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?"
-    r"(Z|[+-][0-9]{2}:[0-9]{2})"
-)
-TRACE = r"00-(?!0{32}-)[0-9a-f]{32}-(?!0{16}-)[0-9a-f]{16}-[0-9a-f]{2}"
-VERSION_TAG = r"v[0-9]+"
-MAPPING_TAG = r"(v[0-9]+|unknown)"
-BLOB_URI = r"https?://[^ ]+"
-SHA256 = r"[0-9a-f]{64}"
 
 # Where the contract of this deployment is published; the ``dataschema``
 # attribute of every event must name exactly this address.
@@ -50,48 +41,53 @@ class Rule:
 
 @dataclass(frozen=True)
 class EventContract:
-    """The rule table; checked once, when a job is set up."""
+    """The rule table of events, compiled once from the contract document when a job is set up.
+
+    ``document`` is the JSON text of the contract published at ``dataschema``;
+    without one the engine's own document is taken.
+    """
 
     dataschema: str = DEFAULT_DATASCHEMA
+    document: str | None = None
+    rules: tuple[Rule, ...] = field(init=False, compare=False)
 
     def __post_init__(self) -> None:
         if not re.fullmatch(r"https?://\S+/dataset-available\.v1\.json", self.dataschema):
             raise ValueError(f"not an address of the dataset-available.v1 contract: {self.dataschema!r}")
-        names = [r.attribute for r in self.rules]
-        if len(set(names)) != len(names):
-            raise ValueError("an attribute has two rules")
-        for rule in self.rules:
-            if rule.keyword == "pattern":
-                re.compile(str(rule.operand))
-
-    @property
-    def rules(self) -> tuple[Rule, ...]:
-        return (
-            Rule("specversion", "const", SPEC_VERSION),
-            Rule("type", "const", EXPECTED_TYPE),
-            Rule("source", "const", PRODUCER),
-            Rule("id", "pattern", UUID),
-            Rule("time", "pattern", MOMENT),
-            Rule("datacontenttype", "const", CONTENT_TYPE),
-            Rule("dataschema", "const", self.dataschema),
-            Rule("tenant_id", "minLength", 1),
-            Rule("source_vendor", "const", VENDOR),
-            Rule("schema_version", "pattern", VERSION_TAG),
-            Rule("mapping_version", "pattern", MAPPING_TAG),
-            Rule("correlation_id", "pattern", UUID),
-            Rule("ingestion_timestamp", "pattern", MOMENT),
-            Rule("traceparent", "pattern", TRACE),
-            Rule("data", "object"),
-            Rule("data.site_id", "minimum", 1),
-            Rule("data.category", "minLength", 1),
-            Rule("data.file_format", "const", FILE_FORMAT),
-            Rule("data.storage_path", "pattern", BLOB_URI),
-            Rule("data.version", "minimum", 1),
-            Rule("data.ingestion_id", "pattern", UUID),
-            Rule("data.source_url", "minLength", 1),
-            Rule("data.file_size", "minimum", 0),
-            Rule("data.file_hash", "pattern", SHA256),
-        )
+        contract = contracts.Contract(self.document or contracts.available_document(self.dataschema), self.dataschema)
+        object.__setattr__(self, "rules", tuple(event_rules(contract)))
+
+
+def event_rules(contract: contracts.Contract) -> list[Rule]:
+    """The rules of an envelope whose member ``data`` is the only one with members of its own.
+
+    The envelope must be closed and require all its members, ``data`` must be
+    open and require all of its own, as the check of events relies on it.
+    """
+    root = contract.document
+    data = contract.resolve(root["properties"].get("data", {}))
+    for schema, closed in ((root, True), (data, False)):
+        if set(schema.get("required", [])) != set(schema.get("properties", {})):
+            raise ValueError("the contract of events requires all attributes it names")
+        if (schema.get("additionalProperties", True) is False) != closed:
+            raise ValueError("the contract of events is closed around an open data member")
+    outer = {name: contract.resolve(s) for name, s in root["properties"].items()}
+    inner = {f"data.{name}": contract.resolve(s) for name, s in data["properties"].items()}
+    return [_rule(name, schema) for name, schema in {**outer, **inner}.items()]
+
+
+def _rule(name: str, schema: dict) -> Rule:
+    kind = schema.get("type")
+    if kind == "object":
+        return Rule(name, "object")
+    if kind == "integer" and "minimum" in schema:
+        return Rule(name, "minimum", schema["minimum"])
+    if kind == "string" and "pattern" in schema:
+        return Rule(name, "pattern", contracts.whole_pattern(schema))
+    for keyword in ("const", "minLength"):
+        if kind == "string" and keyword in schema:
+            return Rule(name, keyword, schema[keyword])
+    raise ValueError(f"the contract of events has no rule for {name}")
 
 
 def _field(attribute: str, part: str) -> Column:
@@ -126,12 +122,7 @@ def _violation(rule: Rule) -> Column:
         return F.when(~kind.startswith("OBJECT"), F.lit(f"type: {name} must be an object"))
     if rule.keyword == "minimum":
         value = text.try_cast("double")
-        whole = (
-            (kind == "BIGINT")
-            | kind.rlike(r"^DECIMAL\([0-9]+,0\)$")
-            | ((kind == "DOUBLE") & (value == F.floor(value)))
-        )
-        return F.when(~whole, F.lit(f"type: {name} must be an integer")).when(
+        return F.when(~contracts.whole_number(kind, text), F.lit(f"type: {name} must be an integer")).when(
             value < F.lit(rule.operand), F.lit(f"minimum: {name} must be at least {rule.operand}")
         )
     checks = {

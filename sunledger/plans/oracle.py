@@ -549,6 +549,11 @@ def oracle() -> dict[str, str]:
             UNION ALL SELECT dataset_id, 'file', CASE reason WHEN 'EmptyDataset' THEN 'EMPTY_DATASET'
                 WHEN 'UnsupportedEncoding' THEN 'UNSUPPORTED_ENCODING' ELSE 'UNMAPPED_SCHEMA' END, NULL, 1, NULL, NULL
             FROM reasons WHERE reason IN ('EmptyDataset', 'UnsupportedEncoding', 'UnknownSchema')""",
+        "outgoing_contracts": f"""WITH {BAD_ROWS} SELECT 'validated_events' AS written, dataset_id, '' AS errors FROM reasons
+                WHERE reason IS NULL OR reason = 'ValidationFailed'
+            UNION ALL SELECT 'quarantine_records', dataset_id, '' FROM rejected GROUP BY dataset_id
+            UNION ALL SELECT 'quarantine_records', dataset_id, '' FROM reasons
+                WHERE reason IN ('EmptyDataset', 'UnsupportedEncoding', 'UnknownSchema')""",
         "older_version_survives": f"""WITH {FILE_ROWS} SELECT dataset_id, (reason IS NULL)::BIGINT AS completed,
             2 - (reason IS NULL)::BIGINT AS failed, CASE WHEN reason IS NULL THEN n ELSE 0 END AS silver_rows FROM reasons""",
         "ingest_pass_through": f"""WITH {FILE_ROWS} SELECT f.sid AS site_id, CAST(f.ts AS TIMESTAMP) AS timestamp,

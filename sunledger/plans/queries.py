@@ -24,6 +24,7 @@ from sunledger.operators import accounting as A
 from sunledger.operators import envelope as E
 from sunledger.operators import quality as Q
 from sunledger.operators import registry as R
+from sunledger.operators.contracts import Contract, quarantine_document, validated_document
 from sunledger.operators.layout import RawLayout
 from sunledger.operators.positions import split_offsets, with_row_index
 from sunledger.operators.redrive import redrive_candidates
@@ -959,3 +960,21 @@ def written_sidecars(spark, sf_dir):
         member("record_count").cast("bigint").alias("record_count"), member("source.version").cast("bigint").alias("version"),
         member("rows[0].row_index").cast("bigint").alias("first_row"), member("rows[0].reason_code").alias("first_code"),
     )
+
+
+@query
+def outgoing_contracts(spark, sf_dir):
+    """Violations of their contracts by the messages and quarantine records that the job has written; there are none."""
+    root = ingest_inputs(spark, I.table(spark, sf_dir, "events"))
+    run_files(spark, root, mode="row")
+    address = "https://contracts.example.org/quarantine-record.v1.json"
+    kinds = (
+        ("validated_events", Contract(validated_document(outgoing.DEFAULT_VALIDATED_SCHEMA), outgoing.DEFAULT_VALIDATED_SCHEMA)),
+        ("quarantine_records", Contract(quarantine_document(address), address)),
+    )
+    found = None
+    for table, contract in kinds:
+        bodies = spark.read.parquet(f"{root}/out/{table}").withColumn("errors", contract.errors(F.col("body")))
+        listed = bodies.select(F.lit(table).alias("written"), "dataset_id", F.array_join("errors", "; ").alias("errors"))
+        found = listed if found is None else found.unionByName(listed)
+    return found
