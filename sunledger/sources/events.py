@@ -8,20 +8,32 @@ from pyspark.sql import functions as F
 from sunledger.functions.outgoing import content_id
 
 
+# A re-driven message lies in a folder that says how often it has been delivered.
+DELIVERY = "delivery"
+
+
 def with_event_key(messages: DataFrame) -> DataFrame:
-    """Key every message by its content; a redelivered copy gets the same key."""
-    return messages.select(F.col("value").alias("raw"), content_id(F.col("value")).alias("event_key"))
+    """Key every message by its content; a redelivered copy gets the same key. ``delivery`` counts re-drives, 1 at first."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), rf"/{DELIVERY}=([0-9]+)/[^/]*$", 1)
+    number = F.coalesce(folder.try_cast("int"), F.lit(1))
+    return messages.select(F.col("value").alias("raw"), content_id(F.col("value")).alias("event_key"), number.alias("delivery"))
+
+
+def latest_delivery(messages: DataFrame) -> DataFrame:
+    """One row for each message, that of its last delivery."""
+    return messages.groupBy("event_key").agg(F.max_by("raw", "delivery").alias("raw"), F.max("delivery").alias("delivery"))
 
 
 def read_events(spark: SparkSession, path: str, one_per_file: bool = False) -> DataFrame:
-    """JSON lines, or one (possibly pretty-printed) event per file. Copies collapse."""
-    messages = spark.read.text(path, wholetext=one_per_file)
-    return with_event_key(messages.filter(F.trim("value") != "")).dropDuplicates(["event_key"])
+    """JSON lines, or one (possibly pretty-printed) event per file, re-driven ones included. Copies collapse."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    messages = reader.text(path, wholetext=one_per_file)
+    return latest_delivery(with_event_key(messages.filter(F.trim("value") != "")))
 
 
 def stream_events(spark: SparkSession, path: str, max_files_per_trigger: int = 1000, **options: str) -> DataFrame:
     """The same as a stream. For Kafka use ``format("kafka")`` and cast ``value`` to text."""
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).option("recursiveFileLookup", True)
     for key, value in options.items():
         reader = reader.option(key, value)
     messages = reader.text(path)

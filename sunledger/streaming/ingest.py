@@ -13,16 +13,17 @@ from pyspark.sql.utils import AnalysisException
 
 from sunledger.plans.ingest import IngestConfig, run_batch
 from sunledger.session import prepare
+from sunledger.sources.events import latest_delivery
 
 
 def drop_redelivered(messages: DataFrame, within: str) -> DataFrame:
     """Drop copies of a message that arrive within a time span of each other.
 
     The watermark follows the arrival time, so no message is ever late and none
-    but true copies is dropped.
+    but true copies is dropped; a re-driven message has another delivery number.
     """
     arrived = messages.withColumn("arrived_at", F.current_timestamp())
-    return arrived.withWatermark("arrived_at", within).dropDuplicatesWithinWatermark(["event_key"]).drop("arrived_at")
+    return arrived.withWatermark("arrived_at", within).dropDuplicatesWithinWatermark(["event_key", "delivery"]).drop("arrived_at")
 
 
 def _batch_time(spark: SparkSession, cfg: IngestConfig, batch_id: int, pinned: datetime | None) -> datetime:
@@ -60,9 +61,10 @@ def run_stream(
 ) -> StreamingQuery:
     """Start the job on a stream of ``raw``/``event_key`` messages.
 
-    A dataset's whole life lies inside one micro-batch, so no other state is
-    kept. Delivery is at least once and every effect is a replacement keyed by
-    the batch number, which makes a repeated batch harmless. ``registry`` is
+    What silver holds of each dataset is kept beside it, so a late older
+    version changes nothing. Delivery is at least once and every effect is a
+    replacement keyed by the batch number, which makes a repeated batch
+    harmless. ``registry`` is
     called per batch and so sees mappings published while the stream runs.
     """
     prepare(spark)
@@ -73,7 +75,7 @@ def run_stream(
         session = batch.sparkSession
         moment = _batch_time(session, config, batch_id, pinned_time)
         cfg = replace(config, run_id=f"{config.run_id}-{batch_id}", ingestion_time=moment)
-        run_batch(session, batch.dropDuplicates(["event_key"]), registry(session), cfg)
+        run_batch(session, latest_delivery(batch), registry(session), cfg)
 
     writer = messages.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

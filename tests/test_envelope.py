@@ -19,7 +19,7 @@ def test_valid_events(spark):
     a, b, c = check(
         spark,
         event(1),
-        event(2, data__device_id="extra", data__storage_path="https://acct.blob.core.windows.net/bronze/x_v1.csv"),
+        event(2, data__device_id="extra", data__storage_path="https://lake.example.org/bronze/x_v1.csv"),
         json.dumps(event(3), indent=2),
     )
     assert (a.reason, b.reason, c.reason) == (None, None, None)
@@ -32,7 +32,7 @@ BROKEN = {
     "specversion": {"specversion": "1.1"},
     "source": {"source": "/elsewhere"},
     "id": {"id": "ABCDEF00-0000-4000-8000-000000000001"},
-    "time": {"time": "2026-04-09T21:24:06"},
+    "time": {"time": "2025-11-03T08:15:30"},
     "datacontenttype": {"datacontenttype": "text/plain"},
     "dataschema": {"dataschema": ...},
     "tenant_id": {"tenant_id": ""},
@@ -41,12 +41,12 @@ BROKEN = {
     "mapping_version": {"mapping_version": "latest"},
     "correlation_id": {"correlation_id": None},
     "ingestion_timestamp": {"ingestion_timestamp": 5},
-    "traceparent": {"traceparent": "00-00000000000000000000000000000000-c2163a2631c349d5-01"},
+    "traceparent": {"traceparent": "00-00000000000000000000000000000000-b01dface0ddba110-01"},
     "mapping_hint": {"mapping_hint": "x"},
     "data.site_id": {"data__site_id": 0},
     "data.category": {"data__category": ""},
     "data.file_format": {"data__file_format": "parquet"},
-    "data.storage_path": {"data__storage_path": "abfss://bronze@acct.dfs.core.windows.net/x.csv"},
+    "data.storage_path": {"data__storage_path": "s3://bronze/x.csv"},
     "data.version": {"data__version": 1.5},
     "data.ingestion_id": {"data__ingestion_id": ...},
     "data.source_url": {"data__source_url": ["x"]},
@@ -62,7 +62,7 @@ def test_each_rule_names_its_attribute(spark):
         assert row.reason == "EnvelopeValidationFailed", name
         errors = json.loads(row.payload)["errors"]
         assert len(errors) == 1 and f" {name} " in errors[0], (name, errors)
-    zero_parent = check(spark, event(1, traceparent="00-99df39bf690948f8b6820dca9ca43c09-0000000000000000-01"))[0]
+    zero_parent = check(spark, event(1, traceparent="00-0b57ac1e5eed0000deadbea7f00dcafe-0000000000000000-01"))[0]
     assert "traceparent" in zero_parent.payload
 
 
@@ -80,9 +80,9 @@ def test_routing_order(spark):
         ('{"specversion":"1.0"}', "UnrecognizedEventType"),
         (event(1, type=5, tenant_id=""), "UnrecognizedEventType"),
         (event(1, type="solar.pvdaq.dataset.available"), "UnrecognizedEventType"),
-        (event(1, data__site_id=9068.5), "EnvelopeValidationFailed"),
-        (event(1, data__site_id="9068"), "EnvelopeValidationFailed"),
-        (event(1, data__site_id=9068.0), "DeserializationFailed"),
+        (event(1, data__site_id=31.5), "EnvelopeValidationFailed"),
+        (event(1, data__site_id="31"), "EnvelopeValidationFailed"),
+        (event(1, data__site_id=31.0), "DeserializationFailed"),
         (event(1, data__site_id=2**64), "DeserializationFailed"),
         (event(1, data__version=2.0, data__file_size=1e3), None),
         (event(1, data__storage_path="http://"), "EnvelopeValidationFailed"),
@@ -111,7 +111,7 @@ def test_latest_event_counts(spark):
             [
                 ("a", json.dumps(event(1, data__version=2))),
                 ("b", json.dumps(event(1, data__version=10))),
-                ("c", json.dumps(event(1, data__version=10, time="2026-04-08T00:00:00Z"))),
+                ("c", json.dumps(event(1, data__version=10, time="2025-11-02T00:00:00Z"))),
                 ("d", json.dumps(event(2))),
             ],
             "event_key string, raw string",
@@ -124,12 +124,12 @@ def test_latest_event_counts(spark):
 @pytest.mark.parametrize(
     "uri, container, blob",
     [
-        ("http://127.0.0.1:10000/devstoreaccount1/bronze/source=pvdaq/9068_v1.csv", "bronze", "source=pvdaq/9068_v1.csv"),
-        ("https://acct.blob.core.windows.net/bronze/source=pvdaq/9068_v1.csv", "bronze", "source=pvdaq/9068_v1.csv"),
-        ("http://azurite:10000/devstoreaccount1/bronze/source%3Dpvdaq/a%20b.csv", "bronze", "source=pvdaq/a b.csv"),
-        ("http://localhost/devstoreaccount1/bronze/a+b%2Bc.csv", "bronze", "a+b+c.csv"),
-        ("http://localhost/devstoreaccount1", "", ""),
-        ("https://acct.blob.core.windows.net/bronze", "bronze", ""),
+        ("http://10.1.2.3:8080/account/raw/plant=north/31_v2.csv", "raw", "plant=north/31_v2.csv"),
+        ("https://lake.example.org/raw/plant=north/31_v2.csv", "raw", "plant=north/31_v2.csv"),
+        ("http://store:8080/account/raw/plant%3Dnorth/a%20b.csv", "raw", "plant=north/a b.csv"),
+        ("http://localhost/account/raw/a+b%2Bc.csv", "raw", "a+b+c.csv"),
+        ("http://localhost/account", "", ""),
+        ("https://lake.example.org/raw", "raw", ""),
     ],
 )
 def test_storage_paths(spark, uri, container, blob):

@@ -121,7 +121,7 @@ def test_registry_files(spark, tmp_path):
     }
     strict, open_ = R.Mapping.from_row(got["PVDAQ-v2"]), R.Mapping.from_row(got["PVDAQ-v1"])
     assert [c.canonical_field for c in strict.columns] == ["timestamp", "site_id", "power_w"]
-    assert len(open_.columns) == 13 and open_.pass_through and open_.columns[1].min_value == 0
+    assert len(open_.columns) == 4 and open_.pass_through and open_.columns[1].min_value == 0
     assert {(r.registry_key, r.finding) for r in R.lint(registry).collect()} == {("x-y-v3", "bounds")}
 
 

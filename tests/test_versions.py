@@ -6,10 +6,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from sunledger.operators.redrive import redrive_candidates, write_redrive
 from sunledger.plans import ingest
 from sunledger.sinks import commits, folders, silver, versions
 from sunledger.sinks.silver import read_silver, silver_root
+from sunledger.sources.events import stream_events
 from sunledger.sources.mappings import read_registry
+from sunledger.streaming.ingest import run_stream
 from tests import helpers as H
 from tests.test_ingest import dead, run, ws  # noqa: F401
 
@@ -196,3 +199,32 @@ def test_an_event_without_outcome_is_reported(spark, ws, monkeypatch):  # noqa:
     odd = spark.read.parquet(f"{ws.root}/out/reconciliation").collect()
     assert [(r.known_event, r.outcomes) for r in odd] == [(True, 0)]
     assert read_registry(spark, ws.registry).count() == 2
+
+
+def test_redrives_reach_the_stream_until_the_limit(spark, ws):  # noqa: F811
+    """A file turns up after its event was dead-lettered; another never does and is given up."""
+    def go():
+        cfg = ingest.IngestConfig(bronze_root=ws.bronze, silver_root=f"{ws.root}/silver", outcome_root=f"{ws.root}/out", run_id="s")
+        run_stream(
+            spark, stream_events(spark, ws.events), lambda s: read_registry(s, ws.registry), cfg, f"{ws.root}/checkpoint",
+            available_now=True, drop_copies_within="1 hour",
+        ).awaitTermination()
+
+    def redrive():
+        letters = spark.read.parquet(f"{ws.root}/out/dead_letter")
+        done = spark.read.parquet(f"{ws.root}/out/ledger").filter("status = 'Completed'").select("event_key")
+        paths = spark.createDataFrame([(H.event(n, f"{n}.csv")["data"]["storage_path"],) for n in (1, 2)], "storage_path string")
+        found = redrive_candidates(letters, read_registry(spark, ws.registry), paths, done)
+        write_redrive(found, ws.events)
+        return sorted((r.dataset_id, r.delivery) for r in found.collect())
+
+    ws.send(H.event(1, "1.csv"), H.event(2, "2.csv"))
+    go()
+    ws.file("1.csv", H.VALID)
+    assert redrive() == [("1_ac_power", 1), ("2_ac_power", 1)]
+    go()
+    assert site_rows(spark, ws) and redrive() == [("2_ac_power", 2)]
+    go()
+    assert redrive() == []
+    ledger = spark.read.parquet(f"{ws.root}/out/ledger").groupBy("dataset_id", "status").count().collect()
+    assert sorted(tuple(r) for r in ledger) == [("1_ac_power", "Completed", 1), ("1_ac_power", "Failed", 1), ("2_ac_power", "Failed", 3)]
