@@ -26,11 +26,11 @@ MIN_JACCARD = 0.8
 # Lines at MIN_JACCARD meet in a band with this probability, of 0.85 with 0.9996.
 RECALL = 0.995
 # Lines of one band that one task compares; larger bands are cut into pairs of chunks.
-CHUNK_LINES, SHARD_LINES = 1024, 4096
+CHUNK_LINES, SHARD_LINES = 512, 1024
 # So many lines are compared pair by pair, more by their rarest shingles first.
 FEW_LINES = 24
 # Lines whose bands are put together before they are shuffled.
-COMBINED = 32_768
+COMBINED = 16_384
 # Keys that may be sent to every task; beyond that the same join shuffles.
 BROADCAST_KEYS = 1_000_000
 
@@ -140,7 +140,7 @@ def _signed(bands: int, rows: int):
             lo = name[np.flatnonzero(new)][np.cumsum(new) - 1]
             return pa.RecordBatch.from_arrays([pa.array(band), pa.array(lo), pa.array(name)], ["band", "lo", "member"])
 
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=1 << 19):
             new: dict[int, str] = {}
             for text in piece.column("text").to_pylist():
                 for line in normal_lines(text):
