@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunledger.functions.outgoing import content_id
@@ -12,10 +12,14 @@ from sunledger.functions.outgoing import content_id
 DELIVERY = "delivery"
 
 
-def with_event_key(messages: DataFrame) -> DataFrame:
-    """Key every message by its content; a redelivered copy gets the same key. ``delivery`` counts re-drives, 1 at first."""
+def _delivery_of_file() -> Column:
     folder = F.regexp_extract(F.col("_metadata.file_path"), rf"/{DELIVERY}=([0-9]+)/[^/]*$", 1)
-    number = F.coalesce(folder.try_cast("int"), F.lit(1))
+    return F.coalesce(folder.try_cast("int"), F.lit(1))
+
+
+def with_event_key(messages: DataFrame, delivery: Column | None = None) -> DataFrame:
+    """Key every message by its content; a redelivered copy gets the same key. ``delivery`` counts re-drives, 1 at first."""
+    number = F.lit(1) if delivery is None else delivery
     return messages.select(F.col("value").alias("raw"), content_id(F.col("value")).alias("event_key"), number.alias("delivery"))
 
 
@@ -28,7 +32,7 @@ def read_events(spark: SparkSession, path: str, one_per_file: bool = False) -> D
     """JSON lines, or one (possibly pretty-printed) event per file, re-driven ones included. Copies collapse."""
     reader = spark.read.option("recursiveFileLookup", True)
     messages = reader.text(path, wholetext=one_per_file)
-    return latest_delivery(with_event_key(messages.filter(F.trim("value") != "")))
+    return latest_delivery(with_event_key(messages.filter(F.trim("value") != ""), _delivery_of_file()))
 
 
 def stream_events(spark: SparkSession, path: str, max_files_per_trigger: int = 1000, **options: str) -> DataFrame:
@@ -37,4 +41,4 @@ def stream_events(spark: SparkSession, path: str, max_files_per_trigger: int = 1
     for key, value in options.items():
         reader = reader.option(key, value)
     messages = reader.text(path)
-    return with_event_key(messages.filter(F.trim("value") != ""))
+    return with_event_key(messages.filter(F.trim("value") != ""), _delivery_of_file())
