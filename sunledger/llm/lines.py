@@ -7,7 +7,6 @@ README), so the two steps that touch every sign run over Arrow batches.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from math import ceil, log
 
@@ -27,8 +26,8 @@ MIN_JACCARD = 0.8
 RECALL = 0.995
 # Lines of one band that one task compares; larger bands are cut into pairs of chunks.
 CHUNK_LINES, SHARD_LINES = 512, 1024
-# So many lines are compared pair by pair, more by their rarest shingles first.
-FEW_LINES = 24
+# Shingles are counted in SLOTS first, the signs of BLOCK_SIGNS at a time.
+SLOTS, BLOCK_SIGNS = 1 << 20, 1 << 18
 # Lines whose bands are put together before they are shuffled.
 COMBINED = 16_384
 # Keys that may be sent to every task; beyond that the same join shuffles.
@@ -91,8 +90,8 @@ def banding(lines: int, recall: float = RECALL) -> tuple[int, int]:
 _SIGNS = mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def shingle_values(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """A 32-bit value of every shingle of the lines, and where each line's first one is."""
+def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit value of every shingle of the lines, and where each line's first one is."""
     filler = chr(0x10FFFF) * (SHINGLE - 1)
     codes = np.frombuffer((filler.join(lines) + filler).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     size = np.array([len(x) for x in lines])
@@ -103,7 +102,13 @@ def shingle_values(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     total = codes[place] * _SIGNS[0]
     for k in range(1, SHINGLE):
         total += codes[place + k] * _SIGNS[k]
-    return (mix(total) >> np.uint64(32)).astype(np.uint32), starts[:-1]
+    return mix(total), starts[:-1]
+
+
+def shingle_values(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The upper 32 bits of :func:`shingle_hashes`."""
+    total, starts = shingle_hashes(lines)
+    return (total >> np.uint64(32)).astype(np.uint32), starts
 
 
 def band_keys(lines: list[str], bands: int, rows: int) -> np.ndarray:
@@ -247,39 +252,71 @@ def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, LINKS)
 
 
-def _rarest(sets: list[frozenset[str]]) -> list[list[str]]:
-    """Of each set its rarest shingles, as many as a like set may lack and one more: two like sets share one of them."""
-    common = Counter(s for x in sets for s in x)
-    return [sorted(x, key=lambda s: (common[s], s))[: len(x) - ceil(MIN_JACCARD * len(x) - 1e-9) + 1] for x in sets]
+def slots_of(lines: list[str]) -> list[np.ndarray]:
+    """For each line a slot of SLOTS for every different shingle: as many as the line has, so two lines share no more shingles than slots."""
+    out, start = [], 0
+    total = np.cumsum([len(x) for x in lines])
+    while start < len(lines):
+        before = total[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(total, before + BLOCK_SIGNS, "right")))
+        values, at = shingle_hashes(lines[start:stop])
+        out += [(np.unique(x) & np.uint64(SLOTS - 1)).astype(np.int32) for x in np.split(values, at[1:])]
+        start = stop
+    return out
+
+
+def _near(i: int, others: np.ndarray, slots: list[np.ndarray], size: np.ndarray, mark: np.ndarray) -> list[int]:
+    """Those of ``others`` that may be like line ``i`` by the slots they share with it."""
+    mark[slots[i]] = 1
+    out, step = [], max(1, BLOCK_SIGNS // int(size[others].max()))
+    for k in range(0, len(others), step):
+        some = others[k : k + step]
+        ends = np.cumsum(size[some])
+        hit = mark[np.concatenate([slots[j] for j in some])]
+        shared = np.add.reduceat(hit, np.concatenate([[0], ends[:-1]]), dtype=np.int32)
+        out += some[shared * (1 + MIN_JACCARD) >= MIN_JACCARD * (size[i] + size[some]) - 1e-6].tolist()
+    mark[slots[i]] = 0
+    return out
 
 
 def _across(table: pa.Table) -> pa.Table:
-    """Links between lines of different components in the bands of one shard."""
+    """Links between lines of different components in the bands of one shard.
+
+    Each line meets the longer ones whose sizes allow the wanted index and that
+    are still apart from it; shared slots bound the shared shingles from above,
+    and the sets of the few that remain are compared.
+    """
     band, lo, hi, chunk, k1, part = (table.column(c).to_numpy() for c in ("band", "lo", "hi", "chunk", "k1", "part"))
     line = table.column("line")
     order, groups = group_slices([band, lo, hi])
-    joined, out = Forest(), []
-    known: dict[int, frozenset[str]] = {}
+    joined, out, mark = Forest(), [], np.zeros(SLOTS, np.uint8)
+    names, first, place = np.unique(k1, return_index=True, return_inverse=True)
+    known = slots_of([line[r].as_py() for r in first.tolist()])
+    sizes = np.array([len(x) for x in known])
     for a, b in groups:
-        rows = order[a:b].tolist()
-        names, parts, chunks = k1[rows].tolist(), part[rows].tolist(), chunk[rows].tolist()
-        alone = lo[rows[0]] == hi[rows[0]]
-        for r, name in zip(rows, names):
-            if name not in known:
-                known[name] = shingles(line[r].as_py())
-        sets = [known[name] for name in names]
-        few = len(rows) <= FEW_LINES
-        rare = [()] * len(rows) if few else _rarest(sets)
-        index: dict[str, list[int]] = {}
-        for i, own in enumerate(sets):
-            for j in range(i) if few else {j for s in rare[i] for j in index.get(s, ())}:
-                if not alone and chunks[j] == chunks[i]:
-                    continue
-                if joined.find(parts[j]) != joined.find(parts[i]) and _alike(own, sets[j]):
-                    joined.join(parts[j], parts[i])
-                    out.append((names[j], names[i]))
-            for s in rare[i]:
-                index.setdefault(s, []).append(i)
+        rows = order[a:b]
+        rows = rows[np.argsort(sizes[place[rows]], kind="stable")]
+        own, size = place[rows], sizes[place[rows]]
+        alone, chunks = lo[rows[0]] == hi[rows[0]], chunk[rows]
+        old, comp = np.unique(part[rows], return_inverse=True)
+        comp = np.unique([joined.find(x) for x in old.tolist()], return_inverse=True)[1][comp]
+        slots = [known[x] for x in own]
+        last = np.searchsorted(size, size / MIN_JACCARD + 1e-6, "right")
+        for i in range(len(rows) - 1):
+            apart = comp[i + 1 : last[i]] != comp[i]
+            if not alone:
+                apart &= chunks[i + 1 : last[i]] != chunks[i]
+            others = np.flatnonzero(apart) + i + 1
+            if not len(others):
+                continue
+            mine = None
+            for j in _near(i, others, slots, size, mark):
+                if comp[j] != comp[i]:
+                    mine = mine or shingles(line[rows[i]].as_py())
+                    if _alike(mine, shingles(line[rows[j]].as_py())):
+                        joined.join(int(part[rows[j]]), int(part[rows[i]]))
+                        comp[comp == comp[j]] = comp[i]
+                        out.append((names[own[j]], names[own[i]]))
     ends = np.array(out, np.int64).reshape(-1, 2)
     return pa.table({"src": pa.array(ends[:, 0]), "dst": pa.array(ends[:, 1])})
 

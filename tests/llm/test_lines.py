@@ -87,19 +87,54 @@ def test_a_band_of_many_like_lines(spark):
     assert set(got) <= set(want) and len(set(want) - set(got)) <= 1 and len(want) > 30
 
 
-@pytest.mark.parametrize("few", [0, 1000])
-def test_bands_of_unlike_lines(spark, monkeypatch, few):
+def test_bands_of_unlike_lines(spark, monkeypatch):
     """All lines in one band, in chunks smaller than the band: the comparison across components alone finds the links."""
     monkeypatch.setattr(L, "banding", lambda n: (1, 1))
     monkeypatch.setattr(L, "band_keys", lambda lines, bands, rows: np.ones((len(lines), 1), np.uint64))
     monkeypatch.setattr(L, "CHUNK_LINES", 7)
-    monkeypatch.setattr(L, "FEW_LINES", few)
     rows = made(seed=5, n=40)
     met = spark.createDataFrame([(1, L._long(lo), L._long(m)) for lo, m in star(rows)], L.MEETINGS)
     monkeypatch.setattr(L, "meetings", lambda docs, bands, per: met)
     assert removed(documents(spark, rows)) == expected(rows)
 
 
+@pytest.mark.parametrize("slots, block", [(1 << 20, 1 << 18), (1 << 20, 50), (16, 1 << 18)])
+def test_comparison_across_components(monkeypatch, slots, block):
+    """All pairs of a band in one table or in pairs of chunks, whatever the slots hold and however lines are dealt in blocks."""
+    monkeypatch.setattr(L, "SLOTS", slots)
+    monkeypatch.setattr(L, "BLOCK_SIGNS", block)
+    rng = random.Random(11)
+    lines = {"abc", "abcd", "abcde", "a" * 300, "a" * 400, "é" * 9, "日本語" * 12, "日本語" * 12 + "x", "\U0001f600" * 3}
+    for _ in range(25):
+        base = words(rng, rng.randint(2, 25), "abc")
+        for _ in range(4):
+            lines.add(" ".join(base[: len(base) - rng.randint(0, 2)] + words(rng, rng.randint(0, 1), "de")))
+    lines = sorted(lines)
+    names = list(range(len(lines)))
+    parts = [0 if i in (3, 4) else i for i in names]
+    sets = [L.shingles(x) for x in lines]
+    like = [(i, j) for i in names for j in range(i) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= L.MIN_JACCARD]
+    assert len(like) > 40
+
+    def components(links):
+        forest = L.Forest()
+        for a, b in [(3, 4), *links]:
+            forest.join(a, b)
+        return [forest.find(i) for i in names]
+
+    def table(rows, lo, hi):
+        each = {"band": [5] * len(rows), "lo": [lo] * len(rows), "hi": [hi] * len(rows), "chunk": [i % 2 for i in rows]}
+        return pa.table({**each, "k1": rows, "part": [parts[i] for i in rows], "line": [lines[i] for i in rows]})
+
+    def found(*tables):
+        return [(r["src"], r["dst"]) for t in tables for r in L._across(t).to_pylist()]
+
+    assert components(found(table(names, 0, 0))) == components(like)
+    halves = [[i for i in names if i % 2 == k] for k in (0, 1)]
+    assert components(found(table(halves[0], 0, 0), table(halves[1], 1, 1), table(names, 0, 1))) == components(like)
+    assert found(table(names[:1], 0, 0)) == []
+
+
 def star(rows):
     names = sorted({xxhash.xxh64_intdigest(x.encode(), 42) for _, t in rows if t for x in L.normal_lines(t) if x})
     return [(names[0], n) for n in names[1:]]
