@@ -340,9 +340,9 @@ def _write_winners(
     moves, merged = versions.stage_versions(spark, winners, root, staged, commit)
     for key, schemas in sorted(written.items()):
         moves += silver.stage_schema(spark, schemas, root, staged, key, commit)
-    moves += silver.staged_partitions(spark, staged, keys, cfg.ingestion_date, cfg.partition_by)
-    removed = merged + _left_behind(spark, winners, cfg)
-    commits.publish(spark, root, commit, moves, [r for r in removed if r not in set(moves)])
+    moves += silver.staged_partitions(spark, root, staged, keys, cfg.ingestion_date, cfg.partition_by)
+    moved, removed = set(moves), merged + _left_behind(spark, winners, cfg)
+    commits.publish(spark, root, commit, moves, [r for r in removed if r not in moved])
 
     beaten = passed.join(names, "event_key", "left_anti").select("event_key", F.lit(True).alias("superseded"))
     marked = outcome.join(beaten, "event_key", "left").withColumn("superseded", F.coalesce("superseded", F.lit(False)))

@@ -19,6 +19,10 @@ REQUIRED_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
+# Folders are listed by jobs of up to ten thousand tasks unless this is lower; a task of a job lists many.
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_TASKS_PER_CORE = 8
+
 _local_scratch: str | None = None
 
 
@@ -43,10 +47,13 @@ def build_session(app_name: str = "sunledger", master: str | None = None, **conf
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings results depend on to a session somebody else built."""
+    """Apply the settings results depend on to a session somebody else built, and bound the tasks of a listing."""
     for key, value in REQUIRED_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    tasks = LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    if int(spark.conf.get(LISTING)) > tasks:
+        spark.conf.set(LISTING, str(tasks))
     return spark
 
 

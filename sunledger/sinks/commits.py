@@ -36,26 +36,42 @@ def publish(spark: SparkSession, root: str, commit: str, moves: list[str], remov
     """Put the staged folders ``moves`` (relative to the root) in the place of older ones and drop ``removed``."""
     note = [(folder, folder) for folder in moves] + [("", folder) for folder in removed]
     spark.createDataFrame(note, NOTE).coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/{NOTES}/{commit}")
-    finish(spark, root, commit)
+    finish(spark, root, commit, fresh=True)
 
 
-def finish(spark: SparkSession, root: str, commit: str) -> None:
-    """Carry out a noted commit; what an earlier attempt has done is not done again."""
+def finish(spark: SparkSession, root: str, commit: str, fresh: bool = False) -> None:
+    """Carry out a noted commit; what an earlier attempt has done is not done again.
+
+    One listing a mapping tells which folders are new; only the others are asked
+    for one by one. ``fresh``: this is the first attempt, so all that was staged is there.
+    """
     root = root.rstrip("/")
     retired, staged, note = (f"{root}/{kind}/{commit}" for kind in (RETIRED, STAGING, NOTES))
 
-    def swap(row) -> None:
+    def swap(item) -> None:
+        n, row = item
         source, target = f"{staged}/{row.source}", f"{root}/{row.target}"
-        if row.source and not folders.exists(spark, source):
+        if row.source and not there(staged, row.source):
+            return
+        if known(root, row.target) and folders.retire(spark, target, f"{retired}/{n}", source if row.source else None):
             return
-        if folders.exists(spark, target):
-            folders.move(spark, target, f"{retired}/{row.target}")
         if row.source:
             folders.move(spark, source, target)
 
-    rows = spark.read.schema(NOTE).json(note).collect()
-    folders.at_once(swap, [r for r in rows if r.source])
-    folders.at_once(swap, [r for r in rows if not r.source])
+    def known(base: str, folder: str) -> bool:
+        top, name = folder.split("/")[:2]
+        return name in held[base, top]
+
+    def there(base: str, folder: str) -> bool:
+        deep = folder.count("/") > 1 and not fresh
+        return known(base, folder) and (not deep or folders.exists(spark, f"{base}/{folder}"))
+
+    rows = list(enumerate(spark.read.schema(NOTE).json(note).collect()))
+    tops = {folder.split("/")[0] for _, r in rows for folder in (r.source, r.target) if folder}
+    held = {(base, top): folders.names(spark, f"{base}/{top}") for base in (root, staged) for top in tops}
+    folders.make(spark, retired)
+    folders.at_once(swap, [x for x in rows if x[1].source])
+    folders.at_once(swap, [x for x in rows if not x[1].source])
     for done in (retired, staged, note):
         folders.delete(spark, done)
 

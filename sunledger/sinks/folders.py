@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+import re
 from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 # File-system calls that run at the same time.
@@ -17,10 +20,30 @@ def at_once(function: Callable, items: Iterable, threads: int = CALLS) -> list:
         return [f.result() for f in [pool.submit(function, x) for x in items]]
 
 
+@lru_cache(maxsize=64)
+def java_class(context: SparkContext, name: str):
+    """A class of the JVM, looked up once: each part of its name is a call."""
+    found = context._jvm
+    for part in name.split("."):
+        found = getattr(found, part)
+    return found
+
+
+def _path(spark: SparkSession, path: str):
+    return java_class(spark.sparkContext, "org.apache.hadoop.fs.Path")(path)
+
+
+@lru_cache(maxsize=64)
+def _system(context: SparkContext, authority: str):
+    """The file system of all paths that begin with ``authority``, a scheme and host or nothing."""
+    root = java_class(context, "org.apache.hadoop.fs.Path")(f"{authority}/")
+    return root.getFileSystem(context._jsc.hadoopConfiguration())
+
+
 def at(spark: SparkSession, path: str):
     """The file system of a path, and the path as it knows it."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+    authority = re.match("([A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?)?", path)[0]
+    return _system(spark.sparkContext, authority), _path(spark, path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -37,12 +60,52 @@ def delete(spark: SparkSession, path: str) -> None:
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder within one file system; the target's parents are made."""
     system, where = at(spark, source)
-    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    to = _path(spark, target)
     system.mkdirs(to.getParent())
     if not system.rename(where, to):
         raise OSError(f"cannot move {source} to {target}")
 
 
+def make(spark: SparkSession, path: str) -> None:
+    """A folder and its parents; one that is there is fine."""
+    system, where = at(spark, path)
+    system.mkdirs(where)
+
+
+def retire(spark: SparkSession, target: str, aside: str, source: str | None) -> bool:
+    """Move ``target`` to ``aside``, whose parent exists, and ``source`` to where it was; false if there is no target."""
+    system, where = at(spark, target)
+    if not system.exists(where):
+        return False
+    if not system.rename(where, _path(spark, aside)):
+        raise OSError(f"cannot move {target} to {aside}")
+    if source is not None and not system.rename(_path(spark, source), where):
+        raise OSError(f"cannot move {source} to {target}")
+    return True
+
+
+def names(spark: SparkSession, path: str) -> set[str]:
+    """Names of all that lies directly below ``path``, brought over in one text however many there are."""
+    system, where = at(spark, path)
+    if not system.exists(where):
+        return set()
+    context = spark.sparkContext
+    paths = java_class(context, "org.apache.hadoop.fs.FileUtil").stat2Paths(system.listStatus(where))
+    # Java's lists are made of arrays of objects, not of paths.
+    objects = context._gateway.new_array(java_class(context, "java.lang.Object"), len(paths))
+    java_class(context, "java.lang.System").arraycopy(paths, 0, objects, 0, len(paths))
+    listed = java_class(context, "java.util.Arrays").asList(objects)
+    text = java_class(context, "org.apache.hadoop.util.StringUtils").join("\0", listed)
+    return {p.rsplit("/", 1)[-1] for p in text.split("\0") if p}
+
+
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path pattern names anything that exists."""
+    system, where = at(spark, pattern)
+    found = system.globStatus(where)
+    return found is not None and len(found) > 0
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``; none when it does not exist."""
     system, where = at(spark, path)
@@ -53,7 +116,8 @@ def children(spark: SparkSession, path: str) -> list[str]:
 
 def partition_folder(spark: SparkSession, column: str, value: str) -> str:
     """The folder name that Spark's writers give a partition value."""
-    return f"{column}={spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)}"
+    utils = java_class(spark.sparkContext, "org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils")
+    return f"{column}={utils.escapePathName(value)}"
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

@@ -47,15 +47,15 @@ def stage_silver(rows: DataFrame, staged: str, registry_key: str, ingestion_date
     _partitioned(rows, ingestion_date, partition_by).mode("append").parquet(silver_root(staged, registry_key))
 
 
-def staged_partitions(spark: SparkSession, staged: str, keys: list[str], ingestion_date: str, partition_by: str) -> list[str]:
-    """The folders that replace older ones: a dataset's partition of the date, or with ``data_date`` the whole dataset."""
+def staged_partitions(spark: SparkSession, root: str, staged: str, keys: list[str], ingestion_date: str, partition_by: str) -> list[str]:
+    """The folders to put in place: a dataset's partition of the date; the whole dataset if it is new or with ``data_date``."""
     tail = "" if partition_by == "data_date" else f"/{partition_by}={ingestion_date}"
-    return [
-        f"{key}/{name}{tail}"
-        for key in keys
-        for name in folders.children(spark, silver_root(staged, key))
-        if name.startswith("source_dataset_id=")
-    ]
+    found = []
+    for key in keys:
+        held = folders.names(spark, silver_root(root, key)) if tail else set()
+        written = sorted(folders.names(spark, silver_root(staged, key)))
+        found += [f"{key}/{name}{tail if name in held else ''}" for name in written if name.startswith("source_dataset_id=")]
+    return found
 
 
 def replaced_partition(spark: SparkSession, registry_key: str, dataset_id: str, ingestion_date: str, partition_by: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -31,19 +31,28 @@ def list_files(spark: SparkSession, root: str, folders: DataFrame | None = None)
         names = sorted(r.folder for r in folders.select("folder").distinct().collect())
         chunks = [names[i : i + FOLDERS_PER_LISTING] for i in range(0, len(names), FOLDERS_PER_LISTING)]
         wheres = [f"{as_glob(root)}/{{{','.join(map(as_glob, chunk))}}}" for chunk in chunks]
-    listed = spark.createDataFrame([], "file_path string, length bigint")
-    for where in wheres:
-        try:
-            found = reader.load(where)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        listed = listed.union(found.select(F.col("_metadata.file_path").alias("file_path"), "length"))
+    found = _loaded(reader, wheres)
+    if found is None:
+        # One pattern without a match fails the whole listing; the others are listed together.
+        present = Fo.at_once(lambda where: Fo.matches(spark, where), wheres)
+        found = _loaded(reader, [w for w, there in zip(wheres, present, strict=True) if there])
+    if found is None:
+        return spark.createDataFrame([], "file_path string, length bigint")
+    listed = found.select(F.col("_metadata.file_path").alias("file_path"), "length")
     # One listed folder may lie inside another.
     return listed if folders is None else listed.dropDuplicates(["file_path"])
 
 
+def _loaded(reader: DataFrameReader, wheres: list[str]) -> DataFrame | None:
+    """All patterns in one listing; none when one of them names nothing."""
+    try:
+        return reader.load(wheres) if wheres else None
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 LOCATED = "relative_path string, number bigint, length bigint"
 # Paths that are asked for at a time.
 ASKED = 10_000
@@ -59,6 +68,7 @@ def locate(spark: SparkSession, root: str, wanted: DataFrame, scratch: str) -> D
     a stream to ``scratch`` under a name they accept.
     """
     conf = spark._jsc.hadoopConfiguration()
+    copy = Fo.java_class(spark.sparkContext, "org.apache.hadoop.fs.FileUtil").copy
 
     def ask(item: tuple[int, str]) -> tuple[str, str, int] | None:
         number, relative = item
@@ -70,7 +80,7 @@ def locate(spark: SparkSession, root: str, wanted: DataFrame, scratch: str) -> D
             return None
         if status.getLen():
             copied, to = Fo.at(spark, f"{scratch}/{number}.csv")
-            spark._jvm.org.apache.hadoop.fs.FileUtil.copy(system, status.getPath(), copied, to, False, True, conf)
+            copy(system, status.getPath(), copied, to, False, True, conf)
         return relative, number, status.getLen()
 
     found = spark.createDataFrame([], LOCATED)
