@@ -27,6 +27,8 @@ LEAST_SAMPLE, SHARD_SAMPLE = 10_000, 20
 # What a record's headers add to its payload, about.
 HEADER_BYTES = 600
 MIN_REVISIT_BYTES = 100
+# Bytes of an archive that the reader hands to the decompressor at a time.
+PIECE_BYTES = 8 << 10
 # Fixed: names and values of the WARC 1.1 format.
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -159,8 +161,9 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES,
                 out = None
 
         for batch in batches:
+            cells = dict(zip(batch.schema.names, batch.columns))
             for k in range(batch.num_rows):
-                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
+                row = {c: column[k].as_py() for c, column in cells.items()}
                 if row["page_id"] != last:
                     last, repeat, repeats = row["page_id"], -1, {}
                 if row["refers_to"] is not None:
@@ -197,12 +200,15 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES,
 
 
 def _members(data: bytes) -> Iterator[bytes]:
-    """The records of an archive: one gzip member each."""
-    view = memoryview(data)
-    while len(view):
-        unzip = zlib.decompressobj(wbits=31)
-        yield unzip.decompress(view)
-        view = view[len(view) - len(unzip.unused_data) :]
+    """The records of an archive: one gzip member each, read in pieces, as what follows a member is copied by zlib."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        unzip, parts = zlib.decompressobj(wbits=31), []
+        while not unzip.eof and at < len(view):
+            piece = view[at : at + PIECE_BYTES]
+            parts.append(unzip.decompress(piece))
+            at += len(piece) - len(unzip.unused_data)
+        yield b"".join(parts)
 
 
 def _parse(record: bytes) -> dict:

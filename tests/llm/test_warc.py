@@ -3,6 +3,8 @@
 import gzip
 import hashlib
 import os
+import random
+import zlib
 
 import pytest
 
@@ -108,3 +110,26 @@ def test_file_systems(monkeypatch):
     for path in ("s3a://bucket/a folder", "hdfs://name:8020/x", "/data/x"):
         W._file_system(path)
     assert asked == ["s3://bucket/a folder", "hdfs://name:8020/x", "file:///data/x"]
+
+
+def test_reading_a_member_touches_a_piece_of_the_archive(monkeypatch):
+    piece = W.PIECE_BYTES
+    noise = random.Random(5).randbytes(3 * piece)
+    records = [b"a" * n for n in range(300)] + [noise, b"", noise[: piece - 40], b"x" * (50 * piece)] + [b"b"] * 300
+    data = b"".join(gzip.compress(r, 6, mtime=0) for r in records)
+    given, new = [], zlib.decompressobj
+
+    class Counted:
+        def __init__(self, **options):
+            self.inner = new(**options)
+
+        def decompress(self, part):
+            given.append(len(part))
+            return self.inner.decompress(part)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+    monkeypatch.setattr(zlib, "decompressobj", Counted)
+    assert list(W._members(data)) == records
+    assert max(given) <= piece
