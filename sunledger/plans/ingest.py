@@ -173,7 +173,8 @@ def _with_layouts(
         rows.append((head.registry_key, head.header_id, head.may_span_lines, n, names))
     kinds = "registry_key string, header_id bigint, may_span_lines boolean, layout_no int, header array<string>"
     numbered = spark.createDataFrame(rows, kinds)
-    return files.join(numbered, ["registry_key", "header_id", "may_span_lines"]), layouts
+    # Written, so that the scans that meet it know how small it is and are not shuffled.
+    return materialise(files.join(numbered, ["registry_key", "header_id", "may_span_lines"]), f"{path}-numbered"), layouts
 
 
 def _stage(

@@ -6,8 +6,13 @@ is used, and the derived data grows with it.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
 from decimal import Decimal
+from itertools import groupby
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +20,7 @@ from sunledger.operators.layout import RawLayout
 from sunledger.operators.positions import number_rows
 from sunledger.operators.registry import ColumnRule, Mapping
 from sunledger.operators.transform import conform
+from sunledger.sinks import folders
 
 TELEMETRY = Mapping(
     columns=(
@@ -150,16 +156,44 @@ def derived_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Spark's folder name of rows without a partition value.
+NO_NUMBER = "__HIVE_DEFAULT_PARTITION__"
+
+
 def write_lines(lines: DataFrame, root: str) -> None:
-    """Text files from ``file_no``, ``place`` and ``value``: one file per number, lines by place."""
-    (
-        lines.repartition("file_no")
-        .sortWithinPartitions("file_no", "place")
-        .select("file_no", "value")
-        .write.mode("overwrite")
-        .partitionBy("file_no")
-        .text(root)
-    )
+    """Text files from ``file_no``, ``place`` and ``value`` below a new folder: one file per number, lines by place."""
+    spark = lines.sparkSession
+    placed = lines.repartition("file_no").sortWithinPartitions("file_no", "place").select("file_no", "value")
+    folders.make(spark, root)
+    here = folders.local(spark, root)
+    if here is None:
+        placed.write.mode("overwrite").partitionBy("file_no").text(root)
+        return
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
+        out, open_no, name = None, None, ""
+
+        def close() -> None:
+            if out is not None:
+                out.close()
+                os.replace(f"{name}/.{attempt}", f"{name}/part-{part:05d}.txt")
+
+        for batch in batches:
+            numbers, values = batch.column("file_no").to_pylist(), batch.column("value").to_pylist()
+            for number, group in groupby(zip(numbers, values), lambda line: line[0]):
+                if out is None or number != open_no:
+                    close()
+                    open_no, name = number, f"{here}/file_no={NO_NUMBER if number is None else number}"
+                    os.makedirs(name, exist_ok=True)
+                    out = open(f"{name}/.{attempt}", "wb")
+                out.writelines((value or b"") + b"\n" for _, value in group)
+            yield batch.slice(0, 0).select(["file_no"])
+        close()
+
+    # Lines need not be valid UTF-8, so they travel as bytes.
+    sent = placed.select("file_no", F.col("value").cast("binary").alias("value"))
+    sent.mapInArrow(write, "file_no bigint").write.format("noop").mode("overwrite").save()
 
 
 # Events per vendor file and documents per text file, so the number of files follows the table.

@@ -23,6 +23,12 @@ REQUIRED_CONF = {
 LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 LISTING_TASKS_PER_CORE = 8
 
+# Paths of the machine itself. The classes that stand for them by default write a checksum beside each file and, where Hadoop's
+# native library is absent, start a process for every new file and folder, and (in Spark's Hive jars) for every status that is
+# asked for. The bare one starts one for what is new only. A session that names a class keeps it; other file systems stay as they are.
+LOCAL_SYSTEM = "fs.file.impl"
+BARE_LOCAL = {LOCAL_SYSTEM: "org.apache.hadoop.fs.RawLocalFileSystem", f"{LOCAL_SYSTEM}.disable.cache": "true"}
+
 _local_scratch: str | None = None
 
 
@@ -47,13 +53,16 @@ def build_session(app_name: str = "sunledger", master: str | None = None, **conf
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings results depend on to a session somebody else built, and bound the tasks of a listing."""
+    """Apply the settings results depend on to a session somebody else built, bound the tasks of a listing and pick the local file system."""
     for key, value in REQUIRED_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     tasks = LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     if int(spark.conf.get(LISTING)) > tasks:
         spark.conf.set(LISTING, str(tasks))
+    if not spark._jsc.hadoopConfiguration().get(LOCAL_SYSTEM) and spark.conf.get(LOCAL_SYSTEM, None) is None:
+        for key, value in BARE_LOCAL.items():
+            spark.conf.set(key, value)
     return spark
 
 

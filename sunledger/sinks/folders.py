@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import os
 import re
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
 
 from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
+from sunledger.session import BARE_LOCAL, LOCAL_SYSTEM
+
 # File-system calls that run at the same time.
 CALLS = 16
 
@@ -37,7 +40,11 @@ def _path(spark: SparkSession, path: str):
 def _system(context: SparkContext, authority: str):
     """The file system of all paths that begin with ``authority``, a scheme and host or nothing."""
     root = java_class(context, "org.apache.hadoop.fs.Path")(f"{authority}/")
-    return root.getFileSystem(context._jsc.hadoopConfiguration())
+    conf = java_class(context, "org.apache.hadoop.conf.Configuration")(context._jsc.hadoopConfiguration())
+    if not conf.get(LOCAL_SYSTEM):
+        for key, value in BARE_LOCAL.items():
+            conf.set(key, value)
+    return root.getFileSystem(conf)
 
 
 def at(spark: SparkSession, path: str):
@@ -46,6 +53,22 @@ def at(spark: SparkSession, path: str):
     return _system(spark.sparkContext, authority), _path(spark, path)
 
 
+@lru_cache(maxsize=64)
+def _is_local(context: SparkContext, authority: str) -> bool:
+    named = authority.partition(":")[0] in ("", "file")
+    return named and _system(context, authority).getClass().getName() == BARE_LOCAL[LOCAL_SYSTEM]
+
+
+def local(spark: SparkSession, path: str) -> str | None:
+    """The path for this machine's own file calls; none if another file system holds it.
+
+    Where its native library is absent, Hadoop starts a process for every new
+    file and folder, so very many are made without it.
+    """
+    authority = re.match("([A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?)?", path)[0]
+    return path[len(authority) :] if _is_local(spark.sparkContext, authority) else None
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     system, where = at(spark, path)
     return system.exists(where)
@@ -122,6 +145,15 @@ def partition_folder(spark: SparkSession, column: str, value: str) -> str:
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file with exactly this name and content; it replaces an older one."""
+    here = local(spark, path)
+    if here is not None:
+        folder, name = os.path.split(here)
+        os.makedirs(folder, exist_ok=True)
+        with open(here, "wb") as out:
+            out.write(text.encode())
+        if os.path.exists(f"{folder}/.{name}.crc"):  # the checksum of an older one
+            os.remove(f"{folder}/.{name}.crc")
+        return
     system, where = at(spark, path)
     out = system.create(where, True)
     out.write(bytearray(text.encode()))

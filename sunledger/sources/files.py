@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -72,6 +75,14 @@ def locate(spark: SparkSession, root: str, wanted: DataFrame, scratch: str) -> D
 
     def ask(item: tuple[int, str]) -> tuple[str, str, int] | None:
         number, relative = item
+        here = Fo.local(spark, f"{root}/{relative}")
+        if here is not None:
+            if not os.path.isfile(here):
+                return None
+            size = os.path.getsize(here)
+            if size:
+                shutil.copyfile(here, f"{Fo.local(spark, scratch)}/{number}.csv")
+            return relative, number, size
         system, where = Fo.at(spark, f"{root}/{relative}")
         if not system.exists(where):
             return None
@@ -83,6 +94,7 @@ def locate(spark: SparkSession, root: str, wanted: DataFrame, scratch: str) -> D
             copy(system, status.getPath(), copied, to, False, True, conf)
         return relative, number, status.getLen()
 
+    Fo.make(spark, scratch)
     found = spark.createDataFrame([], LOCATED)
     held: list[tuple[int, str]] = []
     for number, row in enumerate(wanted.select("relative_path").distinct().toLocalIterator()):
