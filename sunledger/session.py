@@ -24,7 +24,7 @@ LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 LISTING_TASKS_PER_CORE = 8
 
 # Paths of the machine itself. The classes that stand for them by default write a checksum beside each file and, where Hadoop's
-# native library is absent, start a process for every new file and folder, and (in Spark's Hive jars) for every status that is
+# native library is absent, start a process for every new file and folder, and (in Spark's Hive jars, as far as known) for every status
 # asked for. The bare one starts one for what is new only. A session that names a class keeps it; other file systems stay as they are.
 LOCAL_SYSTEM = "fs.file.impl"
 BARE_LOCAL = {LOCAL_SYSTEM: "org.apache.hadoop.fs.RawLocalFileSystem", f"{LOCAL_SYSTEM}.disable.cache": "true"}
