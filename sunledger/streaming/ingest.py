@@ -12,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.utils import AnalysisException
 
 from sunledger.plans.ingest import IngestConfig, run_batch
-from sunledger.session import prepare
+from sunledger.session import prepare, work_dir
+from sunledger.sinks import folders
 from sunledger.sources.events import latest_delivery
 
 
@@ -66,16 +67,23 @@ def run_stream(
     replacement keyed by the batch number, which makes a repeated batch
     harmless. ``registry`` is
     called per batch and so sees mappings published while the stream runs.
+
+    The job runs in the caller's session. The stream's own one plans without
+    adaptive execution, so every small table would be as many tasks and files
+    as there are shuffle partitions; there a batch is only written down.
     """
     prepare(spark)
     if drop_copies_within:
         messages = drop_redelivered(messages, drop_copies_within)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        moment = _batch_time(session, config, batch_id, pinned_time)
+        moment = _batch_time(spark, config, batch_id, pinned_time)
         cfg = replace(config, run_id=f"{config.run_id}-{batch_id}", ingestion_time=moment)
-        run_batch(session, latest_delivery(batch), registry(session), cfg)
+        path = work_dir(spark, f"sent-{cfg.run_id}")
+        batch.write.mode("overwrite").parquet(path)
+        sent = spark.read.schema(batch.schema).parquet(path)
+        run_batch(spark, latest_delivery(sent), registry(spark), cfg)
+        folders.delete(spark, path)
 
     writer = messages.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)

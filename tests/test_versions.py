@@ -228,3 +228,18 @@ def test_redrives_reach_the_stream_until_the_limit(spark, ws):  # noqa: F811
     assert redrive() == []
     ledger = spark.read.parquet(f"{ws.root}/out/ledger").groupBy("dataset_id", "status").count().collect()
     assert sorted(tuple(r) for r in ledger) == [("1_ac_power", "Completed", 1), ("1_ac_power", "Failed", 1), ("2_ac_power", "Failed", 3)]
+
+
+def test_the_stream_runs_the_job_in_the_session_of_its_caller(spark, ws):  # noqa: F811
+    """The stream's own session has no adaptive execution: each small table was as many files as shuffle partitions."""
+    seen = []
+    ws.file("1.csv", H.HEADER_ONLY + ROW.format("plant1"))
+    ws.send(H.event(1, "1.csv"), H.event(2, "2.csv"))
+    cfg = ingest.IngestConfig(bronze_root=ws.bronze, silver_root=f"{ws.root}/silver", outcome_root=f"{ws.root}/out", run_id="s")
+    run_stream(
+        spark, stream_events(spark, ws.events), lambda s: seen.append(s.conf.get("spark.sql.adaptive.enabled")) or read_registry(s, ws.registry),
+        cfg, f"{ws.root}/checkpoint", available_now=True, drop_copies_within="1 hour",
+    ).awaitTermination()
+    assert seen and set(seen) == {spark.conf.get("spark.sql.adaptive.enabled")} == {"true"}
+    rows = spark.read.parquet(f"{ws.root}/out/ledger").select("dataset_id", "status").collect()
+    assert sorted(map(tuple, rows)) == [("1", "Completed"), ("2", "Failed")]
