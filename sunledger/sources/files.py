@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from sunledger.functions.uris import percent_decode
+from sunledger.session import materialise
 from sunledger.sinks import folders as Fo
 
 
@@ -97,7 +98,9 @@ def locate(spark: SparkSession, root: str, wanted: DataFrame, scratch: str) -> D
     Fo.make(spark, scratch)
     found = spark.createDataFrame([], LOCATED)
     held: list[tuple[int, str]] = []
-    for number, row in enumerate(wanted.select("relative_path").distinct().toLocalIterator()):
+    # Written first: an iterator runs a job for each partition, and a written table has few.
+    asked = materialise(wanted.select("relative_path").distinct(), f"{scratch}-asked")
+    for number, row in enumerate(asked.toLocalIterator()):
         held.append((number, row.relative_path))
         if len(held) == ASKED:
             found, held = found.unionByName(_asked(spark, ask, held)), []
