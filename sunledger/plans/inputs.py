@@ -20,7 +20,9 @@ from sunledger.operators.layout import RawLayout
 from sunledger.operators.positions import number_rows
 from sunledger.operators.registry import ColumnRule, Mapping
 from sunledger.operators.transform import conform
+from sunledger.session import materialise, work_dir
 from sunledger.sinks import folders
+from sunledger.sources import files
 
 TELEMETRY = Mapping(
     columns=(
@@ -160,24 +162,29 @@ def derived_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 NO_NUMBER = "__HIVE_DEFAULT_PARTITION__"
 
 
-def write_lines(lines: DataFrame, root: str) -> None:
-    """Text files from ``file_no``, ``place`` and ``value`` below a new folder: one file per number, lines by place."""
+def write_lines(lines: DataFrame, root: str) -> DataFrame:
+    """Text files from ``file_no``, ``place`` and ``value`` below a new folder: one file per number, lines by place.
+
+    Returns the ``path`` of each file, relative to the folder.
+    """
     spark = lines.sparkSession
     placed = lines.repartition("file_no").sortWithinPartitions("file_no", "place").select("file_no", "value")
     folders.make(spark, root)
     here = folders.local(spark, root)
     if here is None:
         placed.write.mode("overwrite").partitionBy("file_no").text(root)
-        return
+        return files.list_files(spark, root).select(files.relative_path(F.col("file_path"), root).alias("path"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
-        out, open_no, name = None, None, ""
+        out, open_no, name, paths = None, None, "", []
 
         def close() -> None:
             if out is not None:
                 out.close()
-                os.replace(f"{name}/.{attempt}", f"{name}/part-{part:05d}.txt")
+                path = f"{name}/part-{part:05d}.txt"
+                os.replace(f"{name}/.{attempt}", path)
+                paths.append(path[len(here) + 1 :])
 
         for batch in batches:
             numbers, values = batch.column("file_no").to_pylist(), batch.column("value").to_pylist()
@@ -188,12 +195,12 @@ def write_lines(lines: DataFrame, root: str) -> None:
                     os.makedirs(name, exist_ok=True)
                     out = open(f"{name}/.{attempt}", "wb")
                 out.writelines((value or b"") + b"\n" for _, value in group)
-            yield batch.slice(0, 0).select(["file_no"])
         close()
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string())], ["path"])
 
     # Lines need not be valid UTF-8, so they travel as bytes.
     sent = placed.select("file_no", F.col("value").cast("binary").alias("value"))
-    sent.mapInArrow(write, "file_no bigint").write.format("noop").mode("overwrite").save()
+    return materialise(sent.mapInArrow(write, "path string"), work_dir(spark, "written"))
 
 
 # Events per vendor file and documents per text file, so the number of files follows the table.

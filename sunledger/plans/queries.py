@@ -590,8 +590,8 @@ def redrive(spark, sf_dir):
 # --- files -------------------------------------------------------------------------------
 
 
-def _file_no() -> Column:
-    return F.regexp_extract("file_path", "file_no=([0-9]+)", 1).cast("bigint")
+def _file_no(path: str = "file_path") -> Column:
+    return F.regexp_extract(path, "file_no=([0-9]+)", 1).cast("bigint")
 
 
 @query
@@ -623,9 +623,9 @@ def _same(lines: DataFrame) -> DataFrame:
     return lines
 
 
-def _vendor_files(spark, events: DataFrame, root: str, width: int = I.FILE_ROWS, change=_same) -> DataFrame:
-    """Write the vendor files of ``width`` events each; returns ``file_no`` and ``file_path`` of each."""
-    I.write_lines(change(I.vendor_lines(events, width)), root)
+def _vendor_files(spark, events: DataFrame, root: str) -> DataFrame:
+    """Write the vendor files; returns ``file_no`` and ``file_path`` of each."""
+    I.write_lines(I.vendor_lines(events, I.FILE_ROWS), root)
     return Fs.list_files(spark, root).select(_file_no().alias("file_no"), "file_path").filter(F.col("file_no").isNotNull())
 
 
@@ -694,15 +694,16 @@ def vendor_inputs(spark, events: DataFrame, width: int = I.FILE_ROWS, change=_sa
     """
     root = work_dir(spark, "ingest")
     bronze = f"{root}/bronze-root/bronze"
-    listed = _vendor_files(spark, events, bronze, width, lambda lines: _awkward(change(lines)))
-    path = Fs.relative_path(F.col("file_path"), bronze)
+    written = I.write_lines(_awkward(change(I.vendor_lines(events, width))), bronze)
+    listed = written.select(_file_no("path").alias("file_no"), "path").filter(F.col("file_no").isNotNull())
+    path = F.col("path")
     hidden, hollow = F.col("file_no") % 16 == 11, F.col("file_no") % 16 == 13
     blob = (
         F.when(hidden, F.regexp_replace(path, "/([^/]*)$", "/_$1"))
         .when(hollow, F.concat(F.lit("empty/"), F.col("file_no").cast("string"), F.lit(".csv")))
         .otherwise(path)
     )
-    named = materialise(listed.select("file_no", path.alias("path"), blob.alias("blob")), f"{root}/listed")
+    named = materialise(listed.select("file_no", "path", blob.alias("blob")), f"{root}/listed")
     odd = named.filter("path <> blob").collect()
     folders.at_once(lambda r: folders.move(spark, f"{bronze}/{r.path}", f"{bronze}/{r.blob}"), [r for r in odd if r.file_no % 16 == 11])
     folders.at_once(lambda r: folders.write_text(spark, f"{bronze}/{r.blob}", ""), [r for r in odd if r.file_no % 16 == 13])

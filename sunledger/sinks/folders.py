@@ -69,7 +69,21 @@ def local(spark: SparkSession, path: str) -> str | None:
     return path[len(authority) :] if _is_local(spark.sparkContext, authority) else None
 
 
+def _renamed(source: str | None, target: str | None) -> bool:
+    """Whether a rename by this machine's own call has succeeded; the file system is asked for any other."""
+    if source is None or target is None:
+        return False
+    try:
+        os.rename(source, target)
+    except OSError:
+        return False
+    return True
+
+
 def exists(spark: SparkSession, path: str) -> bool:
+    here = local(spark, path)
+    if here is not None:
+        return os.path.exists(here)
     system, where = at(spark, path)
     return system.exists(where)
 
@@ -82,6 +96,11 @@ def delete(spark: SparkSession, path: str) -> None:
 
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder within one file system; the target's parents are made."""
+    here, there = local(spark, source), local(spark, target)
+    if there is not None:
+        os.makedirs(os.path.dirname(there), exist_ok=True)
+    if _renamed(here, there):
+        return
     system, where = at(spark, source)
     to = _path(spark, target)
     system.mkdirs(to.getParent())
@@ -97,12 +116,13 @@ def make(spark: SparkSession, path: str) -> None:
 
 def retire(spark: SparkSession, target: str, aside: str, source: str | None) -> bool:
     """Move ``target`` to ``aside``, whose parent exists, and ``source`` to where it was; false if there is no target."""
+    here = local(spark, target)
     system, where = at(spark, target)
-    if not system.exists(where):
+    if not (system.exists(where) if here is None else os.path.exists(here)):
         return False
-    if not system.rename(where, _path(spark, aside)):
+    if not _renamed(here, local(spark, aside)) and not system.rename(where, _path(spark, aside)):
         raise OSError(f"cannot move {target} to {aside}")
-    if source is not None and not system.rename(_path(spark, source), where):
+    if source is not None and not _renamed(local(spark, source), here) and not system.rename(_path(spark, source), where):
         raise OSError(f"cannot move {source} to {target}")
     return True
 

@@ -31,7 +31,7 @@ def test_a_session_keeps_the_local_system_it_names(spark):
 def test_lines_are_written_as_they_are(spark, tmp_path):
     rows = [(n, p, f"{n}:{p}".encode() + b"\xff\xe9") for n in (0, 1, -3, None, 9) for p in (5, -1, 40)] + [(1, 7, None), (1, 8, b"")]
     lines = spark.createDataFrame(rows, "file_no bigint, place bigint, value binary").withColumn("value", F.col("value").cast("string"))
-    I.write_lines(lines, f"{tmp_path}/here")
+    written = I.write_lines(lines, f"{tmp_path}/here")
     lines.repartition("file_no").sortWithinPartitions("file_no", "place").drop("place").write.partitionBy("file_no").text(f"{tmp_path}/spark")
     found = {}
     for kind in ("here", "spark"):
@@ -40,7 +40,8 @@ def test_lines_are_written_as_they_are(spark, tmp_path):
                 with open(f"{tmp_path}/{kind}/{name}", "rb") as f:
                     found.setdefault(kind, {})[os.path.dirname(name)] = f.read()
     assert found["here"] == found["spark"] and len(found["here"]) == 5
-    I.write_lines(lines.limit(0), f"{tmp_path}/none")
+    assert sorted(r.path for r in written.collect()) == sorted(files(f"{tmp_path}/here"))
+    assert I.write_lines(lines.limit(0), f"{tmp_path}/none").count() == 0
     assert files(f"{tmp_path}/none") == set() and os.path.isdir(f"{tmp_path}/none")
 
 

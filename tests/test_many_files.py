@@ -105,3 +105,44 @@ def test_a_swap_that_was_cut_in_half_is_finished(spark, tmp_path, monkeypatch):
             commits.publish(spark, root, "c2", moves, ["k/source_dataset_id=3/ingestion_date=2026-01-01"])
     commits.recover(spark, root)
     assert texts(root) == {f"k/source_dataset_id={n}/ingestion_date=2026-01-01": "new" for n in (1, 2, 4)}
+
+
+def test_local_folders_are_moved_without_a_call_of_the_file_system(spark, tmp_path, monkeypatch):
+    for name in ("a/x", "b/x"):
+        write(f"{tmp_path}/{name}/part", name)
+    os.makedirs(f"{tmp_path}/aside")
+    folders.local(spark, str(tmp_path))
+
+    class Silent:
+        def __getattr__(self, name):
+            raise AssertionError(f"asked to {name}")
+
+    monkeypatch.setattr(folders, "at", lambda *a: (Silent(), None))
+    folders.move(spark, f"{tmp_path}/a/x", f"{tmp_path}/new/deep/x")
+    assert folders.retire(spark, f"{tmp_path}/new/deep/x", f"{tmp_path}/aside/0", f"{tmp_path}/b/x")
+    assert not folders.retire(spark, f"{tmp_path}/none", f"{tmp_path}/aside/1", None)
+    assert texts(tmp_path) == {"new/deep/x": "b/x", "aside/0": "a/x"}
+
+
+def test_a_move_that_cannot_be_made_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception):
+        folders.move(spark, f"{tmp_path}/none", f"{tmp_path}/there")
+
+
+def test_unlisted_paths_are_fetched_in_few_jobs(spark, tmp_path):
+    for n in range(6):
+        write(f"{tmp_path}/root/n/_{n}.csv", "x" * n)
+    wanted = spark.createDataFrame([(f"n/_{n}.csv",) for n in range(8)] * 2, "relative_path string")
+    context, before = spark.sparkContext, {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        context.setJobGroup("unlisted", "")
+        found = Fs.locate(spark, f"{tmp_path}/root", wanted, f"{tmp_path}/scratch")
+        jobs = len(context.statusTracker().getJobIdsForGroup("unlisted"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {(r.relative_path, r.length) for r in found.collect()} == {(f"n/_{n}.csv", n) for n in range(6)}
+    assert jobs <= 30
