@@ -242,4 +242,4 @@ def test_the_stream_runs_the_job_in_the_session_of_its_caller(spark, ws):  # noq
     ).awaitTermination()
     assert seen and set(seen) == {spark.conf.get("spark.sql.adaptive.enabled")} == {"true"}
     rows = spark.read.parquet(f"{ws.root}/out/ledger").select("dataset_id", "status").collect()
-    assert sorted(map(tuple, rows)) == [("1", "Completed"), ("2", "Failed")]
+    assert sorted(map(tuple, rows)) == [("1_ac_power", "Completed"), ("2_ac_power", "Failed")]
