@@ -338,12 +338,12 @@ def _write_winners(
     # Jobs of one mapping write to one folder, one after the other.
     keys = sorted({c.key for c in checked})
     _together(lambda key: [stage(c) for c in checked if c.key == key], keys)
-    moves, merged = versions.stage_versions(spark, winners, root, staged, commit)
+    noted, merged = versions.stage_versions(spark, winners, root, staged, commit)
     for key, schemas in sorted(written.items()):
-        moves += silver.stage_schema(spark, schemas, root, staged, key, commit)
-    moves += silver.staged_partitions(spark, root, staged, keys, cfg.ingestion_date, cfg.partition_by)
-    moved, removed = set(moves), merged + _left_behind(spark, winners, cfg)
-    commits.publish(spark, root, commit, moves, [r for r in removed if r not in moved])
+        noted += silver.stage_schema(spark, schemas, root, staged, key, commit)
+    placed = silver.staged_moves(spark, root, staged, keys, cfg.ingestion_date, cfg.partition_by)
+    moved, removed = {*noted, *(target for _, target in placed)}, merged + _left_behind(spark, winners, cfg)
+    commits.publish(spark, root, commit, noted + placed, [r for r in removed if r not in moved])
 
     beaten = passed.join(names, "event_key", "left_anti").select("event_key", F.lit(True).alias("superseded"))
     marked = outcome.join(beaten, "event_key", "left").withColumn("superseded", F.coalesce("superseded", F.lit(False)))

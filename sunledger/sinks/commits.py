@@ -32,9 +32,12 @@ def begin(spark: SparkSession, root: str, commit: str) -> str:
     return staging(root, commit)
 
 
-def publish(spark: SparkSession, root: str, commit: str, moves: list[str], removed: list[str]) -> None:
-    """Put the staged folders ``moves`` (relative to the root) in the place of older ones and drop ``removed``."""
-    note = [(folder, folder) for folder in moves] + [("", folder) for folder in removed]
+def publish(spark: SparkSession, root: str, commit: str, moves: list[str | tuple[str, str]], removed: list[str]) -> None:
+    """Put the staged folders ``moves`` in the place of older ones and drop ``removed``, all relative to the root.
+
+    A move whose place differs from that below the staging folder is a pair of both.
+    """
+    note = [(move, move) if isinstance(move, str) else move for move in moves] + [("", folder) for folder in removed]
     spark.createDataFrame(note, NOTE).coalesce(1).write.mode("overwrite").json(f"{root.rstrip('/')}/{NOTES}/{commit}")
     finish(spark, root, commit, fresh=True)
 

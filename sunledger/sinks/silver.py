@@ -43,8 +43,26 @@ def write_silver(rows: DataFrame, root: str, ingestion_date: str, partition_by:
 
 
 def stage_silver(rows: DataFrame, staged: str, registry_key: str, ingestion_date: str, partition_by: str) -> None:
-    """Add the rows of some datasets to what a commit will put in place; nothing below the root changes."""
-    _partitioned(rows, ingestion_date, partition_by).mode("append").parquet(silver_root(staged, registry_key))
+    """Add the rows of some datasets to what a commit will put in place; nothing below the root changes.
+
+    All rows of a commit have one ingestion date, so no folder of it is staged:
+    the move gives it, and a dataset costs a folder less.
+    """
+    if partition_by == "data_date":
+        writer = _partitioned(rows, ingestion_date, partition_by)
+    else:
+        writer = rows.write.partitionBy("source_dataset_id")
+    writer.mode("append").parquet(silver_root(staged, registry_key))
+
+
+def staged_moves(
+    spark: SparkSession, root: str, staged: str, keys: list[str], ingestion_date: str, partition_by: str
+) -> list[tuple[str, str]]:
+    """Where each dataset written by :func:`stage_silver` lies below the staging folder, and where it goes below the root."""
+    if partition_by == "data_date":
+        return [(folder, folder) for folder in staged_partitions(spark, root, staged, keys, ingestion_date, partition_by)]
+    written = [f"{key}/{name}" for key in keys for name in sorted(folders.names(spark, silver_root(staged, key)))]
+    return [(folder, f"{folder}/{partition_by}={ingestion_date}") for folder in written if "/source_dataset_id=" in folder]
 
 
 def staged_partitions(spark: SparkSession, root: str, staged: str, keys: list[str], ingestion_date: str, partition_by: str) -> list[str]:

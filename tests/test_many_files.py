@@ -107,6 +107,47 @@ def test_a_swap_that_was_cut_in_half_is_finished(spark, tmp_path, monkeypatch):
     assert texts(root) == {f"k/source_dataset_id={n}/ingestion_date=2026-01-01": "new" for n in (1, 2, 4)}
 
 
+DAY, NEXT = "2026-01-01", "2026-01-02"
+
+
+def stage_rows(spark, root, commit, ids, day):
+    staged = commits.begin(spark, root, commit)
+    rows = spark.createDataFrame([(n, commit) for n in ids], "source_dataset_id string, power_w string")
+    silver.stage_silver(rows.repartition(2, "source_dataset_id"), staged, "k", day, "ingestion_date")
+    return silver.staged_moves(spark, root, staged, ["k"], day, "ingestion_date")
+
+
+def held(spark, root):
+    rows = spark.read.parquet(f"{root}/k").select("source_dataset_id", "ingestion_date", "power_w")
+    return {tuple(map(str, r)) for r in rows.collect()}
+
+
+def test_a_dataset_is_staged_as_one_folder(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    moves = stage_rows(spark, root, "c1", ["1", "2", "a b/c"], DAY)
+    below = [d for d, inner, _ in os.walk(commits.staging(root, "c1")) if "=" in d]
+    assert len(below) == len(moves) == 3 and not [d for d in below if "ingestion_date" in d]
+    assert all(target == f"{source}/ingestion_date={DAY}" for source, target in moves)
+    commits.publish(spark, root, "c1", moves, [])
+    first = {(n, DAY, "c1") for n in ("1", "2", "a b/c")}
+    assert held(spark, root) == first
+    # Another day stays beside the first one, the same day is replaced, and a dropped one goes.
+    commits.publish(spark, root, "c2", stage_rows(spark, root, "c2", ["1"], NEXT), [])
+    dropped = [f"k/source_dataset_id=2/ingestion_date={DAY}"]
+    commits.publish(spark, root, "c3", stage_rows(spark, root, "c3", ["1", "3"], DAY), dropped)
+    now = {("1", NEXT, "c2"), ("1", DAY, "c3"), ("3", DAY, "c3"), ("a b/c", DAY, "c1")}
+    assert held(spark, root) == now
+    # Cut off before each move of a commit that is noted: the next run finishes it.
+    moves = stage_rows(spark, root, "c4", ["1", "3", "4"], DAY)
+    with monkeypatch.context() as m:
+        m.setattr(folders, "move", lambda *a: os.makedirs(os.path.dirname(a[2])) or 1 / 0)
+        m.setattr(folders, "retire", lambda s, target, aside, source, retire=folders.retire: retire(s, target, aside, None) and 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            commits.publish(spark, root, "c4", moves, [])
+    commits.recover(spark, root)
+    assert held(spark, root) == {("1", NEXT, "c2"), *((n, DAY, "c4") for n in ("1", "3", "4")), ("a b/c", DAY, "c1")}
+
+
 def test_local_folders_are_moved_without_a_call_of_the_file_system(spark, tmp_path, monkeypatch):
     for name in ("a/x", "b/x"):
         write(f"{tmp_path}/{name}/part", name)
